@@ -293,6 +293,8 @@ def order_events(orders: DataFrame, lines: DataFrame, max_items: int = 10_000) -
     nested = (
         lines.join(large, "order_id", "left")
         .withColumn("item_part", F.coalesce(spread, F.lit(0)))
+        # The join leaves all lines of an order together; this spreads the parts of large ones.
+        .repartition("order_id", "item_part")
         .groupBy("order_id", "item_part")
         .agg(F.sort_array(F.collect_list(item)).alias("items"))
     )

@@ -57,31 +57,32 @@ def _miscast(raw: Column, t: T.DataType) -> Column:
     return text.isNotNull() & text.try_cast(t).isNull()
 
 
-def parse(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Add ``row`` (typed struct) and ``malformed`` to messages in column ``value``."""
+def _bind(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` refers to it. A plain column
+    would be computed again for each reference once a filter on the result moves below it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def parse_safe(messages: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
+    """Add ``row`` (typed struct) and ``error`` (null for good rows) to messages in column ``value``,
+    ready to be split into accepted rows and dead letters."""
     wire = T.StructType(_as_text(schema).fields + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    raw = F.col("raw")
-    malformed = raw.isNull() | raw[_CORRUPT].isNotNull() | _miscast(raw, schema)
-    return messages.withColumn("raw", parsed).select(
-        *messages.columns,
-        _typed(raw, schema).alias("row"),
-        F.coalesce(malformed, F.lit(True)).alias("malformed"),
-    )
+    raw = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
 
+    def checked(raw: Column) -> Column:
+        malformed = raw.isNull() | raw[_CORRUPT].isNotNull() | _miscast(raw, schema)
+        missing = reduce(lambda a, b: a | b, [raw[name].isNull() for name in required], F.lit(False))
+        error = F.when(F.coalesce(malformed, F.lit(True)), ERROR_MALFORMED).when(missing, ERROR_MISSING)
+        return F.struct(_typed(raw, schema).alias("row"), error.alias("error"))
 
-def parse_strict(messages: DataFrame, schema: T.StructType) -> DataFrame:
-    """Typed rows; a malformed message fails the query."""
-    message = F.concat(F.lit(ERROR_MALFORMED + ": "), F.coalesce("value", F.lit("null")))
-    sound = F.when(F.col("malformed"), F.raise_error(message).cast("boolean")).otherwise(True)
-    return parse(messages, schema).filter(sound).select("row.*")
+    return messages.withColumn("parsed", _bind(raw, checked)).select(*messages.columns, "parsed.row", "parsed.error")
 
 
-def parse_safe(messages: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
-    """Like ``parse`` with ``error``: null for good rows, else the reason for the dead-letter table."""
-    missing = reduce(lambda a, b: a | b, [F.col(f"row.{name}").isNull() for name in required])
-    error = F.when(F.col("malformed"), ERROR_MALFORMED).when(missing, ERROR_MISSING)
-    return parse(messages, schema).withColumn("error", error)
+def parse_strict(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Typed rows; a malformed message fails the query."""
+    message = F.concat(F.col("error"), F.lit(": "), F.coalesce("value", F.lit("null")))
+    sound = F.when(F.col("error").isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)
+    return parse_safe(messages, schema, []).filter(sound).select("row.*")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -136,23 +137,27 @@ def unwrap(changes: DataFrame, row: T.StructType) -> DataFrame:
 def _tolerant(messages: DataFrame, schema: T.StructType) -> DataFrame:
     """Change rows that never fail: a missing or unreadable field gets its type's empty value, a
     missing operation counts as snapshot, and an unreadable message becomes an ``error`` row."""
-    fields = [f if f.name != "operation" else T.StructField("__op", f.dataType) for f in schema.fields]
-    wire = T.StructType(
-        [T.StructField(f.name, T.StringType()) for f in fields] + [T.StructField(_CORRUPT, T.StringType())]
-    )
-    parsed = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-    broken = F.col("raw").isNull() | F.col(f"raw.{_CORRUPT}").isNotNull()
-
-    def field(f: T.StructField) -> Column:
-        text = F.when(~broken, F.col(f"raw.{f.name}"))
-        if f.name == "__op":
-            return F.when(broken, OP_ERROR).otherwise(F.coalesce(text, F.lit(OP_SNAPSHOT))).alias("operation")
-        if isinstance(f.dataType, T.StringType):
-            return F.coalesce(text, F.lit("")).alias(f.name)
-        number = text.try_cast("double").try_cast(f.dataType)
-        return F.coalesce(number, F.lit(0).cast(f.dataType)).alias(f.name)
-
-    return messages.select(parsed.alias("raw")).select(*[field(f) for f in fields])
+    names = {f.name: "__op" if f.name == "operation" else f.name for f in schema.fields}
+    wire = T.StructType([T.StructField(n, T.StringType()) for n in (*names.values(), _CORRUPT)])
+    raw = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+
+    def filled(raw: Column) -> Column:
+        broken = raw.isNull() | raw[_CORRUPT].isNotNull()
+
+        def field(f: T.StructField) -> Column:
+            text = F.when(~broken, raw[names[f.name]])
+            if f.name == "operation":
+                value = F.when(broken, OP_ERROR).otherwise(F.coalesce(text, F.lit(OP_SNAPSHOT)))
+            elif isinstance(f.dataType, T.StringType):
+                value = F.coalesce(text, F.lit(""))
+            else:
+                number = text.try_cast("double").try_cast(f.dataType)
+                value = F.coalesce(number, F.lit(0).cast(f.dataType))
+            return value.alias(f.name)
+
+        return F.struct(*[field(f) for f in schema.fields])
+
+    return messages.select(_bind(raw, filled).alias("c")).select("c.*")
 
 
 def parse_product_changes(messages: DataFrame) -> DataFrame:

@@ -77,20 +77,29 @@ def write_daily(df: DataFrame, path: str, mode: str = "overwrite", keys: list[st
     write_table(df, path, partition_by=["order_date"], mode=mode, keys=keys)
 
 
-def write_revenue(flat: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_revenue(flat: DataFrame, path: str, mode: str = "overwrite", batch_id: int | None = None) -> None:
     """Per-minute revenue rows, one partition per hour of the window end, clustered by region."""
     hour = F.date_format("window_end_timestamp", "yyyy-MM-dd-HH")
-    write_table(flat.withColumn("hour", hour), path, partition_by=["hour"], mode=mode, cluster_by=["region"])
+    _write_by_time(flat.withColumn("hour", hour), path, "hour", mode, batch_id, ["region"])
 
 
-def write_sessions(sessions: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_sessions(sessions: DataFrame, path: str, mode: str = "overwrite", batch_id: int | None = None) -> None:
     day = F.date_format("session_end", "yyyy-MM-dd")
-    write_table(
-        sessions.withColumn("day", day), path, partition_by=["day"], mode=mode,
-        cluster_by=["device_type", "geo_region"],
-    )
+    _write_by_time(sessions.withColumn("day", day), path, "day", mode, batch_id, ["device_type", "geo_region"])
 
 
-def write_alerts(alerts: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_alerts(alerts: DataFrame, path: str, mode: str = "overwrite", batch_id: int | None = None) -> None:
     day = F.date_format("detected_at", "yyyy-MM-dd")
-    write_table(alerts.withColumn("day", day), path, partition_by=["day"], mode=mode)
+    _write_by_time(alerts.withColumn("day", day), path, "day", mode, batch_id, [])
+
+
+def _write_by_time(
+    df: DataFrame, path: str, time: str, mode: str, batch_id: int | None, cluster_by: list[str]
+) -> None:
+    """With ``batch_id`` (a micro-batch) the rows go below the time partition into one of their own,
+    so batches add to a day and a repeated batch replaces itself."""
+    partition_by = [time]
+    if batch_id is not None:
+        df = df.withColumn("batch", F.lit(batch_id))
+        partition_by.append("batch")
+    write_table(df, path, partition_by=partition_by, mode=mode, cluster_by=cluster_by)

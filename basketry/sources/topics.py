@@ -32,7 +32,7 @@ def read_topic(
             reader = reader.option("groupIdPrefix", group)
         return reader.options(**options).load().select(F.col("value").cast("string").alias("value"))
     if path:
-        return spark.readStream.options(**options).text(f"{path}/{topic}")
+        return spark.readStream.options(**options).text(f"{path}/{topic}").select("value")
     raise ValueError("read_topic needs bootstrap servers or a path")
 
 
@@ -73,3 +73,16 @@ def write_topic(
     if path:
         return writer.format("text").option("path", f"{path}/{topic}")
     raise ValueError("write_topic needs bootstrap servers or a path")
+
+
+def publish_batch(
+    lines: DataFrame, topic: str, batch_id: int, *, bootstrap: str | None = None, path: str | None = None
+) -> None:
+    """Write one micro-batch of messages; files of a batch that runs again are replaced."""
+    lines = lines.select("value")
+    if bootstrap:
+        lines.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save()
+    elif path:
+        lines.write.mode("overwrite").text(f"{path}/{topic}/batch={batch_id}")
+    else:
+        raise ValueError("publish_batch needs bootstrap servers or a path")
