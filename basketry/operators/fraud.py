@@ -17,6 +17,7 @@ from ..functions.times import millis, slice_of
 
 # --- fixed values -----------------------------------------------------------------------------
 RAPID_WITHIN = timedelta(minutes=5)
+SLICE_FACTOR = 6
 HIGH_VALUE_THRESHOLD = 5000.0
 TEXT_RAPID = "User placed 3 orders within 5 minutes. First: %s, Last: %s"
 TEXT_HIGH_VALUE = "First order from user is high value: %.2f TRY (threshold: %.2f)"
@@ -24,20 +25,25 @@ TEXT_LOCATION = "Order from new city for existing user"
 # ----------------------------------------------------------------------------------------------
 
 
+def slice_width(within: timedelta) -> timedelta:
+    return within * SLICE_FACTOR
+
+
 def created_slices(
     orders: DataFrame, within: timedelta = RAPID_WITHIN, min_amount: float | None = None
 ) -> DataFrame:
-    """New orders by (user, slice of length ``within``). Each order appears in its own slice and, to
-    be looked ahead to, in the slice before. Three orders closer than ``within`` span at most two
-    neighbouring slices, so every rule hit is complete inside the slice of its first order, and a
-    user with very many orders spreads over as many groups as slices."""
+    """New orders by (user, time slice). Each order appears in its own slice; one that comes less
+    than ``within`` after the start of its slice also appears in the slice before, to be looked
+    ahead to. So every rule hit is complete inside the slice of its first order, few rows are
+    doubled, and a user with very many orders spreads over as many groups as slices."""
     created = orders.filter((F.col("order_status") == "CREATED") & F.col("user_id").isNotNull())
     if min_amount is not None:
         created = created.filter(F.col("total_amount") > min_amount)
-    own = slice_of(F.col("timestamp"), within)
-    return created.withColumn("own_slice", own).withColumn(
-        "slice", F.explode(F.array(F.col("own_slice"), F.col("own_slice") - 1))
-    )
+    width = slice_width(within)
+    own, ms = F.col("own_slice"), F.col("timestamp")
+    early = ms < own * millis(width) + millis(within)
+    slices = F.when(early, F.array(own, own - 1)).otherwise(F.array(own))
+    return created.withColumn("own_slice", slice_of(ms, width)).withColumn("slice", F.explode(slices))
 
 
 def rapid_orders(

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.rows import with_computed
+
 # --- fixed values: codes of the source tables and what they stand for -------------------------
 CLICK_TYPES = {
     "signup": "PAGE_VIEW",
@@ -189,9 +191,8 @@ def order_messages(orders: DataFrame) -> DataFrame:
         F.lit("web").alias("channel"),
     ))
     cut_off = F.concat(F.lit('{"order_id":"'), "o_orderkey", F.lit('","user_id"'))
-    return orders.select(
-        F.when(F.col("o_orderpriority") == "5-LOW", cut_off).otherwise(whole).alias("value")
-    )
+    message = F.when(F.col("o_orderpriority") == "5-LOW", cut_off).otherwise(whole)
+    return with_computed(orders, "value", message).select("value")
 
 
 def product_changes(part: DataFrame) -> DataFrame:
@@ -226,10 +227,8 @@ def product_changes(part: DataFrame) -> DataFrame:
             (F.lit(1_700_000_000_000) + F.col("step") * 60_000 + F.col("p_partkey")).alias("ts_ms"),
         ).alias("source"),
     ))
-    return rows.select(
-        F.col("p_partkey").alias("key"),
-        F.when(F.col("v.op") != "tombstone", envelope).alias("value"),
-    )
+    message = F.when(F.col("v.op") != "tombstone", envelope)
+    return with_computed(rows, "value", message).select(F.col("p_partkey").alias("key"), "value")
 
 
 def order_changes(orders: DataFrame) -> DataFrame:
@@ -244,10 +243,9 @@ def order_changes(orders: DataFrame) -> DataFrame:
         F.concat(F.lit("city_"), F.col("o_custkey") % 25).alias("shipping_city"),
         op.alias("__op"),
     ))
-    return orders.select(
-        F.when(F.col("o_orderpriority") == "5-LOW", F.concat(F.lit('{"order_id":'), "o_orderkey"))
-        .otherwise(whole).alias("value")
-    )
+    cut_off = F.concat(F.lit('{"order_id":'), "o_orderkey")
+    message = F.when(F.col("o_orderpriority") == "5-LOW", cut_off).otherwise(whole)
+    return with_computed(orders, "value", message).select("value")
 
 
 def stock_movements(lineitem: DataFrame) -> DataFrame:

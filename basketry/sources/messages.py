@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.rows import with_computed
 from ..schemas import CDC_ORDER, CDC_PRODUCT
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -57,25 +58,18 @@ def _miscast(raw: Column, t: T.DataType) -> Column:
     return text.isNotNull() & text.try_cast(t).isNull()
 
 
-def _bind(value: Column, use) -> Column:
-    """``use`` of a value that is computed once, however often ``use`` refers to it. A plain column
-    would be computed again for each reference once a filter on the result moves below it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def parse_safe(messages: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
     """Add ``row`` (typed struct) and ``error`` (null for good rows) to messages in column ``value``,
     ready to be split into accepted rows and dead letters."""
     wire = T.StructType(_as_text(schema).fields + [T.StructField(_CORRUPT, T.StringType())])
-    raw = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-
-    def checked(raw: Column) -> Column:
-        malformed = raw.isNull() | raw[_CORRUPT].isNotNull() | _miscast(raw, schema)
-        missing = reduce(lambda a, b: a | b, [raw[name].isNull() for name in required], F.lit(False))
-        error = F.when(F.coalesce(malformed, F.lit(True)), ERROR_MALFORMED).when(missing, ERROR_MISSING)
-        return F.struct(_typed(raw, schema).alias("row"), error.alias("error"))
-
-    return messages.withColumn("parsed", _bind(raw, checked)).select(*messages.columns, "parsed.row", "parsed.error")
+    parsed = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    raw = F.col("raw")
+    malformed = raw.isNull() | raw[_CORRUPT].isNotNull() | _miscast(raw, schema)
+    missing = reduce(lambda a, b: a | b, [raw[name].isNull() for name in required], F.lit(False))
+    error = F.when(F.coalesce(malformed, F.lit(True)), ERROR_MALFORMED).when(missing, ERROR_MISSING)
+    return with_computed(messages, "raw", parsed).select(
+        *messages.columns, _typed(raw, schema).alias("row"), error.alias("error")
+    )
 
 
 def parse_strict(messages: DataFrame, schema: T.StructType) -> DataFrame:
@@ -121,16 +115,13 @@ def unwrap(changes: DataFrame, row: T.StructType) -> DataFrame:
         ])),
     ])
     image = F.coalesce("c.after", "c.before")
-    return (
-        changes.filter(F.col("value").isNotNull())
-        .select(F.from_json("value", schema).alias("c"))
-        .select(
-            *[image[f.name].alias(f.name) for f in row.fields],
-            F.col("c.op").alias("__op"),
-            F.col("c.source.table").alias("__table"),
-            F.col("c.source.ts_ms").alias("__source_ts_ms"),
-            (F.col("c.op") == "d").alias("__deleted"),
-        )
+    present = changes.filter(F.col("value").isNotNull())
+    return with_computed(present, "c", F.from_json("value", schema)).select(
+        *[image[f.name].alias(f.name) for f in row.fields],
+        F.col("c.op").alias("__op"),
+        F.col("c.source.table").alias("__table"),
+        F.col("c.source.ts_ms").alias("__source_ts_ms"),
+        (F.col("c.op") == "d").alias("__deleted"),
     )
 
 
@@ -139,25 +130,22 @@ def _tolerant(messages: DataFrame, schema: T.StructType) -> DataFrame:
     missing operation counts as snapshot, and an unreadable message becomes an ``error`` row."""
     names = {f.name: "__op" if f.name == "operation" else f.name for f in schema.fields}
     wire = T.StructType([T.StructField(n, T.StringType()) for n in (*names.values(), _CORRUPT)])
-    raw = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
-
-    def filled(raw: Column) -> Column:
-        broken = raw.isNull() | raw[_CORRUPT].isNotNull()
-
-        def field(f: T.StructField) -> Column:
-            text = F.when(~broken, raw[names[f.name]])
-            if f.name == "operation":
-                value = F.when(broken, OP_ERROR).otherwise(F.coalesce(text, F.lit(OP_SNAPSHOT)))
-            elif isinstance(f.dataType, T.StringType):
-                value = F.coalesce(text, F.lit(""))
-            else:
-                number = text.try_cast("double").try_cast(f.dataType)
-                value = F.coalesce(number, F.lit(0).cast(f.dataType))
-            return value.alias(f.name)
+    parsed = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    raw = F.col("raw")
+    broken = raw.isNull() | raw[_CORRUPT].isNotNull()
 
-        return F.struct(*[field(f) for f in schema.fields])
+    def field(f: T.StructField) -> Column:
+        text = F.when(~broken, raw[names[f.name]])
+        if f.name == "operation":
+            value = F.when(broken, OP_ERROR).otherwise(F.coalesce(text, F.lit(OP_SNAPSHOT)))
+        elif isinstance(f.dataType, T.StringType):
+            value = F.coalesce(text, F.lit(""))
+        else:
+            number = text.try_cast("double").try_cast(f.dataType)
+            value = F.coalesce(number, F.lit(0).cast(f.dataType))
+        return value.alias(f.name)
 
-    return messages.select(_bind(raw, filled).alias("c")).select("c.*")
+    return with_computed(messages, "raw", parsed).select(*[field(f) for f in schema.fields])
 
 
 def parse_product_changes(messages: DataFrame) -> DataFrame:
@@ -177,4 +165,4 @@ def op_label(operation: Column) -> Column:
 
 def flatten_json(flat: DataFrame) -> DataFrame:
     """Unwrapped change rows as the flat messages a change topic carries."""
-    return flat.select(F.to_json(F.struct("*")).alias("value"))
+    return with_computed(flat, "value", F.to_json(F.struct("*"))).select("value")

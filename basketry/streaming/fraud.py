@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.times import millis
-from ..operators.fraud import RAPID_WITHIN, created_slices
+from ..operators.fraud import RAPID_WITHIN, created_slices, slice_width
 
 RAPID_SCHEMA = "user_id string, first string, second string, order_id string, event_time timestamp"
 FIRST_SCHEMA = "user_id string, order_id string, total_amount double, event_time timestamp"
@@ -22,65 +22,47 @@ class RapidOrders(StatefulProcessor):
 
     Keyed by user and slice (see ``created_slices``). Orders wait until the watermark passes them
     and are then taken in time order; of those, the last two stay to complete later hits. When the
-    watermark has passed the slice and the one it looks ahead to, the state is empty again.
+    watermark has passed the slice and its lookahead, the state is empty again.
     """
 
-    def __init__(self, within_ms: int):
+    def __init__(self, within_ms: int, width_ms: int):
         self.within_ms = within_ms
+        self.width_ms = width_ms
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "ms bigint, order_id string")
-        self.taken = handle.getListState("taken", "ms bigint, order_id string")
+        self.orders = handle.getListState("orders", "ms bigint, order_id string, taken boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         new = []
         for batch in rows:
             on_time = batch[batch["timestamp"] > watermark]
-            new += zip(on_time["timestamp"].tolist(), on_time["order_id"].tolist())
+            new += [(ms, order_id, False) for ms, order_id in zip(on_time["timestamp"], on_time["order_id"])]
         if new:
-            self.waiting.appendList(new)
-            self.handle.registerTimer(min(ms for ms, _ in new))
-            self.handle.registerTimer(self._end(key))
+            self.orders.appendList(new)
+            self.handle.registerTimer(min(r[0] for r in new))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         user_id, slice_no = key
         watermark = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted((r[0], r[1]) for r in self.waiting.get())
-        due = [r for r in waiting if r[0] <= watermark]
-        later = waiting[len(due):]
-        if due:
-            taken = [(r[0], r[1]) for r in self.taken.get()]
-            line = taken + due
-            hits = [
-                (user_id, a[1], b[1], c[1], pd.Timestamp(c[0], unit="ms"))
-                for i, (a, b, c) in enumerate(zip(line, line[1:], line[2:]))
-                if i + 2 >= len(taken)
-                and a[0] // self.within_ms == slice_no
-                and c[0] - a[0] < self.within_ms
-            ]
-            self._put(self.waiting, later)
-            self._put(self.taken, line[-2:])
-            if later:
-                self.handle.registerTimer(later[0][0])
-            if hits:
-                columns = ["user_id", "first", "second", "order_id", "event_time"]
-                yield pd.DataFrame(hits, columns=columns)
-        if watermark >= self._end(key):
-            self.waiting.clear()
-            self.taken.clear()
-
-    def _end(self, key) -> int:
-        return (key[1] + 2) * self.within_ms
-
-    @staticmethod
-    def _put(state, rows) -> None:
-        if rows:
-            state.put(rows)
-        else:
-            state.clear()
+        line = sorted(tuple(r) for r in self.orders.get())
+        due = [r for r in line if r[0] <= watermark]
+        later = line[len(due):]
+        hits = [
+            (user_id, a[1], b[1], c[1], pd.Timestamp(c[0], unit="ms"))
+            for a, b, c in zip(due, due[1:], due[2:])
+            if not c[2] and a[0] // self.width_ms == slice_no and c[0] - a[0] < self.within_ms
+        ]
+        end = (slice_no + 1) * self.width_ms + self.within_ms
+        if watermark >= end:
+            self.orders.clear()
+        elif not all(r[2] for r in due):
+            self.orders.put([(ms, order_id, True) for ms, order_id, _ in due[-2:]] + later)
+            self.handle.registerTimer(later[0][0] if later else end)
+        if hits:
+            yield pd.DataFrame(hits, columns=["user_id", "first", "second", "order_id", "event_time"])
 
 
 class FirstOrder(StatefulProcessor):
@@ -120,7 +102,9 @@ def rapid_hits(orders: DataFrame, within: timedelta = RAPID_WITHIN) -> DataFrame
         created_slices(orders, within)
         .select("user_id", "slice", "timestamp", "order_id", "event_time")
         .groupBy("user_id", "slice")
-        .transformWithStateInPandas(RapidOrders(millis(within)), RAPID_SCHEMA, "append", "eventtime")
+        .transformWithStateInPandas(
+            RapidOrders(millis(within), millis(slice_width(within))), RAPID_SCHEMA, "append", "eventtime"
+        )
     )
 
 
