@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import alerts as scoring
-from ..functions.money import cents
 from ..functions.times import event_time, plain
 from ..operators import changes, daily, fraud, quality, revenue, serving, sessions
 from ..schemas import CONTRACTS, ORDER
@@ -509,17 +508,10 @@ def inventory_latest(spark, folder):
 
 @query
 def order_events_nested(spark, folder):
+    """Order events with their nested items, shown item by item: an order of any size fits."""
     nested = feeds.order_events(_placed(spark, folder), _lines(spark, folder))
-    item = lambda i: F.concat_ws(
-        ":", i["line_number"], i["product_id"], i["category"], i["quantity"], cents(i["total_price"])
-    )
-    return nested.select(
-        "order_id",
-        "user_id",
-        "order_status",
-        F.col("item_part").cast("bigint").alias("item_part"),
-        F.size("items").cast("bigint").alias("item_count"),
-        F.array_join(F.transform("items", item), "|").alias("items"),
+    return nested.select("order_id", "user_id", "order_status", F.explode("items").alias("item")).select(
+        "order_id", "user_id", "order_status", "item.*"
     )
 
 

@@ -448,15 +448,10 @@ FROM (SELECT product_id, max(ms) AS updated_ms FROM e GROUP BY product_id) u
      LEFT JOIN p ON u.product_id = p.product_id AND p.rn = 1"""
 
 NESTED = f"""
-WITH {PLACED}, {LINES},
-items AS (
-  SELECT order_id, count(*) AS item_count,
-         string_agg(line_number || ':' || product_id || ':' || category || ':' || quantity || ':'
-                    || CAST(price * 100 AS BIGINT), '|'
-                    ORDER BY line_number, product_id, product_name, category, quantity, price) AS items
-  FROM lines GROUP BY order_id)
-SELECT order_id, user_id, order_status, CAST(0 AS BIGINT) AS item_part, item_count, items
-FROM placed JOIN items USING (order_id)"""
+WITH {PLACED}, {LINES}
+SELECT order_id, user_id, order_status, line_number, product_id, product_name, category,
+       CAST(quantity AS INTEGER) AS quantity, CAST(price AS DOUBLE) AS total_price
+FROM placed JOIN lines USING (order_id)"""
 
 ORACLES: dict[str, str] = {
     "daily_orders_scan": f"WITH {DAILY} SELECT order_id, customer_id, order_date, category, subcategory, "
