@@ -31,15 +31,20 @@ def order_feed(orders: DataFrame) -> DataFrame:
     )
 
 
-def current_state(changes: DataFrame, key: list[str], order: list[str], deleted: str = "__deleted") -> DataFrame:
-    """The table that a log of change rows adds up to: last version per key, deletes removed.
+def latest_versions(changes: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """Last version per key, deleted ones included.
 
     A keyed aggregation with partial results on the map side, so a key with very many versions
     sends one row per task.
     """
     values = [c for c in changes.columns if c not in key]
     last = F.max_by(F.struct(*values), F.struct(*order)).alias("last")
-    return changes.groupBy(*key).agg(last).filter(~F.col(f"last.{deleted}")).select(*key, "last.*")
+    return changes.groupBy(*key).agg(last).select(*key, "last.*")
+
+
+def current_state(changes: DataFrame, key: list[str], order: list[str], deleted: str = "__deleted") -> DataFrame:
+    """The table that a log of change rows adds up to: last version per key, deletes removed."""
+    return latest_versions(changes, key, order).filter(~F.col(deleted))
 
 
 def with_snapshot(snapshot: DataFrame, changes: DataFrame, ts_ms: int = 0) -> DataFrame:

@@ -29,16 +29,16 @@ def slice_width(within: timedelta) -> timedelta:
     return within * SLICE_FACTOR
 
 
-def created_slices(
-    orders: DataFrame, within: timedelta = RAPID_WITHIN, min_amount: float | None = None
-) -> DataFrame:
+def is_created(min_amount: float | None = None) -> Column:
+    created = (F.col("order_status") == "CREATED") & F.col("user_id").isNotNull()
+    return created if min_amount is None else created & (F.col("total_amount") > min_amount)
+
+
+def time_slices(created: DataFrame, within: timedelta = RAPID_WITHIN) -> DataFrame:
     """New orders by (user, time slice). Each order appears in its own slice; one that comes less
     than ``within`` after the start of its slice also appears in the slice before, to be looked
     ahead to. So every rule hit is complete inside the slice of its first order, few rows are
     doubled, and a user with very many orders spreads over as many groups as slices."""
-    created = orders.filter((F.col("order_status") == "CREATED") & F.col("user_id").isNotNull())
-    if min_amount is not None:
-        created = created.filter(F.col("total_amount") > min_amount)
     width = slice_width(within)
     own, ms = F.col("own_slice"), F.col("timestamp")
     early = ms < own * millis(width) + millis(within)
@@ -55,7 +55,7 @@ def rapid_orders(
     """One alert per order that is followed by two more of the same user in less than ``within``."""
     in_slice = Window.partitionBy("user_id", "slice").orderBy("timestamp", "order_id")
     hits = (
-        created_slices(orders, within, min_amount)
+        time_slices(orders.filter(is_created(min_amount)), within)
         .select("user_id", "slice", "own_slice", "timestamp", "order_id")
         .withColumn("second", F.lead("order_id", 1).over(in_slice))
         .withColumn("third", F.lead(F.struct("timestamp", "order_id"), 2).over(in_slice))

@@ -25,6 +25,7 @@ from ..sources.feeds import table
 from ..sources.topics import read_table_stream, to_wire
 from ..streaming import jobs
 from ..streaming.runner import StreamRun, run_to_table
+from ..streaming.sync import SyncedTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,11 @@ AS_OF = "2001-08-01"
 ALERT_USER = "963"
 SESSION_USER = "7"
 
+PRODUCT_LOG = (
+    "product_id int, sku string, name string, price double, __op string, __table string, "
+    "__source_ts_ms bigint, __deleted boolean"
+)
+
 QUERIES: dict[str, Query] = {}
 
 
@@ -484,9 +490,13 @@ def cdc_current_state(spark, folder):
 
 @query
 def cdc_current_state_stream(spark, folder):
-    """A stream appends change rows to a log table; the state is read from the log."""
-    log = run_to_table(_unwrapped(read_table_stream(spark, folder, "part")), "product-log")
-    return _state(log)
+    """The state table as a stream of change rows keeps it."""
+    log = _unwrapped(read_table_stream(spark, folder, "part"))
+    run = StreamRun.new(spark, "product-sync")
+    synced = SyncedTable(run.table, PRODUCT_LOG, ("product_id",), ("__source_ts_ms",), buckets=8)
+    run.drain_batches(log, synced.write_batch)
+    state = synced.read(spark)
+    return state.select("product_id", "sku", "name", "price", F.col("__op").alias("op"))
 
 
 @query
@@ -550,6 +560,8 @@ def real_time_revenue_table(spark, folder):
 @query
 def fraud_alerts_table(spark, folder):
     path = work_dir(spark, "fraud-alerts")
-    out = _placed_alerts(spark, folder)
-    tables.write_alerts(out, path, mode="append")
+    out = fraud.fraud_alerts(
+        _purchases(spark, folder), RAPID_PURCHASES, THRESHOLD_PURCHASES, detected_at=F.col("event_time")
+    )
+    tables.write_alerts(out, path)
     return _alert_columns(spark.read.parquet(path).select(*out.columns))

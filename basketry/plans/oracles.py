@@ -534,5 +534,6 @@ FROM newest LEFT JOIN t ON newest.window_start = t.window_start""",
     "daily_revenue_table": f"WITH {DAILY} {DAILY_REVENUE}",
     "user_sessions_table": f"WITH {_sessions(LONG_GAP)} SELECT {SESSION_COLUMNS} FROM sessions",
     "real_time_revenue_table": REVENUE_FLAT,
-    "fraud_alerts_table": f"WITH {PLACED} {PLACED_ALERTS}",
+    "fraud_alerts_table": f"WITH {PURCHASES} {_rapid('purchases', DAY_MS)} "
+                          f"UNION ALL {_first('purchases', 100.0)}",
 }

@@ -21,6 +21,7 @@ def write_table(
     mode: str = "overwrite",
     keys: list[str] | None = None,
     cluster_by: list[str] | None = None,
+    small: bool = False,
 ) -> None:
     """Write a result table.
 
@@ -28,8 +29,9 @@ def write_table(
     double it. ``append`` adds rows. ``merge`` replaces rows with equal ``keys`` inside the touched
     partitions and keeps the rest; the partition columns have to be part of the keys.
 
-    Rows of one partition value go to as many files as the data needs: the shuffle key also holds
-    the clustering columns, and Spark splits large shuffle partitions when it rebalances.
+    Rows of one partition value go to as many files as the data needs: Spark splits large shuffle
+    partitions and joins small ones when it rebalances. ``small`` is for reports of a few rows per
+    partition, where writing many partitions side by side matters more than the size of files.
     """
     if mode == "merge":
         df = _merged(df, path, partition_by, keys or [])
@@ -37,7 +39,11 @@ def write_table(
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode: {mode}")
     spread = partition_by + (cluster_by or [])
-    out = df.hint("rebalance", *[F.col(c) for c in spread])
+    if small:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = df.repartition(tasks, *spread)
+    else:
+        out = df.hint("rebalance", *[F.col(c) for c in spread])
     out = out.sortWithinPartitions(*spread)
     (
         out.write.mode(mode)
@@ -51,8 +57,7 @@ def _merged(df: DataFrame, path: str, partition_by: list[str], keys: list[str])
     if not set(partition_by) <= set(keys):
         raise ValueError("merge keys must contain the partition columns")
     spark = df.sparkSession
-    if not _exists(spark, path):
-        return df
+    ensure_folder(spark, path)
     old = spark.read.schema(df.schema).parquet(path)
     touched = df.select(*partition_by).distinct()
     kept = old.join(touched, partition_by, "left_semi").join(
@@ -65,16 +70,17 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+def ensure_folder(spark: SparkSession, path: str) -> None:
+    """Make the folder of a table that may not have been written yet, so it reads as empty."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
 # Layout of the analytics tables: partition column derived from a timestamp, clustering columns.
 
 
 def write_daily(df: DataFrame, path: str, mode: str = "overwrite", keys: list[str] | None = None) -> None:
-    write_table(df, path, partition_by=["order_date"], mode=mode, keys=keys)
+    write_table(df, path, partition_by=["order_date"], mode=mode, keys=keys, small=True)
 
 
 def write_revenue(flat: DataFrame, path: str, mode: str = "overwrite", batch_id: int | None = None) -> None:

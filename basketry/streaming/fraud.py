@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.times import millis
-from ..operators.fraud import RAPID_WITHIN, created_slices, slice_width
+from ..operators.fraud import RAPID_WITHIN, is_created, slice_width, time_slices
 
 RAPID_SCHEMA = "user_id string, first string, second string, order_id string, event_time timestamp"
 FIRST_SCHEMA = "user_id string, order_id string, total_amount double, event_time timestamp"
@@ -20,7 +20,7 @@ FIRST_SCHEMA = "user_id string, order_id string, total_amount double, event_time
 class RapidOrders(StatefulProcessor):
     """Three new orders of one user in less than ``within``, found as the watermark passes the third.
 
-    Keyed by user and slice (see ``created_slices``). Orders wait until the watermark passes them
+    Keyed by user and slice (see ``time_slices``). Orders wait until the watermark passes them
     and are then taken in time order; of those, the last two stay to complete later hits. When the
     watermark has passed the slice and its lookahead, the state is empty again.
     """
@@ -97,9 +97,14 @@ class FirstOrder(StatefulProcessor):
 
 
 def rapid_hits(orders: DataFrame, within: timedelta = RAPID_WITHIN) -> DataFrame:
-    """Hits of the rapid-order rule; ``orders`` has a watermark on ``event_time``."""
+    """Hits of the rapid-order rule; ``orders`` has a watermark on ``event_time``.
+
+    Orders of every status move the watermark on. So the filter names ``event_time``: any other
+    filter Spark may apply before it looks at the event times.
+    """
+    created = orders.filter(F.when(F.col("event_time").isNotNull(), is_created()).otherwise(False))
     return (
-        created_slices(orders, within)
+        time_slices(created, within)
         .select("user_id", "slice", "timestamp", "order_id", "event_time")
         .groupBy("user_id", "slice")
         .transformWithStateInPandas(

@@ -152,6 +152,12 @@ def test_rapid_stream_equals_batch_with_disorder_and_restarts(spark):
     assert got == brute_rapid(orders, 300_000)
 
 
+def test_orders_of_any_status_move_the_watermark(spark):
+    batches = [seconds(0, 60, 120), [order("x", 900_000, user="z", status="SHIPPED")]]
+    got = feed(spark, StreamRun.new(spark, "status-test"), batches, jobs.rapid_order_stream)
+    assert got == [("ORD-R3", ("ORD-R1", "ORD-R2", "ORD-R3"))]
+
+
 def test_rapid_stream_drops_late_orders(spark):
     batches = [[order("a", 0), order("b", 1000)], [order("far", 3_600_000, user="other")], [order("late", 2000)],
                [order("end", 9_000_000, user="other")]]
