@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Merges that touch up to this many partitions name them in a filter.
+MAX_NAMED_PARTITIONS = 100
+
 
 def scan_day(spark: SparkSession, path: str, day: str, column: str = "order_date") -> DataFrame:
     """Rows of one day of a table partitioned by ``column``; other partitions are not read."""
@@ -34,8 +38,13 @@ def write_table(
     partition, where writing many partitions side by side matters more than the size of files.
     """
     if mode == "merge":
-        df = _merged(df, path, partition_by, keys or [])
-        mode = "overwrite"
+        df = df.persist()
+        try:
+            merged = _merged(df, path, partition_by, keys or [])
+            write_table(merged, path, partition_by=partition_by, cluster_by=cluster_by, small=small)
+        finally:
+            df.unpersist()
+        return
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode: {mode}")
     spread = partition_by + (cluster_by or [])
@@ -58,16 +67,26 @@ def _merged(df: DataFrame, path: str, partition_by: list[str], keys: list[str])
         raise ValueError("merge keys must contain the partition columns")
     spark = df.sparkSession
     ensure_folder(spark, path)
-    old = spark.read.schema(df.schema).parquet(path)
-    touched = df.select(*partition_by).distinct()
-    kept = old.join(touched, partition_by, "left_semi").join(
-        df.select(*keys), _null_safe(old, df, keys), "left_anti"
-    )
+    old = _touched(spark.read.schema(df.schema).parquet(path), df, partition_by)
+    kept = old.join(df.select(*keys), _null_safe(old, df, keys), "left_anti")
     return df.unionByName(kept.select(*df.columns))
 
 
+def _touched(old: DataFrame, df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Old rows of the partitions that ``df`` has rows for. A few partitions are named in a filter,
+    so that the others are not even read; more of them are found by a join."""
+    touched = df.select(*partition_by).distinct()
+    few = touched.limit(MAX_NAMED_PARTITIONS + 1).collect()
+    if not few:
+        return old.limit(0)
+    if len(few) > MAX_NAMED_PARTITIONS:
+        return old.join(touched, _null_safe(old, touched, partition_by), "left_semi")
+    named = [reduce(and_, [F.col(c).eqNullSafe(row[c]) for c in partition_by]) for row in few]
+    return old.filter(reduce(or_, named))
+
+
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+    return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
 def ensure_folder(spark: SparkSession, path: str) -> None:

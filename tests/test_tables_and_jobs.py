@@ -156,3 +156,18 @@ def test_default_date_is_yesterday():
     from datetime import date, timedelta
 
     assert Options(output="x").day == (date.today() - timedelta(days=1)).isoformat()
+
+
+@pytest.mark.parametrize("limit", [100, 1])
+def test_merge_of_named_and_joined_partitions(spark, rows, monkeypatch, limit):
+    monkeypatch.setattr(tables, "MAX_NAMED_PARTITIONS", limit)
+    path = work_dir(spark, "t")
+    keys = ["order_date", "category"]
+    first = days(spark, *[(f"2024-01-0{d}", c, 1.0) for d in (1, 2, 3) for c in "ab"])
+    tables.write_daily(first, path)
+    tables.write_daily(days(spark, ("2024-01-01", "a", 5.0), ("2024-01-03", "c", 6.0)), path, mode="merge", keys=keys)
+    assert read(spark, path, first, rows) == [
+        ("2024-01-01", "a", 5.0), ("2024-01-01", "b", 1.0), ("2024-01-02", "a", 1.0), ("2024-01-02", "b", 1.0),
+        ("2024-01-03", "a", 1.0), ("2024-01-03", "b", 1.0), ("2024-01-03", "c", 6.0)]
+    tables.write_daily(first.limit(0), path, mode="merge", keys=keys)
+    assert len(read(spark, path, first, rows)) == 7
