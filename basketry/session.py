@@ -28,6 +28,8 @@ BATCH_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+PARTITIONS = "spark.sql.shuffle.partitions"
+
 _local_base: str | None = None
 
 
@@ -41,10 +43,18 @@ def build_session(app: str = "basketry", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Give a session made elsewhere the settings that results depend on."""
+    """Give a session made elsewhere the settings that results depend on.
+
+    On a local master that leaves the number of shuffle partitions at Spark's default, it becomes
+    the number of cores: each state partition is a store of its own. A cluster keeps its setting.
+    """
     for key, value in QUERY_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    context = spark.sparkContext
+    untouched = not context.getConf().contains(PARTITIONS) and spark.conf.get(PARTITIONS) == "200"
+    if untouched and context.master.startswith("local"):
+        spark.conf.set(PARTITIONS, str(context.defaultParallelism))
     return spark
 
 
