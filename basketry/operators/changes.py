@@ -101,9 +101,9 @@ def price_changes(
 
 
 def signed_quantity() -> Column:
-    """IN adds, OUT takes away, ADJUSTMENT carries its own sign."""
-    kind, quantity = F.col("movement_type"), F.col("quantity")
-    return F.when(kind == "IN", quantity).when(kind == "OUT", -quantity).when(kind == "ADJUSTMENT", quantity)
+    """IN adds, OUT takes away, ADJUSTMENT carries its own sign; anything else changes nothing."""
+    kind, quantity = F.col("movement_type"), F.coalesce("quantity", F.lit(0))
+    return F.when(kind.isin("IN", "ADJUSTMENT"), quantity).when(kind == "OUT", -quantity).otherwise(0)
 
 
 def running_stock(
@@ -122,16 +122,21 @@ def running_stock(
     opening = (
         moves.groupBy("product_id", "slice")
         .agg(F.sum("delta").alias("slice_delta"))
-        .select("product_id", "slice", F.coalesce(F.sum("slice_delta").over(before), F.lit(0)).alias("opening"))
+        .select(
+            F.col("product_id").alias("of_product"),
+            F.col("slice").alias("of_slice"),
+            F.coalesce(F.sum("slice_delta").over(before), F.lit(0)).alias("opening"),
+        )
     )
+    same = F.col("product_id").eqNullSafe(F.col("of_product")) & (F.col("slice") == F.col("of_slice"))
     so_far = (
         Window.partitionBy("product_id", "slice").orderBy("timestamp", *order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
-        moves.join(opening, ["product_id", "slice"])
+        moves.join(opening, same)
         .withColumn("stock", F.col("opening") + F.sum("delta").over(so_far))
-        .drop("slice", "opening")
+        .drop("slice", "of_product", "of_slice", "opening")
     )
 
 

@@ -86,6 +86,11 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
     return feeds.order_lines(table(spark, folder, "lineitem"), table(spark, folder, "part"))
 
 
+def _sold_items(spark: SparkSession, folder: str) -> DataFrame:
+    lines = _lines(spark, folder).select("order_id", "category", "total_price")
+    return _placed(spark, folder).select("order_id", "event_time", "order_status").join(lines, "order_id")
+
+
 def _delivered(spark: SparkSession, folder: str) -> DataFrame:
     return feeds.daily_orders(spark, folder, statuses=(daily.DELIVERED,))
 
@@ -230,8 +235,7 @@ def revenue_by_category(spark, folder):
 
 @query
 def revenue_by_category_1day(spark, folder):
-    nested = feeds.order_events(_placed(spark, folder), _lines(spark, folder))
-    return revenue.revenue_by_category(nested, DAY)
+    return revenue.item_revenue(_sold_items(spark, folder), DAY)
 
 
 @query
@@ -269,10 +273,7 @@ def revenue_top_category(spark, folder):
 
 @query
 def revenue_summary(spark, folder):
-    placed = _placed(spark, folder)
-    lines = _lines(spark, folder).select("order_id", "category", "total_price")
-    sold = placed.select("order_id", "event_time", "order_status").join(lines, "order_id")
-    return revenue.revenue_summary(placed, sold, AS_OF)
+    return revenue.revenue_summary(_placed(spark, folder), _sold_items(spark, folder), AS_OF)
 
 
 @query

@@ -37,6 +37,7 @@ class Options:
     bootstrap: str | None = None
     date: str | None = None
     drain: bool = False  # process what is there and stop, instead of running on
+    every: str = CHECKPOINT_EVERY
 
     @property
     def day(self) -> str:
@@ -114,7 +115,7 @@ def _publish(options: Options, stream: DataFrame, topic: str, name: str, write:
 def _trigger(writer, options: Options):
     if options.drain:
         return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=CHECKPOINT_EVERY)
+    return writer.trigger(processingTime=options.every)
 
 
 def _wait(queries: list) -> None:
@@ -187,6 +188,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--bootstrap")
     parser.add_argument("--date")
     parser.add_argument("--drain", action="store_true")
+    parser.add_argument("--every", default=CHECKPOINT_EVERY)
     args = vars(parser.parse_args(argv))
     job = args.pop("job")
     failed = run_job(build_session(f"basketry-{job}"), Options(**args), job)

@@ -116,7 +116,8 @@ def rapid_hits(orders: DataFrame, within: timedelta = RAPID_WITHIN) -> DataFrame
 def first_order_hits(orders: DataFrame, threshold: float, ttl: timedelta | None = None) -> DataFrame:
     """Users whose first order is above the threshold, in order of arrival. Orders that arrive in
     the same micro-batch count in time order. Without ``ttl`` a user is remembered for good, and
-    the state grows with the number of users."""
+    the state grows with the number of users. With it the query has to run on a clock trigger: as
+    users expire by wall clock, Spark never finds it drained."""
     if ttl is None:
         mode, ttl_ms = "none", None
     else:

@@ -50,11 +50,11 @@ def test_price_changes_against_brute_force(spark, rows, width):
 @pytest.mark.parametrize("width", [1, 10, 10_000])
 def test_running_stock_against_brute_force(spark, rows, width):
     rng = random.Random(width)
-    moves = [(i, rng.choice([1, 1, 2]), rng.choice(["IN", "OUT", "ADJUSTMENT"]), rng.randrange(-5, 50),
-              rng.randrange(0, 300)) for i in range(200)]
+    moves = [(i, rng.choice([1, 1, 2, None]), rng.choice(["IN", "OUT", "ADJUSTMENT", "LOST"]),
+              rng.choice([None, *range(-5, 50)]), rng.randrange(0, 300)) for i in range(200)]
     want, level = [], {}
     for i, k, kind, q, ts in sorted(moves, key=lambda m: (m[4], m[0])):
-        level[k] = level.get(k, 0) + (-q if kind == "OUT" else q)
+        level[k] = level.get(k, 0) + {"OUT": -1, "LOST": 0}.get(kind, 1) * (q or 0)
         want.append((i, level[k]))
     df = spark.createDataFrame(moves, "movement_id int, product_id int, movement_type string, quantity bigint, "
                                       "timestamp bigint")

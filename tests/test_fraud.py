@@ -1,4 +1,5 @@
 import random
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -187,3 +188,24 @@ def test_alert_stream_is_the_union(spark):
     feed(spark, run, batches, jobs.alert_stream)
     types = sorted(r["alert_type"] for r in spark.read.parquet(run.table).collect())
     assert types == ["HIGH_VALUE_FIRST_ORDER", "RAPID_ORDERS"]
+
+
+def test_users_can_be_forgotten(spark):
+    """With a time to live the query never runs out of batches, so it is stopped by hand."""
+    from basketry.streaming.fraud import first_order_hits
+    from basketry.streaming.runner import stream_settings
+
+    run = StreamRun.new(spark, "ttl-test")
+    path = f"{run.folder}/orders"
+    spark.createDataFrame([order("o1", 0, amount=9000.0)], SCHEMA).write.parquet(path)
+    hits = first_order_hits(spark.readStream.schema(SCHEMA).parquet(path), 5000.0, ttl=timedelta(days=365))
+    with stream_settings(spark):
+        query = (hits.writeStream.format("memory").queryName("ttl_hits").option("checkpointLocation", run.checkpoint)
+                 .trigger(processingTime="1 second").start())
+        try:
+            deadline = time.time() + 60
+            while not spark.table("ttl_hits").count() and time.time() < deadline:
+                time.sleep(0.5)
+        finally:
+            query.stop()
+    assert [r["order_id"] for r in spark.table("ttl_hits").collect()] == ["o1"]
