@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.rows import with_computed
-from ..schemas import CDC_ORDER, CDC_PRODUCT
+from ..schemas import CDC_ORDER, CDC_PRODUCT, CONTRACTS
 
 # --- fixed values -----------------------------------------------------------------------------
 ERROR_MALFORMED = "Malformed record"
@@ -79,6 +79,14 @@ def parse_strict(messages: DataFrame, schema: T.StructType) -> DataFrame:
     return parse_safe(messages, schema, []).filter(sound).select("row.*")
 
 
+def parse_events(messages: DataFrame, name: str) -> DataFrame:
+    """``parse_safe`` for the events of a named schema, with its required fields."""
+    if name not in CONTRACTS:
+        raise ValueError(f"unknown schema {name!r}; choose one of {', '.join(CONTRACTS)}")
+    contract = CONTRACTS[name]
+    return parse_safe(messages, contract.schema, contract.required)
+
+
 def accepted(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("error").isNull()).select("row.*")
 

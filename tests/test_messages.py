@@ -110,3 +110,13 @@ def test_schema_lookup():
     assert schemas.get_schema("order") is schemas.ORDER and len(schemas.ORDER) == 14
     assert len(schemas.CLICKSTREAM) == 13 and len(schemas.INVENTORY) == 9 and len(schemas.FRAUD_ALERT) == 8
     assert schemas.get_schema("payments") is None
+
+
+def test_events_by_schema_name(spark, rows):
+    good = '{"event_id":"e","product_id":"p","event_type":"STOCK_UPDATE","new_stock":"4","warehouse_id":"w","timestamp":1}'
+    lines = [good, '{"event_id":"e"}', good.replace('"4"', '"x"')]
+    parsed = messages.parse_events(spark.createDataFrame([(v,) for v in lines], "value string"), "inventory")
+    assert rows(messages.accepted(parsed), "product_id", "new_stock", "new_price") == [("p", 4, None)]
+    assert rows(messages.rejected(parsed), "error") == [(messages.ERROR_MALFORMED,), (messages.ERROR_MISSING,)]
+    with pytest.raises(ValueError):
+        messages.parse_events(spark.createDataFrame([("x",)], "value string"), "payments")
