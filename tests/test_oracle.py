@@ -9,6 +9,9 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import check_oracle  # noqa: E402
 
+from basketry.plans.catalog import QUERIES  # noqa: E402
+from basketry.plans.oracles import ORACLES  # noqa: E402
+
 FOLDER = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no tables")
 
@@ -19,10 +22,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(check_oracle.queries()) == set(check_oracle.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(check_oracle.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     ok, note = check_oracle.compare(spark, con, name, FOLDER)
     assert ok, note
