@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from .decontaminate import OP5_SQL, op5_decontaminate
+from .pack_bestfit import op9_token_output
+from .pack_slack import op2_pack
 
 QUERIES = {
+    "op2_pack": op2_pack,
     "op5_decontaminate": op5_decontaminate,
+    "op9_token_output": op9_token_output,
 }
 
 ORACLES = {
