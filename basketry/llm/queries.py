@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 from .decontaminate import OP5_SQL, op5_decontaminate
+from .langid import op1_langid
 from .pack_bestfit import op9_token_output
 from .pack_slack import op2_pack
+from .quality import op8_quality
+from .toxicity import op10_toxicity
 
 QUERIES = {
+    "op1_langid": op1_langid,
     "op2_pack": op2_pack,
     "op5_decontaminate": op5_decontaminate,
+    "op8_quality": op8_quality,
     "op9_token_output": op9_token_output,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES = {
