@@ -6,12 +6,14 @@ from .decontaminate import OP5_SQL, op5_decontaminate
 from .langid import op1_langid
 from .pack_bestfit import op9_token_output
 from .pack_slack import op2_pack
+from .pii import OP3_SQL, op3_pii
 from .quality import op8_quality
 from .toxicity import op10_toxicity
 
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_pack": op2_pack,
+    "op3_pii": op3_pii,
     "op5_decontaminate": op5_decontaminate,
     "op8_quality": op8_quality,
     "op9_token_output": op9_token_output,
@@ -19,5 +21,6 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_pii": OP3_SQL,
     "op5_decontaminate": OP5_SQL,
 }
