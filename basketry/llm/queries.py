@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .decontaminate import OP5_SQL, op5_decontaminate
 from .langid import op1_langid
+from .ngram_join import OP7_SQL, op7_ngram_join
 from .pack_bestfit import op9_token_output
 from .pack_slack import op2_pack
 from .pii import OP3_SQL, op3_pii
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_pack": op2_pack,
     "op3_pii": op3_pii,
     "op5_decontaminate": op5_decontaminate,
+    "op7_ngram_join": op7_ngram_join,
     "op8_quality": op8_quality,
     "op9_token_output": op9_token_output,
     "op10_toxicity": op10_toxicity,
@@ -23,4 +25,5 @@ QUERIES = {
 ORACLES = {
     "op3_pii": OP3_SQL,
     "op5_decontaminate": OP5_SQL,
+    "op7_ngram_join": OP7_SQL,
 }
