@@ -156,8 +156,7 @@ def _run(path: str, window: int, end: int, kept: int, block: int, out: pa.Schema
         held = 0
         for batch in batches:
             names = [batch.column(i).to_pylist() for i in range(kept)]
-            texts = batch.column(kept).to_pylist()
-            found = coder.encode(texts, end)
+            found = coder.encode(batch.column(kept).to_pylist(), end)
             whole = []
             for row, ids in enumerate(found):
                 docs[number] = (tuple(n[row] for n in names), ids)

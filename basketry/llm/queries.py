@@ -9,12 +9,14 @@ from .pack_bestfit import op9_token_output
 from .pack_slack import op2_pack
 from .pii import OP3_SQL, op3_pii
 from .quality import op8_quality
+from .suffix_dedup import op4_suffix_dedup
 from .toxicity import op10_toxicity
 
 QUERIES = {
     "op1_langid": op1_langid,
     "op2_pack": op2_pack,
     "op3_pii": op3_pii,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontaminate": op5_decontaminate,
     "op7_ngram_join": op7_ngram_join,
     "op8_quality": op8_quality,

@@ -66,15 +66,27 @@ class ChunkTokenizer:
             ids += self.known[marks]
         return ids
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Ids of chunks not known yet; words come before the chunks that add marks to them."""
+        known, code, tokenize, letters = self.known, self.code, self.model.tokenize, self.letters
+        for chunk in sorted(chunks, key=len):
+            if chunk.isascii() and chunk.isalpha():
+                word = chunk.lower()
+                ids = known.get(word)
+                if ids is None:
+                    ids = known[word] = array(code, [t.id for t in tokenize(word)]).tobytes()
+                known[chunk] = ids
+            else:
+                known[chunk] = self._chunk(chunk)
+
     def encode(self, texts: list[str | None], end: int | None = None) -> list[np.ndarray]:
         """Ids of each text (null: empty), then the id ``end``."""
         chunks = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        distinct = set().union(*chunks) if chunks else set()
-        new = list(distinct - self.known.keys())
+        distinct = set().union(*chunks)
+        new = distinct - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
-            self.known = {c: self.known[c] for c in distinct if c in self.known} | {"": b""}
-        for chunk in sorted(new, key=len):
-            self.known[chunk] = self._chunk(chunk)
+            self.known = {c: self.known[c] for c in distinct - new} | {"": b""}
+        self._learn(list(new))
         tail = b"" if end is None else np.array([end], self.dtype).tobytes()
         of = self.known.__getitem__
         return [np.frombuffer(b"".join(map(of, own)) + tail, self.dtype) for own in chunks]
