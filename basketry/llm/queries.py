@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import op6_ann
 from .decontaminate import OP5_SQL, op5_decontaminate
 from .langid import op1_langid
 from .ngram_join import OP7_SQL, op7_ngram_join
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_suffix_dedup": op4_suffix_dedup,
     "op5_decontaminate": op5_decontaminate,
+    "op6_ann": op6_ann,
     "op7_ngram_join": op7_ngram_join,
     "op8_quality": op8_quality,
     "op9_token_output": op9_token_output,
