@@ -1,21 +1,20 @@
-"""Money arithmetic. Amounts carry two decimals, so sums run over whole cents: exact, in any order."""
+"""Money arithmetic. Amounts become decimals before they are added, so sums are exact in any order, also of
+fractions of a cent; only what the source rounds is rounded, once and after adding."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+MONEY = "decimal(28,10)"
 
-def cents(amount: Column) -> Column:
-    return F.floor(amount * 100 + 0.5)
 
-
-def from_cents(total: Column) -> Column:
-    return total / F.lit(100.0)
+def exact(amount: Column) -> Column:
+    return amount.cast(MONEY)
 
 
 def money_sum(amount: Column) -> Column:
-    return from_cents(F.sum(cents(amount)))
+    return F.sum(exact(amount)).cast("double")
 
 
 def round2(x: Column) -> Column:

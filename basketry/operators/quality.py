@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import Contract
 
+# Names of the daily tables.
 DAILY_TABLES = ("daily_revenue_by_category", "daily_top_cities", "daily_order_funnel")
 
 

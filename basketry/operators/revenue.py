@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.money import cents, from_cents, money_sum, ratio, round2
+from ..functions.money import MONEY, exact, money_sum, ratio, round2
 from ..functions.times import interval
 from ..schemas import REVENUE_STATUSES
 
@@ -28,7 +28,7 @@ def _bounds() -> list[Column]:
 
 def revenue_windows(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> DataFrame:
     """Scalars per window of a static DataFrame with ``event_time``."""
-    total = from_cents(F.coalesce(F.sum(cents(F.col("total_amount"))), F.lit(0)))
+    total = round2(F.coalesce(money_sum(F.col("total_amount")), F.lit(0.0)))
     users = F.count_distinct("user_id") + F.max(F.col("user_id").isNull().cast("int"))
     return (
         sales(orders)
@@ -97,7 +97,7 @@ def revenue_metrics(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> Dat
     region, each item). These fold by (window, kind, key), so no task ever holds the users of a
     window; the second grouping meets one row per key and turns categories and regions into maps.
     """
-    nothing = F.lit(None).cast("bigint")
+    nothing = F.lit(None).cast(MONEY)
 
     def fact(kind: str, key: Column, amount: Column) -> Column:
         return F.struct(F.lit(kind).alias("kind"), key.alias("key"), amount.alias("amount"))
@@ -108,14 +108,14 @@ def revenue_metrics(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> Dat
     )
     facts = F.concat(
         F.array(
-            fact("order", F.lit(None).cast("string"), cents(F.col("total_amount"))),
+            fact("order", F.lit(None).cast("string"), exact(F.col("total_amount"))),
             fact("user", F.col("user_id"), nothing),
         ),
         F.filter(
             F.array(fact("region", F.col("shipping_address_region"), nothing)),
             lambda f: f["key"].isNotNull(),
         ),
-        F.transform(priced, lambda i: fact("category", i["category"], cents(i["total_price"]))),
+        F.transform(priced, lambda i: fact("category", i["category"], exact(i["total_price"]))),
     )
     folded = (
         sales(orders)
@@ -145,11 +145,11 @@ def revenue_metrics(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> Dat
         .agg(
             F.min("first_event_ts").alias("first_event_ts"),
             F.max("last_event_ts").alias("last_event_ts"),
-            from_cents(F.coalesce(F.sum(of("order", F.col("amount"))), F.lit(0))).alias("gmv"),
+            round2(F.coalesce(F.sum(of("order", F.col("amount"))).cast("double"), F.lit(0.0))).alias("gmv"),
             F.sum(of("order", F.col("n"))).alias("order_count"),
             F.count_if(F.col("kind") == "user").alias("unique_users"),
             F.sum(of("order", F.col("first_orders"))).alias("first_time_orders"),
-            as_map("category", from_cents(F.col("amount"))).alias("revenue_by_category"),
+            as_map("category", F.col("amount").cast("double")).alias("revenue_by_category"),
             as_map("region", F.col("n")).alias("orders_by_region"),
         )
         .select(
@@ -221,7 +221,7 @@ def revenue_summary(orders: DataFrame, lines: DataFrame, as_of: str) -> DataFram
     best = (
         spans(sales(lines))
         .groupBy("period", "category")
-        .agg(F.sum(cents(F.col("total_price"))).alias("revenue"))
+        .agg(F.sum(exact(F.col("total_price"))).alias("revenue"))
         .groupBy("period")
         .agg(F.min_by("category", F.struct(-F.col("revenue"), F.col("category"))).alias("top_category"))
     )

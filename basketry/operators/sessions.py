@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import cents, from_cents
+from ..functions.money import exact
 from ..functions.times import millis, slice_of
 
 SESSION_GAP = timedelta(minutes=30)
@@ -35,14 +35,14 @@ def _is(event_type: str) -> Column:
 def _measures() -> list[Column]:
     spent = F.when(
         _is("PURCHASE") & F.col("price").isNotNull(),
-        cents(F.col("price")) * F.coalesce("quantity", F.lit(1)),
+        exact(F.col("price")) * F.coalesce("quantity", F.lit(1)),
     )
     return [
         F.count_if(_is("PAGE_VIEW")).alias("page_views"),
         F.count_if(_is("PRODUCT_VIEW")).alias("product_views"),
         F.count_if(_is("ADD_TO_CART")).alias("add_to_cart_count"),
         F.count_if(_is("PURCHASE")).alias("purchase_count"),
-        F.coalesce(F.sum(spent), F.lit(0)).alias("revenue_cents"),
+        F.sum(spent).cast("decimal(38,10)").alias("revenue"),
         F.max("timestamp").alias("last_ms"),
         F.min(F.struct("timestamp", "event_id", "session_id", "device_type", "geo_region"))
         .alias("opening"),
@@ -62,7 +62,7 @@ def _result() -> list[Column]:
         views,
         F.col("add_to_cart_count"),
         purchases,
-        from_cents(F.col("revenue_cents")).alias("total_revenue"),
+        F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("total_revenue"),
         F.col("opening.device_type").alias("device_type"),
         F.col("opening.geo_region").alias("geo_region"),
         F.col("primary_category"),
@@ -70,7 +70,7 @@ def _result() -> list[Column]:
     ]
 
 
-_SUMS = ("page_views", "product_views", "add_to_cart_count", "purchase_count", "revenue_cents")
+_SUMS = ("page_views", "product_views", "add_to_cart_count", "purchase_count", "revenue")
 
 
 def _combine() -> list[Column]:

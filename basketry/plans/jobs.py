@@ -63,13 +63,15 @@ def run_daily(spark: SparkSession, options: Options) -> DataFrame:
     lines = tables.scan_day(spark, options.input, options.day)
     lines = lines.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd")).persist()
     try:
-        for name, report in daily_reports(lines, options.day).items():
-            tables.write_daily(report, f"{options.output}/{name}")
+        reports = daily_reports(lines, options.day)
+        for name, report in reports.items():
+            tables.replace_day(report, f"{options.output}/{name}", options.day)
         daily.daily_summary(lines).show(truncate=False)
     finally:
         lines.unpersist()
     written = {
-        name: tables.scan_day(spark, f"{options.output}/{name}", options.day) for name in quality.DAILY_TABLES
+        name: spark.read.schema(report.schema).parquet(f"{options.output}/{name}")
+        .filter(F.col("order_date") == options.day) for name, report in reports.items()
     }
     return quality.daily_checks(written).filter(~F.col("passed"))
 

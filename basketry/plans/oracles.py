@@ -40,14 +40,14 @@ placed AS (
               WHEN 'P' THEN 'CANCELLED' END AS order_status,
          CAST(o_totalprice AS DECIMAL(18,2)) AS amount, o_totalprice AS total_amount,
          n_name AS region, epoch_us(o_orderdate) // 1000 AS ms
-  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 LINES = """
 lines AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, l_linenumber AS line_number,
          CAST(l_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category,
          CAST(l_quantity AS BIGINT) AS quantity, CAST(l_extendedprice AS DECIMAL(18,2)) AS price
-  FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"""
 
 DAILY = """
 daily AS (
@@ -57,8 +57,8 @@ daily AS (
          n_name AS city,
          CASE o_orderstatus WHEN 'F' THEN 'DELIVERED' WHEN 'O' THEN 'SHIPPED' ELSE 'PROCESSING' END AS status,
          CAST(l_partkey AS VARCHAR) AS product_id
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-       JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN part ON l_partkey = p_partkey
+       LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 CHANGES = """
 versions AS (
@@ -451,7 +451,7 @@ NESTED = f"""
 WITH {PLACED}, {LINES}
 SELECT order_id, user_id, order_status, line_number, product_id, product_name, category,
        CAST(quantity AS INTEGER) AS quantity, CAST(price AS DOUBLE) AS total_price
-FROM placed JOIN lines USING (order_id)"""
+FROM placed LEFT JOIN lines USING (order_id)"""
 
 ORACLES: dict[str, str] = {
     "daily_orders_scan": f"WITH {DAILY} SELECT order_id, customer_id, order_date, category, subcategory, "
@@ -474,7 +474,15 @@ ORACLES: dict[str, str] = {
     "sessions_list": f"WITH {_sessions(LONG_GAP)} SELECT {SESSION_LIST} FROM sessions",
     "sessions_by_user": f"WITH {_sessions(LONG_GAP)} SELECT {SESSION_LIST} FROM sessions WHERE user_id = '7'",
     "revenue_1min": f"WITH {PURCHASES} {_revenue('purchases', 60000, 'is_first')}",
-    "revenue_1day": f"WITH {PLACED} {_revenue(SOLD, DAY_MS, 'false')}",
+    "revenue_1day": f"WITH {PLACED} " + _revenue(
+        "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ms, order_id) = 1 AS is_first "
+        "FROM placed) WHERE order_status IN ('CREATED', 'PAYMENT_COMPLETED'))", DAY_MS, "is_first"),
+    "revenue_fractions": f"""
+WITH {PURCHASES}, cut AS (SELECT *, CAST(total_amount / 100 AS DECIMAL(18,4)) AS fine FROM purchases),
+t AS (SELECT ms // {DAY_MS} AS d, CAST(sum(fine) AS DOUBLE) AS total, count(*) AS n FROM cut GROUP BY ms // {DAY_MS})
+SELECT {_ts(f"d * {DAY_MS}")} AS window_start, category, CAST(sum(fine) AS DOUBLE) AS revenue,
+       any_value({_round2("total")}) AS gmv, any_value({_round2(_round2("total") + " / n")}) AS average_order_value
+FROM cut JOIN t ON d = ms // {DAY_MS} WHERE category IS NOT NULL GROUP BY d, category""",
     "revenue_by_category": f"WITH {PURCHASES} {_categories(60000)}",
     "revenue_by_category_1day": f"WITH {PLACED}, {LINES} " + _categories(
         DAY_MS, f"(SELECT ms, category, price FROM {SOLD} JOIN lines USING (order_id))", "price"),
@@ -532,6 +540,7 @@ FROM newest LEFT JOIN t ON newest.window_start = t.window_start""",
     "inventory_latest": INVENTORY,
     "order_events_nested": NESTED,
     "daily_revenue_table": f"WITH {DAILY} {DAILY_REVENUE}",
+    "daily_rerun_table": f"WITH {DAILY} SELECT * FROM ({DAILY_REVENUE}) WHERE order_date <> '1998-10-03'",
     "user_sessions_table": f"WITH {_sessions(LONG_GAP)} SELECT {SESSION_COLUMNS} FROM sessions",
     "real_time_revenue_table": REVENUE_FLAT,
     "fraud_alerts_table": f"WITH {PURCHASES} {_rapid('purchases', DAY_MS)} "

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -28,10 +27,6 @@ BATCH_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-PARTITIONS = "spark.sql.shuffle.partitions"
-
-_local_base: str | None = None
-
 
 def build_session(app: str = "basketry", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -43,33 +38,14 @@ def build_session(app: str = "basketry", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Give a session made elsewhere the settings that results depend on.
-
-    On a local master that leaves the number of shuffle partitions at Spark's default, it becomes
-    the number of cores: each state partition is a store of its own. A cluster keeps its setting.
-    """
+    """Give a session made elsewhere the settings that results depend on; the rest is its owner's."""
     for key, value in QUERY_CONF.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-    context = spark.sparkContext
-    untouched = not context.getConf().contains(PARTITIONS) and spark.conf.get(PARTITIONS) == "200"
-    if untouched and context.master.startswith("local"):
-        spark.conf.set(PARTITIONS, str(context.defaultParallelism))
     return spark
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder below the shared one named by ``spark.checkpoint.dir``.
-
-    Executors on every host must see it. Only a local master, where all tasks share one disk, may
-    run without the setting; it then gets a temporary folder.
-    """
-    global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="basketry-")
-        base = _local_base
+    """A new folder that executors on every host see: below ``spark.checkpoint.dir``, else in the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

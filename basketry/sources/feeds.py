@@ -33,6 +33,10 @@ STOCK_EVENT_TYPES = {
 }
 MOVEMENT_OF_FLAG = {"R": "IN", "A": "OUT", "N": "ADJUSTMENT"}
 DEVICES = ("mobile", "desktop", "tablet")
+DAILY_COLUMNS = (
+    "order_id", "customer_id", "order_date", "category", "subcategory", "amount", "quantity", "city", "status",
+    "product_id",
+)
 # ----------------------------------------------------------------------------------------------
 
 
@@ -108,29 +112,39 @@ def purchase_orders(events: DataFrame) -> DataFrame:
 
 
 def _regions(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left").select(
         "c_custkey", F.col("n_name").alias("region")
     )
 
 
-def placed_orders(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Orders as order events without their items."""
-    return (
-        orders.join(_regions(customer, nation), orders["o_custkey"] == F.col("c_custkey"))
-        .select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.col("o_custkey").cast("string").alias("user_id"),
-            _recode(F.col("o_orderstatus"), ORDER_EVENT_STATUS).alias("order_status"),
-            F.col("o_totalprice").alias("total_amount"),
-            F.col("region").alias("shipping_address_region"),
-            _epoch_ms("o_orderdate").alias("timestamp"),
-        )
+def between_days(orders: DataFrame, first: Column, last: Column) -> DataFrame:
+    """Orders from the first day to the last, as bounds of the raw date column that reach the scan."""
+    after = last.cast("timestamp_ntz") + F.expr("interval 1 day")
+    return orders.filter((F.col("o_orderdate") >= first.cast("timestamp_ntz")) & (F.col("o_orderdate") < after))
+
+
+def placed_orders(orders: DataFrame) -> DataFrame:
+    """Orders as order events without their items and region."""
+    return orders.select(
+        F.col("o_orderkey").cast("string").alias("order_id"),
+        F.col("o_custkey").cast("string").alias("user_id"),
+        _recode(F.col("o_orderstatus"), ORDER_EVENT_STATUS).alias("order_status"),
+        F.col("o_totalprice").alias("total_amount"),
+        _epoch_ms("o_orderdate").alias("timestamp"),
     )
 
 
+def with_region(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
+    """Order events with the region of their user, null where it is not known."""
+    regions = _regions(customer, nation).select(
+        F.col("c_custkey").cast("string").alias("user_id"), F.col("region").alias("shipping_address_region")
+    )
+    return orders.join(regions, "user_id", "left")
+
+
 def order_lines(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """Order lines with the category of their product."""
-    return lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"]).select(
+    """Order lines with the category of their product, null where the product is not known."""
+    return lineitem.join(part, lineitem["l_partkey"] == part["p_partkey"], "left").select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
         F.col("l_partkey").cast("string").alias("product_id"),
@@ -146,36 +160,36 @@ def daily_orders(
     folder: str,
     day: str | None = None,
     statuses: tuple[str, ...] | None = None,
+    columns: tuple[str, ...] = DAILY_COLUMNS,
 ) -> DataFrame:
-    """Order lines of the daily job. Day and status become filters of the ``orders`` scan."""
+    """Order lines of the daily job. Day and status become filters of the ``orders`` scan; tables that none of the
+    ``columns`` needs are not read. A line keeps its place where product or customer is not known."""
     orders = table(spark, folder, "orders")
     if day is not None:
-        start = F.lit(day).cast("timestamp_ntz")
-        orders = orders.filter(
-            (F.col("o_orderdate") >= start) & (F.col("o_orderdate") < start + F.expr("interval 1 day"))
-        )
+        orders = between_days(orders, F.lit(day), F.lit(day))
     if statuses is not None:
         codes = [code for code, label in BATCH_STATUS.items() if label in statuses]
         orders = orders.filter(F.col("o_orderstatus").isin(codes))
-    lineitem, part = table(spark, folder, "lineitem"), table(spark, folder, "part")
-    regions = _regions(table(spark, folder, "customer"), table(spark, folder, "nation"))
-    return (
-        lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"])
-        .join(part, F.col("l_partkey") == part["p_partkey"])
-        .join(regions, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("o_orderkey").cast("string").alias("order_id"),
-            F.col("o_custkey").cast("string").alias("customer_id"),
-            F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
-            F.col("p_type").alias("category"),
-            F.col("p_brand").alias("subcategory"),
-            F.col("l_extendedprice").alias("amount"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            F.col("region").alias("city"),
-            _recode(F.col("o_orderstatus"), BATCH_STATUS).alias("status"),
-            F.col("l_partkey").cast("string").alias("product_id"),
-        )
-    )
+    lineitem = table(spark, folder, "lineitem")
+    rows = lineitem.join(orders, lineitem["l_orderkey"] == orders["o_orderkey"])
+    made = {
+        "order_id": F.col("o_orderkey").cast("string"),
+        "customer_id": F.col("o_custkey").cast("string"),
+        "order_date": F.date_format("o_orderdate", "yyyy-MM-dd"),
+        "amount": F.col("l_extendedprice"),
+        "quantity": F.col("l_quantity").cast("int"),
+        "status": _recode(F.col("o_orderstatus"), BATCH_STATUS),
+        "product_id": F.col("l_partkey").cast("string"),
+    }
+    if {"category", "subcategory"} & set(columns):
+        part = table(spark, folder, "part")
+        rows = rows.join(part, F.col("l_partkey") == part["p_partkey"], "left")
+        made |= {"category": F.col("p_type"), "subcategory": F.col("p_brand")}
+    if "city" in columns:
+        regions = _regions(table(spark, folder, "customer"), table(spark, folder, "nation"))
+        rows = rows.join(regions, F.col("o_custkey") == F.col("c_custkey"), "left")
+        made["city"] = F.col("region")
+    return rows.select(*[made[c].alias(c) for c in columns])
 
 
 def order_messages(orders: DataFrame) -> DataFrame:
@@ -277,23 +291,7 @@ def stock_events(events: DataFrame) -> DataFrame:
     )
 
 
-def order_events(orders: DataFrame, lines: DataFrame, max_items: int = 10_000) -> DataFrame:
-    """Order events with nested ``items``.
-
-    An event holds at most about ``max_items`` items: an order with more comes as several rows,
-    numbered by ``item_part``, which together hold all of its items. So no order, however large,
-    has to fit in one row or one task. Orders of usual size are one row with part 0.
-    """
-    sizes = lines.groupBy("order_id").agg(F.count("*").alias("n")).filter(F.col("n") > max_items)
-    large = sizes.select("order_id", F.ceil(F.col("n") / max_items).alias("parts"))
-    spread = F.pmod(F.xxhash64("line_number", "product_id", "quantity", "total_price"), F.col("parts"))
+def order_events(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    """Order events with one ``item`` per row, so an order of any size fits; one without items has a null item."""
     item = F.struct("line_number", "product_id", "product_name", "category", "quantity", "total_price")
-    nested = (
-        lines.join(large, "order_id", "left")
-        .withColumn("item_part", F.coalesce(spread, F.lit(0)))
-        # The join leaves all lines of an order together; this spreads the parts of large ones.
-        .repartition("order_id", "item_part")
-        .groupBy("order_id", "item_part")
-        .agg(F.sort_array(F.collect_list(item)).alias("items"))
-    )
-    return orders.join(nested, "order_id")
+    return orders.join(lines.select("order_id", item.alias("item")), "order_id", "left")

@@ -8,10 +8,6 @@ from operator import and_, or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Merges that touch up to this many partitions name them in a filter.
-MAX_NAMED_PARTITIONS = 100
-
-
 def scan_day(spark: SparkSession, path: str, day: str, column: str = "order_date") -> DataFrame:
     """Rows of one day of a table partitioned by ``column``; other partitions are not read."""
     return spark.read.parquet(path).filter(F.col(column) == day)
@@ -73,16 +69,15 @@ def _merged(df: DataFrame, path: str, partition_by: list[str], keys: list[str])
 
 
 def _touched(old: DataFrame, df: DataFrame, partition_by: list[str]) -> DataFrame:
-    """Old rows of the partitions that ``df`` has rows for. A few partitions are named in a filter,
-    so that the others are not even read; more of them are found by a join."""
-    touched = df.select(*partition_by).distinct()
-    few = touched.limit(MAX_NAMED_PARTITIONS + 1).collect()
-    if not few:
-        return old.limit(0)
-    if len(few) > MAX_NAMED_PARTITIONS:
-        return old.join(touched, _null_safe(old, touched, partition_by), "left_semi")
-    named = [reduce(and_, [F.col(c).eqNullSafe(row[c]) for c in partition_by]) for row in few]
-    return old.filter(reduce(or_, named))
+    """Old rows of the partitions that ``df`` has rows for, all of them named in a filter, so that the others are
+    not even read. There are no more names than folders in the file listing that the driver holds anyway."""
+    touched = df.select(*partition_by).distinct().collect()
+    if len(partition_by) == 1:
+        column, values = F.col(partition_by[0]), [row[0] for row in touched]
+        named = column.isin([v for v in values if v is not None])
+        return old.filter(named | column.isNull() if None in values else named)
+    rows = [reduce(and_, [F.col(c).eqNullSafe(row[c]) for c in partition_by]) for row in touched]
+    return old.filter(reduce(or_, rows, F.lit(False)))
 
 
 def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
@@ -95,6 +90,12 @@ def ensure_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def clear_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    """Remove one partition of a table, as an overwrite without rows leaves the old ones."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 # Layout of the analytics tables: partition column derived from a timestamp, clustering columns.
 
 
@@ -102,6 +103,19 @@ def write_daily(df: DataFrame, path: str, mode: str = "overwrite", keys: list[st
     write_table(df, path, partition_by=["order_date"], mode=mode, keys=keys, small=True)
 
 
+def replace_day(report: DataFrame, path: str, day: str) -> None:
+    """Put a report in the place of everything the table has for the day, also where it has no rows."""
+    report = report.filter(F.col("order_date") == day).persist()
+    try:
+        ensure_folder(report.sparkSession, path)
+        if report.isEmpty():
+            clear_partition(report.sparkSession, path, "order_date", day)
+        else:
+            write_daily(report, path)
+    finally:
+        report.unpersist()
+
+
 def write_revenue(flat: DataFrame, path: str, mode: str = "overwrite", batch_id: int | None = None) -> None:
     """Per-minute revenue rows, one partition per hour of the window end, clustered by region."""
     hour = F.date_format("window_end_timestamp", "yyyy-MM-dd-HH")

@@ -1,5 +1,7 @@
 """The golden day: eight orders, expected values worked out by hand."""
 
+import os
+
 import pytest
 
 from basketry.operators import daily, quality
@@ -90,3 +92,53 @@ def test_plan_pushes_filters_to_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "In(o_orderstatus" in plan or "EqualTo(o_orderstatus,F)" in plan
     assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_fractions_of_a_cent_add_up(spark):
+    from datetime import timedelta
+
+    from basketry.operators import revenue
+
+    orders = spark.range(1000).selectExpr(
+        "timestamp_seconds(60) as event_time", "'CREATED' as order_status", "cast(id as string) as user_id",
+        "0.004D as total_amount", "false as is_first_order", "'r' as shipping_address_region",
+        "array(named_struct('category', 'c', 'total_price', 0.004D)) as items")
+    minute = timedelta(minutes=1)
+    assert revenue.revenue_windows(orders, minute).first()["gmv"] == 4.0
+    whole = revenue.revenue_metrics(orders, minute).first()
+    assert (whole["gmv"], whole["revenue_by_category"]) == (4.0, {"c": 4.0})
+
+
+def test_an_order_of_many_items_counts_once(spark):
+    from datetime import timedelta
+
+    from basketry.operators import revenue
+
+    orders = spark.sql("""select timestamp_seconds(60) as event_time, 'CREATED' as order_status, 'u' as user_id,
+        100.0D as total_amount, true as is_first_order, 'r' as shipping_address_region,
+        transform(sequence(1, 25), x -> named_struct('category', 'c', 'total_price', 4.0D)) as items""")
+    whole = revenue.revenue_metrics(orders, timedelta(minutes=1)).first()
+    assert (whole["gmv"], whole["order_count"], whole["first_time_orders"]) == (100.0, 1, 1)
+    assert whole["revenue_by_category"] == {"c": 100.0}
+
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no tables")
+@pytest.mark.parametrize("name", ["order_funnel", "daily_summary", "daily_revenue", "revenue_1day", "high_value_first_order",
+                                  "top_products", "fraud_alerts", "risk_score"])
+def test_reports_read_no_table_in_vain(spark, name):
+    from basketry.plans.catalog import QUERIES
+
+    plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "c_custkey" not in plan and "n_nationkey" not in plan
+    assert ("p_partkey" in plan) == (name == "daily_revenue")
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="no tables")
+def test_the_week_reaches_the_orders_scan(spark):
+    from basketry.plans.catalog import QUERIES
+
+    plan = QUERIES["revenue_summary"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan

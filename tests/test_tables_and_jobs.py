@@ -158,9 +158,7 @@ def test_default_date_is_yesterday():
     assert Options(output="x").day == (date.today() - timedelta(days=1)).isoformat()
 
 
-@pytest.mark.parametrize("limit", [100, 1])
-def test_merge_of_named_and_joined_partitions(spark, rows, monkeypatch, limit):
-    monkeypatch.setattr(tables, "MAX_NAMED_PARTITIONS", limit)
+def test_merge_reads_the_touched_partitions(spark, rows):
     path = work_dir(spark, "t")
     keys = ["order_date", "category"]
     first = days(spark, *[(f"2024-01-0{d}", c, 1.0) for d in (1, 2, 3) for c in "ab"])
@@ -171,3 +169,25 @@ def test_merge_of_named_and_joined_partitions(spark, rows, monkeypatch, limit):
         ("2024-01-03", "a", 1.0), ("2024-01-03", "b", 1.0), ("2024-01-03", "c", 6.0)]
     tables.write_daily(first.limit(0), path, mode="merge", keys=keys)
     assert len(read(spark, path, first, rows)) == 7
+
+
+def test_a_day_without_rows_is_cleared(spark, rows):
+    path = work_dir(spark, "t")
+    first = days(spark, ("2024-01-01", "a", 1.0), ("2024-01-02", "a", 2.0))
+    tables.replace_day(first.limit(0), path, "2024-01-02")
+    assert read(spark, path, first, rows) == []
+    tables.write_daily(first, path)
+    tables.replace_day(first.limit(0), path, "2024-01-02")
+    assert read(spark, path, first, rows) == [("2024-01-01", "a", 1.0)]
+
+
+def test_daily_job_again_without_delivered_orders(spark):
+    folder = work_dir(spark, "job")
+    row = ("o", "u", "2024-01-17", "c", "s", 10.0, 1, "x", "DELIVERED")
+    options = Options(output=f"{folder}/out", input=f"{folder}/in", date="2024-01-17")
+    for status, failed in (("DELIVERED", []), ("CANCELLED", ["row_count", "row_count"])):
+        lines = spark.createDataFrame([(*row[:-1], status)], BATCH_ORDER)
+        lines.write.mode("overwrite").partitionBy("order_date").parquet(f"{folder}/in")
+        assert [r["check_name"] for r in run_job(spark, options, "daily").collect()] == failed
+    [f] = [r for r in spark.read.parquet(f"{folder}/out/daily_order_funnel").collect()]
+    assert f["status"] == "CANCELLED"
