@@ -19,7 +19,8 @@ FIRST_ORDER_BONUS = 0.1
 def risk_score(amount: Column, first_order: Column) -> Column:
     by_amount = F.least(amount / AMOUNT_AT_FULL_SCALE, F.lit(AMOUNT_SCORE_LIMIT))
     bonus = F.when(first_order, F.lit(FIRST_ORDER_BONUS)).otherwise(F.lit(0.0))
-    return (
+    """Null for a null amount."""
+    return F.when(amount.isNull(), F.lit(None).cast("double")).otherwise(
         F.when(amount < 0, F.lit(NEGATIVE_AMOUNT_SCORE))
         .when(amount == 0, F.lit(0.0))
         .otherwise(F.least(by_amount + bonus, F.lit(1.0)))

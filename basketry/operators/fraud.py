@@ -19,7 +19,7 @@ from ..functions.times import millis, slice_of
 RAPID_WITHIN = timedelta(minutes=5)
 SLICE_FACTOR = 6
 HIGH_VALUE_THRESHOLD = 5000.0
-TEXT_RAPID = "User placed 3 orders within 5 minutes. First: %s, Last: %s"
+TEXT_RAPID = "User placed 3 orders within %d minutes. First: %s, Last: %s"
 TEXT_HIGH_VALUE = "First order from user is high value: %.2f TRY (threshold: %.2f)"
 TEXT_LOCATION = "Order from new city for existing user"
 # ----------------------------------------------------------------------------------------------
@@ -69,15 +69,17 @@ def rapid_orders(
             F.timestamp_millis("third.timestamp").alias("event_time"),
         )
     )
-    return rapid_alerts(hits, detected_at)
+    return rapid_alerts(hits, within, detected_at)
 
 
-def rapid_alerts(hits: DataFrame, detected_at: Column | None = None) -> DataFrame:
+def rapid_alerts(
+    hits: DataFrame, within: timedelta = RAPID_WITHIN, detected_at: Column | None = None
+) -> DataFrame:
     return alert_rows(
         hits,
         "RAPID_ORDERS",
         SCORE_RAPID_ORDERS,
-        F.format_string(TEXT_RAPID, "first", "order_id"),
+        F.format_string(TEXT_RAPID, F.lit(within // timedelta(minutes=1)), "first", "order_id"),
         F.array("first", "second", "order_id"),
         detected_at,
     )

@@ -400,8 +400,11 @@ def _parsed_orders(spark, folder):
 
 @query
 def dlq_valid(spark, folder):
-    return messages.accepted(_parsed_orders(spark, folder)).select(
-        "order_id", "user_id", "order_status", "total_amount", "timestamp"
+    rows = messages.accepted(_parsed_orders(spark, folder))
+    item = F.explode("items").alias("item")
+    return rows.select("order_id", "user_id", "order_status", "total_amount", "timestamp", "is_first_order", item).select(
+        "order_id", "user_id", "order_status", "total_amount", "timestamp", "is_first_order", "item.product_id",
+        "item.category", "item.quantity", "item.total_price"
     )
 
 
@@ -460,6 +463,12 @@ def cdc_unwrap(spark, folder):
     )
 
 
+@query
+def cdc_rejected(spark, folder):
+    envelopes = feeds.product_changes(table(spark, folder, "part")).select("value")
+    return messages.rejected(messages.read_envelopes(envelopes, _product_row())).select("error", "original")
+
+
 def _product_messages(part: DataFrame) -> DataFrame:
     return messages.flatten_json(_unwrapped(part))
 

@@ -307,7 +307,7 @@ def _rapid(source: str, within_ms: int, extra: str = "true") -> str:
     SELECT user_id, order_id AS first, ms AS first_ms, lead(order_id, 1) OVER w AS second,
            lead(order_id, 2) OVER w AS order_id, lead(ms, 2) OVER w AS ms
     FROM {source} WINDOW w AS (PARTITION BY user_id ORDER BY ms, order_id))"""
-    text = "'User placed 3 orders within 5 minutes. First: ' || first || ', Last: ' || order_id"
+    text = f"'User placed 3 orders within {within_ms // 60000} minutes. First: ' || first || ', Last: ' || order_id"
     related = "first || ',' || second || ',' || order_id"
     return _alert("RAPID_ORDERS", 0.85, text, related, hits, f"ms - first_ms < {within_ms} AND {extra}")
 
@@ -350,24 +350,38 @@ FROM flagged"""
 STATUS = """CASE o_orderstatus WHEN 'F' THEN 'CREATED' WHEN 'O' THEN 'PAYMENT_COMPLETED'
               WHEN 'P' THEN 'CANCELLED' END"""
 
+MESSAGE = f"""
+  SELECT o_orderkey AS k, o_orderkey % 10 AS odd, o_orderpriority AS priority, o_custkey, o_orderdate, o_totalprice,
+         {STATUS} AS order_status, epoch_us(o_orderdate) // 1000 AS ms,
+         (SELECT string_agg('{{"product_id":"P' || i || '","category":"c' || i || '","quantity":'
+                            || CASE WHEN o_orderkey % 10 = 2 THEN '5.7' ELSE i::VARCHAR END
+                            || ',"total_price":' || i || '.5}}', ',' ORDER BY i)
+          FROM range(1, o_orderkey % 3 + 2) r(i)) AS items
+  FROM orders"""
+
+BROKEN = "(priority IN ('3-MEDIUM', '5-LOW') OR odd IN (3, 4))"
+
 REJECTED = f"""
-  SELECT CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Missing required fields: userId or orderId'
-              ELSE 'Malformed record' END AS error,
-         CASE o_orderpriority
-           WHEN '5-LOW' THEN '{{"order_id":"' || o_orderkey || '","user_id"'
-           WHEN '3-MEDIUM' THEN '{{"order_id":"' || o_orderkey || '","user_id":"' || o_custkey
-                || '","order_status":"' || {STATUS} || '","total_amount":"n/a","timestamp":'
-                || (epoch_us(o_orderdate) // 1000) || ',"channel":"web"}}'
-           ELSE '{{"order_id":"' || o_orderkey || '","order_status":"' || {STATUS}
-                || '","total_amount":"' || CAST(o_totalprice AS DECIMAL(18,2)) || '","timestamp":'
-                || (epoch_us(o_orderdate) // 1000) || ',"channel":"web"}}'
-         END AS original
-  FROM orders WHERE o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')"""
+  SELECT CASE WHEN {BROKEN} THEN 'Malformed record' ELSE 'Missing required fields: userId or orderId' END AS error,
+         CASE WHEN priority = '5-LOW' THEN '{{"order_id":"' || k || '","user_id"'
+         ELSE '{{"order_id":' || CASE WHEN odd = 4 THEN '{{"x":1}}' ELSE '"' || k || '"' END || ','
+              || CASE WHEN priority <> '4-NOT SPECIFIED' THEN '"user_id":"' || o_custkey || '",' ELSE '' END
+              || '"order_status":"' || order_status || '","total_amount":"'
+              || CASE WHEN priority = '3-MEDIUM' THEN 'n/a' ELSE CAST(o_totalprice AS DECIMAL(18,2))::VARCHAR END
+              || '","timestamp":' || CASE WHEN odd = 1 THEN (ms // 1000) || 'E3' ELSE ms::VARCHAR END
+              || ',"items":[' || items || '],"is_first_order":' || CASE WHEN odd = 3 THEN '"yes"' ELSE 'true' END
+              || ',"channel":"web"}}' END AS original
+  FROM ({MESSAGE}) WHERE {BROKEN} OR priority = '4-NOT SPECIFIED'"""
 
 VALID = f"""
-  SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS VARCHAR) AS user_id,
-         {STATUS} AS order_status, o_totalprice AS total_amount, (epoch_us(o_orderdate) // 1000) AS "timestamp"
-  FROM orders WHERE o_orderpriority NOT IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW')"""
+  SELECT k::VARCHAR AS order_id, o_custkey::VARCHAR AS user_id, order_status, o_totalprice AS total_amount,
+         ms AS "timestamp", true AS is_first_order, odd, k
+  FROM ({MESSAGE}) WHERE NOT {BROKEN} AND priority <> '4-NOT SPECIFIED'"""
+
+VALID_ITEMS = f"""
+  SELECT order_id, user_id, order_status, total_amount, "timestamp", is_first_order, 'P' || i AS product_id,
+         'c' || i AS category, CAST(CASE WHEN odd = 2 THEN 5 ELSE i END AS INTEGER) AS quantity, i + 0.5::DOUBLE AS total_price
+  FROM ({VALID}), LATERAL (SELECT unnest(range(1, k % 3 + 2)) AS i)"""
 
 LATE_ROWS = f"""
 WITH {CLICKS},
@@ -520,13 +534,15 @@ FROM newest LEFT JOIN t ON newest.window_start = t.window_start""",
     "high_value_first_order_stream": f"WITH {PURCHASES} {_first('purchases', 100.0)}",
     "fraud_alerts_stream": f"WITH {PURCHASES} {_rapid('purchases', DAY_MS, CLOSED_THIRD)} "
                            f"UNION ALL {_first('purchases', 100.0)}",
-    "dlq_valid": VALID,
+    "dlq_valid": VALID_ITEMS,
     "dlq_rejected": REJECTED,
     "dlq_stream": f"SELECT 'valid' AS kind, order_id AS payload, '' AS error FROM ({VALID}) "
                   f"UNION ALL SELECT 'dead', original, error FROM ({REJECTED})",
     "late_rows_stream": LATE_ROWS,
     "cdc_unwrap": f"WITH {CHANGES} SELECT product_id, sku, name, price, op, 'products' AS source_table, "
                   "ts_ms AS source_ts_ms, op = 'd' AS is_deleted FROM changes",
+    "cdc_rejected": "SELECT 'Malformed record' AS error, '{\"before\":{\"product_id\":' || p_partkey AS original "
+                    "FROM part WHERE p_size = 50",
     "cdc_products_parsed": f"WITH {CHANGES} SELECT product_id, sku, name, price, op AS operation FROM changes",
     "cdc_orders_parsed": CDC_ORDERS,
     "cdc_price_feed": PRICE_FEED,

@@ -193,17 +193,27 @@ def daily_orders(
 
 
 def order_messages(orders: DataFrame) -> DataFrame:
-    """Orders as topic messages, some of them broken: the priority of an order decides how."""
-    whole = F.to_json(F.struct(
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey").cast("string"))
-        .alias("user_id"),
-        _recode(F.col("o_orderstatus"), ORDER_EVENT_STATUS).alias("order_status"),
-        F.when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("n/a"))
-        .otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("total_amount"),
-        _epoch_ms("o_orderdate").alias("timestamp"),
-        F.lit("web").alias("channel"),
-    ))
+    """Orders as topic messages with one to three items. The priority of an order decides how its message is broken,
+    and else the last digit of its key how odd it is: a time with an exponent, quantities with a fraction (both can
+    be read), a flag that is none, an id that is an object (neither can)."""
+    key, odd = F.col("o_orderkey"), F.col("o_orderkey") % 10
+    quantity = F.when(odd == 2, F.lit("5.7"))
+    items = F.array_join(F.transform(F.sequence(F.lit(1), (key % 3 + 1).cast("int")), lambda i: F.concat(
+        F.lit('{"product_id":"P'), i, F.lit('","category":"c'), i, F.lit('","quantity":'),
+        F.coalesce(quantity, i.cast("string")), F.lit(',"total_price":'), i, F.lit(".5}"),
+    )), ",")
+    ms = _epoch_ms("o_orderdate")
+    order_id = F.when(odd == 4, F.lit('{"x":1}')).otherwise(F.concat(F.lit('"'), key, F.lit('"')))
+    user = F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.concat(F.lit('"user_id":"'), "o_custkey", F.lit('",')))
+    amount = F.when(F.col("o_orderpriority") == "3-MEDIUM", F.lit("n/a")).otherwise(
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    whole = F.concat(
+        F.lit('{"order_id":'), order_id, F.lit(","), F.coalesce(user, F.lit("")), F.lit('"order_status":"'),
+        _recode(F.col("o_orderstatus"), ORDER_EVENT_STATUS), F.lit('","total_amount":"'), amount,
+        F.lit('","timestamp":'), F.when(odd == 1, F.concat(F.floor(ms / 1000), F.lit("E3"))).otherwise(ms.cast("string")),
+        F.lit(',"items":['), items, F.lit('],"is_first_order":'),
+        F.when(odd == 3, F.lit('"yes"')).otherwise(F.lit("true")), F.lit(',"channel":"web"}'),
+    )
     cut_off = F.concat(F.lit('{"order_id":"'), "o_orderkey", F.lit('","user_id"'))
     message = F.when(F.col("o_orderpriority") == "5-LOW", cut_off).otherwise(whole)
     return with_computed(orders, "value", message).select("value")
@@ -211,7 +221,7 @@ def order_messages(orders: DataFrame) -> DataFrame:
 
 def product_changes(part: DataFrame) -> DataFrame:
     """Change envelopes of products: a snapshot, a price rise, then by size a delete (followed by a
-    tombstone), an update at the same price, or a price cut."""
+    tombstone), an update at the same price, or a price cut. Of the largest size one more message is cut off."""
     raised = (F.col("p_retailprice") + F.col("p_size")).cast("decimal(10,2)")
     version = F.posexplode(F.array(
         F.struct(F.lit("r").alias("op"), F.col("p_retailprice").cast("decimal(10,2)").alias("price")),
@@ -223,6 +233,8 @@ def product_changes(part: DataFrame) -> DataFrame:
         ),
         F.when(F.col("p_size") <= 10, F.struct(
             F.lit("tombstone").alias("op"), F.lit(None).cast("decimal(10,2)").alias("price")
+        )).when(F.col("p_size") == 50, F.struct(
+            F.lit("broken").alias("op"), F.lit(None).cast("decimal(10,2)").alias("price")
         )),
     )).alias("step", "v")
     rows = part.select("p_partkey", "p_name", "p_brand", "p_size", version).filter("v is not null")
@@ -241,7 +253,8 @@ def product_changes(part: DataFrame) -> DataFrame:
             (F.lit(1_700_000_000_000) + F.col("step") * 60_000 + F.col("p_partkey")).alias("ts_ms"),
         ).alias("source"),
     ))
-    message = F.when(F.col("v.op") != "tombstone", envelope)
+    cut_off = F.concat(F.lit('{"before":{"product_id":'), "p_partkey")
+    message = F.when(F.col("v.op") == "broken", cut_off).when(F.col("v.op") != "tombstone", envelope)
     return with_computed(rows, "value", message).select(F.col("p_partkey").alias("key"), "value")
 
 

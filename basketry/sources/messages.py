@@ -21,6 +21,8 @@ ERROR_MISSING = "Missing required fields: userId or orderId"
 OP_SNAPSHOT = "r"
 OP_ERROR = "error"
 OP_LABELS = {"c": "create", "u": "update", "d": "delete"}
+TRUE_TEXTS = ("true", "True", "TRUE")
+FALSE_TEXTS = ("false", "False", "FALSE")
 # ----------------------------------------------------------------------------------------------
 
 _CORRUPT = "_corrupt"
@@ -34,28 +36,39 @@ def _as_text(t: T.DataType) -> T.DataType:
     return T.StringType()
 
 
+def _value(text: Column, t: T.DataType) -> Column:
+    """A scalar from its JSON text, null where it does not fit. Whole numbers may be written as fractions or with
+    an exponent, and are then truncated; booleans have three spellings each, or are numbers."""
+    text = F.nullif(F.trim(text), F.lit(""))
+    if isinstance(t, T.IntegralType):
+        return F.coalesce(text.try_cast(t), text.try_cast("double").try_cast(t))
+    if isinstance(t, T.BooleanType):
+        return F.when(text.isin(*TRUE_TEXTS), True).when(text.isin(*FALSE_TEXTS), False).otherwise(
+            text.try_cast("bigint") != 0)
+    return text.try_cast(t)
+
+
 def _typed(raw: Column, t: T.DataType) -> Column:
     if isinstance(t, T.StructType):
         fields = F.struct(*[_typed(raw[f.name], f.dataType).alias(f.name) for f in t.fields])
         return F.when(raw.isNotNull(), fields)
     if isinstance(t, T.ArrayType):
         return F.transform(raw, lambda x: _typed(x, t.elementType))
-    if isinstance(t, T.StringType):
-        return raw
-    return F.nullif(F.trim(raw), F.lit("")).try_cast(t)
+    return raw if isinstance(t, T.StringType) else _value(raw, t)
 
 
 def _miscast(raw: Column, t: T.DataType) -> Column:
-    """True where a present value does not have the wanted type."""
+    """True where a present value does not have the wanted type. A text field must not hold an object or a list:
+    its value then is one in JSON again."""
     if isinstance(t, T.StructType):
         parts = [_miscast(raw[f.name], f.dataType) for f in t.fields]
         return reduce(lambda a, b: a | b, parts)
     if isinstance(t, T.ArrayType):
         return F.coalesce(F.exists(raw, lambda x: _miscast(x, t.elementType)), F.lit(False))
     if isinstance(t, T.StringType):
-        return F.lit(False)
+        return F.coalesce(raw.rlike(r"^\s*[\[{]") & F.try_parse_json(raw).isNotNull(), F.lit(False))
     text = F.nullif(F.trim(raw), F.lit(""))
-    return text.isNotNull() & text.try_cast(t).isNull()
+    return text.isNotNull() & _value(raw, t).isNull()
 
 
 def parse_safe(messages: DataFrame, schema: T.StructType, required: list[str]) -> DataFrame:
@@ -110,9 +123,9 @@ def envelope(dead_letters: DataFrame) -> DataFrame:
 # --- change data ------------------------------------------------------------------------------
 
 
-def unwrap(changes: DataFrame, row: T.StructType) -> DataFrame:
-    """Flatten change envelopes (before, after, op, source). Deletes keep their last image and are
-    flagged; tombstones (null messages) are dropped."""
+def read_envelopes(changes: DataFrame, row: T.StructType) -> DataFrame:
+    """Add the change envelope ``c`` (before, after, op, source) and ``error``, null where it can be read; tombstones
+    (null messages) are dropped."""
     schema = T.StructType([
         T.StructField("before", row),
         T.StructField("after", row),
@@ -121,10 +134,19 @@ def unwrap(changes: DataFrame, row: T.StructType) -> DataFrame:
             T.StructField("table", T.StringType()),
             T.StructField("ts_ms", T.LongType()),
         ])),
+        T.StructField(_CORRUPT, T.StringType()),
     ])
+    parsed = F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    present = with_computed(changes.filter(F.col("value").isNotNull()), "c", parsed)
+    broken = F.col("c").isNull() | F.col(f"c.{_CORRUPT}").isNotNull() | F.col("c.op").isNull()
+    return present.withColumn("error", F.when(broken, ERROR_MALFORMED))
+
+
+def unwrap(changes: DataFrame, row: T.StructType) -> DataFrame:
+    """Flatten change envelopes. Deletes keep their last image and are flagged; unreadable envelopes are left to
+    ``rejected(read_envelopes(...))``."""
     image = F.coalesce("c.after", "c.before")
-    present = changes.filter(F.col("value").isNotNull())
-    return with_computed(present, "c", F.from_json("value", schema)).select(
+    return read_envelopes(changes, row).filter(F.col("error").isNull()).select(
         *[image[f.name].alias(f.name) for f in row.fields],
         F.col("c.op").alias("__op"),
         F.col("c.source.table").alias("__table"),

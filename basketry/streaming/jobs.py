@@ -32,7 +32,7 @@ def revenue_stream(orders: DataFrame, width: timedelta = revenue.REVENUE_WINDOW)
 
 
 def rapid_order_stream(orders: DataFrame, within: timedelta = fraud.RAPID_WITHIN, **replay) -> DataFrame:
-    return fraud.rapid_alerts(rapid_hits(watermarked(orders, ORDER_DELAY), within), **replay)
+    return fraud.rapid_alerts(rapid_hits(watermarked(orders, ORDER_DELAY), within), within, **replay)
 
 
 def first_order_stream(

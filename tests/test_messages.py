@@ -3,8 +3,10 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketry import schemas
+from basketry.schemas import ORDER
 from basketry.operators import changes
 from basketry.sources import messages
 from basketry.sources.topics import to_wire
@@ -120,3 +122,32 @@ def test_events_by_schema_name(spark, rows):
     assert rows(messages.rejected(parsed), "error") == [(messages.ERROR_MALFORMED,), (messages.ERROR_MISSING,)]
     with pytest.raises(ValueError):
         messages.parse_events(spark.createDataFrame([("x",)], "value string"), "payments")
+
+
+@pytest.mark.parametrize("field, text, value", [
+    ("timestamp", "1.7E12", 1_700_000_000_000), ("is_first_order", '"True"', True), ("is_first_order", "0", False),
+    ("is_first_order", '"yes"', None), ("order_id", '{"x":1}', None), ("order_id", "[1]", None), ("order_id", '"{x"', "{x"),
+    ("total_amount", '"n/a"', None), ("timestamp", "99999999999999999999", None),
+])
+def test_values_of_messages(spark, field, text, value):
+    fields = {"order_id": '"o"', "user_id": '"u"', "timestamp": "5", field: text}
+    line = "{" + ",".join(f'"{k}":{v}' for k, v in fields.items()) + "}"
+    row = messages.parse_safe(spark.createDataFrame([(line,)], "value string"), ORDER, ["order_id"]).first()
+    assert (row["error"] is None) == (value is not None)
+    if value is not None:
+        assert row["row"][field] == value
+
+
+def test_fractions_of_whole_numbers_are_cut(spark):
+    line = '{"order_id":"o","items":[{"quantity":5.7},{"quantity":-2.9}]}'
+    row = messages.parse_safe(spark.createDataFrame([(line,)], "value string"), ORDER, ["order_id"]).first()
+    assert [i["quantity"] for i in row["row"]["items"]] == [5, -2]
+
+
+def test_unreadable_envelopes_are_rejected(spark):
+    lines = spark.createDataFrame([("not json",), ('{"op":"c","after":{"product_id":1}}',), (None,), ('{"after":{}}',)],
+                                  "value string")
+    row = T.StructType([T.StructField("product_id", T.IntegerType())])
+    assert messages.unwrap(lines, row).count() == 1
+    bad = messages.rejected(messages.read_envelopes(lines, row)).collect()
+    assert sorted(r["original"] for r in bad) == ["not json", '{"after":{}}']

@@ -127,17 +127,15 @@ def test_synced_table_touches_only_its_buckets(spark):
     assert table.read(spark).count() == 200 and table.read(spark).filter("v = 'b'").count() == 1
 
 
-def test_work_dir_needs_a_shared_folder_on_a_cluster():
-    class Context:
-        master = "spark://host:7077"
+def test_work_dir_is_shared():
+    settings = {"spark.checkpoint.dir": "hdfs://a/ck/", "spark.sql.warehouse.dir": "hdfs://a/wh"}
 
     class Session:
-        sparkContext = Context()
-
         class conf:
             @staticmethod
             def get(key, default=None):
-                return default
+                return settings.get(key, default)
 
-    with pytest.raises(RuntimeError):
-        work_dir(Session(), "x")
+    assert work_dir(Session(), "x").startswith("hdfs://a/ck/x-")
+    del settings["spark.checkpoint.dir"]
+    assert work_dir(Session(), "x").startswith("hdfs://a/wh/x-")
