@@ -90,13 +90,9 @@ def top_categories(by_category: DataFrame) -> DataFrame:
     )
 
 
-def revenue_metrics(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> DataFrame:
-    """The whole metrics row, with its maps, for static and streaming input alike.
-
-    Each order fans out into one row per fact it contributes to (the order itself, its user, its
-    region, each item). These fold by (window, kind, key), so no task ever holds the users of a
-    window; the second grouping meets one row per key and turns categories and regions into maps.
-    """
+def _folded(orders: DataFrame, width: timedelta) -> DataFrame:
+    """Each order fans out into one row per fact it contributes to (the order itself, its user, its region, each
+    item). These fold by (window, kind, key), so no task ever holds the users of a window."""
     nothing = F.lit(None).cast(MONEY)
 
     def fact(kind: str, key: Column, amount: Column) -> Column:
@@ -117,7 +113,7 @@ def revenue_metrics(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> Dat
         ),
         F.transform(priced, lambda i: fact("category", i["category"], exact(i["total_price"]))),
     )
-    folded = (
+    return (
         sales(orders)
         .select(
             "event_time",
@@ -134,21 +130,33 @@ def revenue_metrics(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> Dat
         )
     )
 
-    def of(kind: str, value: Column) -> Column:
-        return F.when(F.col("kind") == kind, value)
+
+def _of(kind: str, value: Column) -> Column:
+    return F.when(F.col("kind") == kind, value)
+
+
+def _scalars() -> list[Column]:
+    return [
+        F.min("first_event_ts").alias("first_event_ts"),
+        F.max("last_event_ts").alias("last_event_ts"),
+        round2(F.coalesce(F.sum(_of("order", F.col("amount"))).cast("double"), F.lit(0.0))).alias("gmv"),
+        F.sum(_of("order", F.col("n"))).alias("order_count"),
+        F.count_if(F.col("kind") == "user").alias("unique_users"),
+        F.sum(_of("order", F.col("first_orders"))).alias("first_time_orders"),
+    ]
+
+
+def revenue_metrics(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> DataFrame:
+    """The whole metrics row, with its maps, for static and streaming input alike. The second grouping meets one row
+    per key and turns categories and regions into maps."""
 
     def as_map(kind: str, value: Column) -> Column:
-        return F.map_from_entries(F.collect_list(of(kind, F.struct(F.col("key"), value))))
+        return F.map_from_entries(F.collect_list(_of(kind, F.struct(F.col("key"), value))))
 
     return (
-        folded.groupBy("window")
+        _folded(orders, width).groupBy("window")
         .agg(
-            F.min("first_event_ts").alias("first_event_ts"),
-            F.max("last_event_ts").alias("last_event_ts"),
-            round2(F.coalesce(F.sum(of("order", F.col("amount"))).cast("double"), F.lit(0.0))).alias("gmv"),
-            F.sum(of("order", F.col("n"))).alias("order_count"),
-            F.count_if(F.col("kind") == "user").alias("unique_users"),
-            F.sum(of("order", F.col("first_orders"))).alias("first_time_orders"),
+            *_scalars(),
             as_map("category", F.col("amount").cast("double")).alias("revenue_by_category"),
             as_map("region", F.col("n")).alias("orders_by_region"),
         )
@@ -167,6 +175,34 @@ def revenue_metrics(orders: DataFrame, width: timedelta = REVENUE_WINDOW) -> Dat
     )
 
 
+def revenue_flat_rows(
+    orders: DataFrame, width: timedelta = REVENUE_WINDOW, ingested_at: Column | None = None
+) -> DataFrame:
+    """The layout of the analytics table straight from static orders: one row per category and one per region beside
+    the window's totals, without maps."""
+    folded = _folded(orders, width)
+    totals = folded.groupBy("window").agg(*_scalars())
+    entries = folded.filter(F.col("kind").isin("category", "region")).select(
+        F.col("window").alias("of_window"),
+        _of("region", F.col("key")).alias("region"),
+        _of("category", F.col("key")).alias("category"),
+        _of("category", F.col("amount").cast("double")).alias("category_revenue"),
+    )
+    return totals.join(entries, F.col("window") == F.col("of_window"), "left").select(
+        F.col("window.start").alias("window_start_timestamp"),
+        F.col("window.end").alias("window_end_timestamp"),
+        "gmv",
+        "order_count",
+        round2(F.col("gmv") / F.col("order_count")).alias("average_order_value"),
+        "unique_users",
+        "first_time_orders",
+        (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingestion_timestamp"),
+        "region",
+        "category",
+        "category_revenue",
+    )
+
+
 def revenue_flat(metrics: DataFrame, ingested_at: Column | None = None) -> DataFrame:
     """Metrics rows in the layout of the analytics table: one row per category and one per region."""
     entry = "struct<region:string,category:string,category_revenue:double>"

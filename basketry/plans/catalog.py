@@ -19,7 +19,10 @@ from pyspark.sql import types as T
 from ..functions import alerts as scoring
 from ..functions.times import event_time, plain
 from ..operators import changes, daily, fraud, quality, revenue, serving, sessions
-from ..schemas import CONTRACTS, ORDER
+from ..schemas import (
+    CONTRACTS, ORDER, TOPIC_ALERTS, TOPIC_CDC_ORDERS, TOPIC_CDC_PRODUCTS, TOPIC_CLICKS, TOPIC_DLQ, TOPIC_ORDERS,
+    TOPIC_REVENUE, TOPIC_SESSIONS,
+)
 from ..session import prepare, work_dir
 from ..sources import feeds, messages, tables
 from ..sources.feeds import table
@@ -268,7 +271,7 @@ def orders_by_region(spark, folder):
 
 @query
 def revenue_flat(spark, folder):
-    return revenue.revenue_flat(revenue.revenue_metrics(_purchases(spark, folder))).drop("ingestion_timestamp")
+    return revenue.revenue_flat_rows(_purchases(spark, folder)).drop("ingestion_timestamp")
 
 
 @query
@@ -600,7 +603,7 @@ def user_sessions_table(spark, folder):
 @query
 def real_time_revenue_table(spark, folder):
     path = work_dir(spark, "real-time-revenue")
-    out = revenue.revenue_flat(revenue.revenue_metrics(_purchases(spark, folder)))
+    out = revenue.revenue_flat_rows(_purchases(spark, folder))
     tables.write_revenue(out, path)
     return spark.read.parquet(path).select(*out.columns).drop("ingestion_timestamp")
 
@@ -613,3 +616,70 @@ def fraud_alerts_table(spark, folder):
     )
     tables.write_alerts(out, path)
     return _alert_columns(spark.read.parquet(path).select(*out.columns))
+
+
+# --- jobs, over topics of files ---------------------------------------------------------------
+
+
+def _job(spark: SparkSession, name: str, topics: dict[str, DataFrame], **options) -> str:
+    """Write the topics, run the job over them to the end, and return its output folder."""
+    from .jobs import Options, run_job
+
+    base = work_dir(spark, f"job-{name}")
+    for topic, lines in topics.items():
+        lines.select("value").write.text(f"{base}/topics/{topic}")
+    run_job(spark, Options(output=f"{base}/out", topics=f"{base}/topics", drain=True, **options), name)
+    return f"{base}/out"
+
+
+def _topic_rows(spark: SparkSession, out: str, topic: str, fields: str) -> DataFrame:
+    lines = spark.read.schema("value string").text(f"{out}/topics/{topic}")
+    return lines.select(F.from_json("value", fields).alias("m")).select("m.*")
+
+
+@query
+def job_sessions(spark, folder):
+    """Sessions of the click topic, with whether the result topic has each of them too."""
+    out = _job(spark, "sessions", {TOPIC_CLICKS: to_wire(_clicks(spark, folder))})
+    told = _topic_rows(spark, out, TOPIC_SESSIONS, "user_id string, session_id string").distinct()
+    told = told.withColumn("published", F.lit(True))
+    kept = spark.read.parquet(f"{out}/tables/user_sessions").drop("day", "batch")
+    return kept.join(told, ["user_id", "session_id"], "left")
+
+
+@query
+def job_revenue(spark, folder):
+    orders = feeds.purchase_orders(table(spark, folder, "events"))
+    out = _job(spark, "revenue", {TOPIC_ORDERS: to_wire(orders)})
+    told = _topic_rows(spark, out, TOPIC_REVENUE, "window_start timestamp, gmv double")
+    told = told.select(F.col("window_start").alias("window_start_timestamp"), F.col("gmv").alias("published_gmv"))
+    kept = spark.read.parquet(f"{out}/tables/real_time_revenue").drop("hour", "batch", "ingestion_timestamp")
+    return kept.join(told, "window_start_timestamp", "left")
+
+
+@query
+def job_fraud(spark, folder):
+    """Alerts and dead letters of the order topic, both as table and as topic."""
+    orders = to_wire(feeds.purchase_orders(table(spark, folder, "events")))
+    cut_off = feeds.order_messages(table(spark, folder, "orders").filter("o_orderpriority = '5-LOW'"))
+    out = _job(spark, "fraud", {TOPIC_ORDERS: orders.union(cut_off)}, within=RAPID_PURCHASES, threshold=THRESHOLD_PURCHASES)
+    alerts = spark.read.parquet(f"{out}/tables/fraud_alerts").select("alert_id", "description")
+    dead = spark.read.parquet(f"{out}/tables/dead_letters").select("original", "error")
+    told = _topic_rows(spark, out, TOPIC_ALERTS, "alert_id string, description string")
+    lost = _topic_rows(spark, out, TOPIC_DLQ, "original string, error string")
+    parts = [("alert", alerts), ("dead", dead), ("alert told", told), ("dead told", lost)]
+    return reduce(DataFrame.unionByName, [
+        rows.toDF("payload", "note").select(F.lit(kind).alias("kind"), "payload", "note") for kind, rows in parts
+    ])
+
+
+@query
+def job_cdc(spark, folder):
+    out = _job(spark, "cdc", {
+        TOPIC_CDC_PRODUCTS: _product_messages(table(spark, folder, "part")),
+        TOPIC_CDC_ORDERS: feeds.order_changes(table(spark, folder, "orders")),
+    })
+    return reduce(DataFrame.unionByName, [
+        spark.read.schema("value string").text(f"{out}/topics/{topic}").select(F.lit(topic).alias("topic"), "value")
+        for topic in ("cdc.price-changes", "cdc.order-changes")
+    ])

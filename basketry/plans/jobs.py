@@ -16,17 +16,19 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators import daily, quality
+from ..operators import daily, fraud, quality, sessions
 from ..operators.revenue import revenue_flat
 from ..session import build_session, prepare
 from ..sources import messages, tables
 from ..sources.topics import publish_batch, read_topic, to_wire, write_topic
 from ..streaming import jobs as streams
-from ..streaming.runner import stream_settings
+from ..streaming.runner import Counters, stream_settings
 
-CHECKPOINT_EVERY = "60 seconds"
+CHECKPOINT_EVERY = "60s"
+CHECKPOINT_CONF = "spark.sql.streaming.stateStore.maintenanceInterval"
 
 
 @dataclass(frozen=True)
@@ -37,7 +39,10 @@ class Options:
     bootstrap: str | None = None
     date: str | None = None
     drain: bool = False  # process what is there and stop, instead of running on
-    every: str = CHECKPOINT_EVERY
+    every: str | None = None  # pause between batches; none: as fast as possible
+    checkpoint_every: str = CHECKPOINT_EVERY  # full snapshots of state; changes are logged with every batch
+    within: timedelta = fraud.RAPID_WITHIN
+    threshold: float = fraud.HIGH_VALUE_THRESHOLD
 
     @property
     def day(self) -> str:
@@ -117,7 +122,15 @@ def _publish(options: Options, stream: DataFrame, topic: str, name: str, write:
 def _trigger(writer, options: Options):
     if options.drain:
         return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=options.every)
+    return writer.trigger(processingTime=options.every or "0 seconds")
+
+
+def _reject(options: Options, rows: DataFrame, name: str):
+    """Rows that no operator can use go to a table of their own."""
+    writer = rows.writeStream.format("parquet").queryName(f"{name}-rejects").option(
+        "checkpointLocation", f"{options.output}/checkpoints/{name}-rejects"
+    ).option("path", f"{options.output}/tables/{name}_rejects")
+    return _trigger(writer, options).start()
 
 
 def _wait(queries: list) -> None:
@@ -127,31 +140,51 @@ def _wait(queries: list) -> None:
 
 def run_sessions(spark: SparkSession, options: Options) -> None:
     raw = _topic(spark, options, schemas.TOPIC_CLICKS, "session-aggregator")
-    out = streams.session_stream(messages.parse_strict(raw, schemas.CLICKSTREAM))
+    clicks = messages.parse_strict(raw, schemas.CLICKSTREAM)
+    out = streams.session_stream(clicks)
     with stream_settings(spark):
-        _wait([_publish(options, out, schemas.TOPIC_SESSIONS, "user_sessions", tables.write_sessions)])
+        _wait([
+            _publish(options, out, schemas.TOPIC_SESSIONS, "user_sessions", tables.write_sessions),
+            _reject(options, sessions.unusable(clicks), "clicks"),
+        ])
 
 
 def run_revenue(spark: SparkSession, options: Options) -> None:
     raw = _topic(spark, options, schemas.TOPIC_ORDERS, "revenue-calculator")
-    out = streams.revenue_stream(messages.parse_strict(raw, schemas.ORDER))
+    orders = messages.parse_strict(raw, schemas.ORDER)
+    out = streams.revenue_stream(orders)
 
     def write(batch: DataFrame, path: str, batch_id: int) -> None:
         tables.write_revenue(revenue_flat(batch), path, batch_id=batch_id)
 
     with stream_settings(spark):
-        _wait([_publish(options, out, schemas.TOPIC_REVENUE, "real_time_revenue", write)])
+        _wait([
+            _publish(options, out, schemas.TOPIC_REVENUE, "real_time_revenue", write),
+            _reject(options, orders.filter(F.col("timestamp").isNull()), "orders"),
+        ])
 
 
 def run_fraud(spark: SparkSession, options: Options) -> None:
     raw = _topic(spark, options, schemas.TOPIC_ORDERS, "fraud-detector")
-    parsed = messages.parse_safe(raw, schemas.ORDER, ["order_id", "user_id"])
-    alerts = streams.alert_stream(messages.accepted(parsed))
+    valid = f"{options.output}/tables/valid"
+
+    def publish(bad: DataFrame, batch_id: int) -> None:
+        lines = messages.envelope(bad)
+        publish_batch(lines, schemas.TOPIC_DLQ, batch_id, bootstrap=options.bootstrap, path=f"{options.output}/topics")
+
     with stream_settings(spark):
-        _wait([
-            _publish(options, alerts, schemas.TOPIC_ALERTS, "fraud_alerts", tables.write_alerts),
-            _start(options, messages.envelope(messages.rejected(parsed)), schemas.TOPIC_DLQ),
-        ])
+        # The topic is read and parsed once; both rules follow the table of good rows.
+        write = streams.dead_letter_split(f"{options.output}/tables", publish)
+        split = _trigger(streams.stamped(raw).writeStream.queryName(schemas.TOPIC_ORDERS).option(
+            "checkpointLocation", f"{options.output}/checkpoints/{schemas.TOPIC_ORDERS}"
+        ).foreachBatch(write), options).start()
+        if options.drain:
+            split.awaitTermination()
+        tables.ensure_folder(spark, valid)
+        full = T.StructType(schemas.ORDER.fields + [T.StructField("batch_id", T.LongType())])
+        orders = spark.readStream.schema(full).parquet(valid).drop("batch_id")
+        alerts = streams.alert_stream(orders, options.within, options.threshold)
+        _wait([_publish(options, alerts, schemas.TOPIC_ALERTS, "fraud_alerts", tables.write_alerts), split])
 
 
 def run_cdc(spark: SparkSession, options: Options) -> None:
@@ -178,7 +211,14 @@ def run_job(spark: SparkSession, options: Options, name: str | None = None) -> D
     name = name or DEFAULT_JOB
     if name not in JOBS:
         raise ValueError(f"unknown job {name!r}; choose one of {', '.join(JOBS)}")
-    return JOBS[name](prepare(spark), options)
+    prepare(spark).conf.set(CHECKPOINT_CONF, options.checkpoint_every)
+    counters = Counters()
+    spark.streams.addListener(counters)
+    try:
+        return JOBS[name](spark, options)
+    finally:
+        spark.streams.removeListener(counters)
+        counters.log(f"job {name}")
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -190,7 +230,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--bootstrap")
     parser.add_argument("--date")
     parser.add_argument("--drain", action="store_true")
-    parser.add_argument("--every", default=CHECKPOINT_EVERY)
+    parser.add_argument("--every")
+    parser.add_argument("--checkpoint-every", default=CHECKPOINT_EVERY)
     args = vars(parser.parse_args(argv))
     job = args.pop("job")
     failed = run_job(build_session(f"basketry-{job}"), Options(**args), job)

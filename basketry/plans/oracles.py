@@ -267,16 +267,20 @@ def _top(inner: str) -> str:
 SOLD = "(SELECT * FROM placed WHERE order_status IN ('CREATED', 'PAYMENT_COMPLETED'))"
 CLOSED_MINUTES = "HAVING (ms // 60000) * 60000 + 60000 <= (SELECT max(ms) FROM purchases) - 10000"
 
-REVENUE_FLAT = f"""
-WITH {PURCHASES}, w AS ({_revenue('purchases', 60000, 'is_first')}),
+def _flat(having: str = "", more: str = "") -> str:
+    return f"""
+WITH {PURCHASES}, w AS ({_revenue('purchases', 60000, 'is_first', having)}),
 c AS (SELECT window_start, NULL AS region, category, revenue AS category_revenue FROM ({_categories(60000)})
       UNION ALL
       SELECT DISTINCT {_ts('(ms // 60000) * 60000')}, region, NULL, NULL FROM purchases
       WHERE region IS NOT NULL)
 SELECT w.window_start AS window_start_timestamp, w.window_end AS window_end_timestamp, gmv, order_count,
-       average_order_value, unique_users, first_time_orders, region, category, category_revenue
+       average_order_value, unique_users, first_time_orders, region, category, category_revenue{more}
 FROM w LEFT JOIN c ON w.window_start = c.window_start"""
 
+
+REVENUE_FLAT = _flat()
+
 REVENUE_SUMMARY = f"""
 WITH {PLACED}, {LINES},
 sold AS (SELECT *, CAST({_ts('ms')} AS DATE) AS d FROM {SOLD}),
@@ -561,4 +565,16 @@ FROM newest LEFT JOIN t ON newest.window_start = t.window_start""",
     "real_time_revenue_table": REVENUE_FLAT,
     "fraud_alerts_table": f"WITH {PURCHASES} {_rapid('purchases', DAY_MS)} "
                           f"UNION ALL {_first('purchases', 100.0)}",
+    "job_sessions": f"WITH {_sessions(HOUR_MS // 2)} SELECT {SESSION_COLUMNS}, true AS published FROM sessions "
+                    f"WHERE end_ms + {HOUR_MS // 2} <= (SELECT max(ms) FROM clicks) - 30000",
+    "job_revenue": _flat(CLOSED_MINUTES, ", gmv AS published_gmv"),
+    "job_fraud": f"""
+WITH {PURCHASES},
+alerts AS ({_rapid('purchases', DAY_MS, CLOSED_THIRD)} UNION ALL {_first('purchases', 100.0)}),
+dead AS (SELECT '{{"order_id":"' || o_orderkey || '","user_id"' AS original FROM orders WHERE o_orderpriority = '5-LOW')
+SELECT kind, alert_id AS payload, description AS note
+FROM alerts, (VALUES ('alert'), ('alert told')) k(kind)
+UNION ALL SELECT kind, original, 'Malformed record' FROM dead, (VALUES ('dead'), ('dead told')) k(kind)""",
+    "job_cdc": f"SELECT 'cdc.price-changes' AS topic, value FROM ({PRICE_FEED}) "
+               f"UNION ALL SELECT 'cdc.order-changes', value FROM ({ORDER_FEED})",
 }

@@ -51,30 +51,42 @@ def alert_stream(
     return rapid.unionByName(first_order_stream(orders, threshold, **replay))
 
 
-def split_dead_letters(messages_stream: DataFrame, run, schema=ORDER) -> list[dict]:
-    """Parse a topic once and write good rows and dead letters to the tables ``valid`` and
-    ``dead_letters`` of the run's folder.
+def stamped(messages_stream: DataFrame) -> DataFrame:
+    return messages_stream.withColumn("received_at", F.current_timestamp())
+
+
+def dead_letter_split(folder: str, publish=None, schema=ORDER):
+    """A batch writer that parses messages once and puts good rows and dead letters into the tables ``valid`` and
+    ``dead_letters`` below the folder; ``publish`` gets the dead letters as well.
 
     Each batch overwrites its own partitions, and the time it carries is the one logged with the
     batch, so a batch that runs again after a failure replaces exactly what it wrote. Dead letters
     are partitioned by day first, for expiry.
     """
-    stamped = messages_stream.withColumn("received_at", F.current_timestamp())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = messages.parse_safe(batch, schema, ["order_id", "user_id"])
         parsed = parsed.withColumn("batch_id", F.lit(batch_id)).persist()
         try:
             good = parsed.filter(F.col("error").isNull()).select("row.*", "batch_id")
-            _overwrite(good, f"{run.folder}/valid", "batch_id")
+            _overwrite(good, f"{folder}/valid", "batch_id")
             bad = messages.rejected(parsed, at=F.col("received_at"))
             day = F.date_format("timestamp", "yyyy-MM-dd")
-            bad = bad.withColumn("dt", day).withColumn("batch_id", F.lit(batch_id))
-            _overwrite(bad, f"{run.folder}/dead_letters", "dt", "batch_id")
+            _overwrite(
+                bad.withColumn("dt", day).withColumn("batch_id", F.lit(batch_id)),
+                f"{folder}/dead_letters", "dt", "batch_id",
+            )
+            if publish is not None:
+                publish(bad, batch_id)
         finally:
             parsed.unpersist()
 
-    return run.drain_batches(stamped, write)
+    return write
+
+
+def split_dead_letters(messages_stream: DataFrame, run, schema=ORDER) -> list[dict]:
+    """Drain a topic into the two tables of the run's folder."""
+    return run.drain_batches(stamped(messages_stream), dead_letter_split(run.folder, schema=schema))
 
 
 def _overwrite(df: DataFrame, path: str, *partition_by: str) -> None:

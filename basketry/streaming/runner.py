@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import threading
 from collections import Counter
 from collections.abc import Callable
@@ -110,6 +111,12 @@ class Counters(StreamingQueryListener):
                 self.totals[name, "late_rows"] += op.numRowsDroppedByWatermark
                 self.totals[name, "state_updates"] += op.numRowsUpdated
 
+    def log(self, title: str) -> None:
+        """The totals so far as one log line."""
+        with self._lock:
+            totals = {f"{name}.{what}": n for (name, what), n in sorted(self.totals.items())}
+        logging.getLogger("basketry").info("%s: %s", title, json.dumps(totals))
+
     def onQueryTerminated(self, event):
         if event.exception:
             with self._lock:
