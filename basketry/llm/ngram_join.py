@@ -7,14 +7,14 @@ group, groups that share a prefix shingle and fit in size and position become gr
 class pairs and verified on the texts.
 
 Only components are asked for, so pairs inside a component are not all compared:
-1. each class is verified against the first class of its group, and each group against one group it shares most
-   prefix shingles with (twice, with different choices);
+1. each class is verified against the first class of its group, and, in STARS rounds with different choices, each
+   group against a group of another component that it shares many prefix shingles with;
 2. every candidate pair whose two sides are then still in different components is verified.
 No link between components is lost, and a group of thousands of near copies costs one comparison for most members.
 
 Lists of groups by shingle are read as sorted streams. A list of more than LIST_ROWS groups is cut into blocks, and
-each pair of blocks is a task of its own; texts to verify against one class are salted in the same way. Before texts
-are fetched, parity bitmaps rule out pairs: they never differ in more bits than the sets differ in shingles.
+each pair of blocks is a task of its own; texts to verify against one class are salted in the same way. Before pairs are
+written and texts fetched, parity bitmaps rule pairs out: they never differ in more bits than the sets in shingles.
 
 Defined cases: null, empty or wordless texts have no shingles and are linked with nothing; fewer words than a
 shingle are one shingle; repeated rows are equal sets; a null id takes the smallest id of its component if there is
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common, words
@@ -42,13 +42,15 @@ LOCAL = 4
 # Bound of the frequent shingles known to every task (8 bytes each).
 FREQUENT = 200_000
 LIST_ROWS = 2048
+SIGNATURE = 1024
+# Rounds in which every group meets one other, before all remaining pairs are looked at.
+STARS = 3
 HUB_ROWS = 512
 SLICE = 1 << 20
 
 _KIND = np.ones(256, np.uint8)
 _KIND[[32, 9, 10, 11, 12, 13]] = 0
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-_SINGLE = (pa.int64(), pa.int64(), pa.int64())
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -116,6 +118,12 @@ def bitmap(own: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8).tobytes()
 
 
+def signature(own: np.ndarray) -> bytes:
+    """The same in SIGNATURE bits whatever the size, to travel with postings."""
+    at = words.mix(own) & np.uint64(SIGNATURE - 1)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=SIGNATURE) & 1).astype(np.uint8).tobytes()
+
+
 def differing(a: bytes, b: bytes) -> int:
     """Bits that differ after folding the longer map to the length of the shorter: at most the shingles that do."""
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
@@ -125,7 +133,7 @@ def differing(a: bytes, b: bytes) -> int:
 
 
 ROWS = (
-    "doc_id bigint, th bigint, n int, dig binary, gid bigint, bits binary, token bigint, place bigint"
+    "doc_id bigint, th bigint, n int, dig binary, gid bigint, bits binary, sig binary, token bigint, place bigint"
 )
 
 
@@ -141,7 +149,7 @@ def _prefixes(size: int, numerator: int, denominator: int, shared, out: pa.Schem
             for doc_id, th, own in zip(ids, hashes, _texts_to_sets(batch.column(2), size)):
                 n = len(own)
                 if not n:
-                    rows.append((doc_id, th, 0, None, None, None))
+                    rows.append((doc_id, th, 0, None, None, None, None))
                     continue
                 order = np.zeros(n, np.int64)
                 if len(known):
@@ -150,7 +158,7 @@ def _prefixes(size: int, numerator: int, denominator: int, shared, out: pa.Schem
                 length = n - -(-numerator * n // denominator) + 1
                 prefix = own[np.argsort(order, kind="stable")[:length]]
                 gid = xxhash.xxh3_64_intdigest(prefix.tobytes() + n.to_bytes(8, "little")) - (1 << 63)
-                rows.append((doc_id, th, n, xxhash.xxh3_128_digest(own.tobytes()), gid, bitmap(own)))
+                rows.append((doc_id, th, n, xxhash.xxh3_128_digest(own.tobytes()), gid, bitmap(own), signature(own)))
                 if gid not in seen:
                     if len(seen) > 200_000:
                         seen.clear()
@@ -164,33 +172,30 @@ def _prefixes(size: int, numerator: int, denominator: int, shared, out: pa.Schem
                 total = sum(lengths)
                 place = np.concatenate([np.arange(k) | (n << 32) for k, (_, _, n) in zip(lengths, lists)])
                 gids = np.repeat(np.array([g for _, g, _ in lists], np.int64), lengths)
-                empty = [pa.nulls(total, out.field(i).type) for i in range(6)]
+                empty = [pa.nulls(total, out.field(i).type) for i in range(7)]
                 empty[4] = pa.array(gids)
                 tokens = pa.array(np.concatenate([p for p, _, _ in lists]))
                 yield common.batch(out, [*empty, tokens, pa.array(place.astype(np.int64))])
     return run
 
 
-def _stars(seed: int):
-    """From postings sorted by shingle: (group, a group of the same list) for all but the first row of each list."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # shingle, first group and its size, at the end of the batch before
-        for batch in batches:
-            token, gid, place = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            if not len(token):
-                continue
-            new = np.ones(len(token), bool)
-            new[1:] = token[1:] != token[:-1]
-            first = np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))
-            hub, hub_place = gid[first], place[first]
-            if last is not None and token[0] == last[0]:
-                head = first == 0
-                hub, hub_place = np.where(head, last[1], hub), np.where(head, last[2], hub_place)
-            last = (token[-1], hub[-1], hub_place[-1])
-            other = hub != gid
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c[other]) for c in (gid, hub, place >> 32, hub_place >> 32)], names=["gid", "hub", "n", "m"])
-    return run
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From postings sorted by shingle: each group with the first of its list, where their components differ."""
+    last = None  # shingle, first group, its size and component, at the end of the batch before
+    for batch in batches:
+        token, gid, place, comp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        if not len(token):
+            continue
+        new = np.ones(len(token), bool)
+        new[1:] = token[1:] != token[:-1]
+        first = np.maximum.accumulate(np.where(new, np.arange(len(token)), 0))
+        hub = [c[first] for c in (gid, place, comp)]
+        if last is not None and token[0] == last[0]:
+            hub = [np.where(first == 0, old, c) for old, c in zip(last[1:], hub)]
+        last = (token[-1], *(c[-1] for c in hub))
+        other = (hub[0] != gid) & (hub[2] != comp)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c[other]) for c in (gid, hub[0], place >> 32, hub[1] >> 32)], names=["gid", "hub", "n", "m"])
 
 
 def needed(n, m, numerator: int, denominator: int):
@@ -202,17 +207,17 @@ def list_pairs(
     left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...] | None, numerator: int, denominator: int,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Group pairs of one list (or of two blocks of it) that lie in different components and can reach the
-    threshold with this shingle as the first they share. Columns: gid, place, component (-1: several)."""
+    threshold with this shingle as the first they share and with their signatures. Columns: gid, place, component
+    (-1: several), signature (a row of numbers) and whether there is one (a group of one class)."""
     same = right is None
-    gid, place, comp = left
-    order = np.argsort(place, kind="stable")  # by size, then position
-    gid, place, comp = gid[order], place[order], comp[order]
+    order = np.argsort(left[1], kind="stable")  # by size, then position
+    gid, place, comp, sig, known = (c[order] for c in left)
     n, at = place >> 32, place & 0xFFFFFFFF
     if same:
-        others, other_n, other_at, other_comp = gid, n, at, comp
+        others, other_n, other_at, other_comp, other_sig, other_known = gid, n, at, comp, sig, known
     else:
         order = np.argsort(right[1], kind="stable")
-        others, other_place, other_comp = (c[order] for c in right)
+        others, other_place, other_comp, other_sig, other_known = (c[order] for c in right)
         other_n, other_at = other_place >> 32, other_place & 0xFFFFFFFF
     lows = np.searchsorted(other_n * denominator, n * numerator, "left")
     highs = np.searchsorted(other_n * numerator, n * denominator, "right")
@@ -222,27 +227,39 @@ def list_pairs(
             continue
         fits = (other_comp[a:b] != comp[i]) | (comp[i] < 0)
         rest = np.minimum(n[i] - at[i], other_n[a:b] - other_at[a:b])
-        fits &= rest >= needed(n[i], other_n[a:b], numerator, denominator)
-        fits &= others[a:b] != gid[i]
-        if fits.any():
-            hit = others[a:b][fits]
+        need = needed(n[i], other_n[a:b], numerator, denominator)
+        fits &= (rest >= need) & (others[a:b] != gid[i])
+        live = np.flatnonzero(fits)
+        if len(live) and known[i]:
+            apart = np.bitwise_count(other_sig[a:b][live] ^ sig[i]).sum(axis=1)
+            live = live[(n[i] + other_n[a:b][live] - apart >= 2 * need[live]) | ~other_known[a:b][live]]
+        if len(live):
+            hit = others[a:b][live]
             yield np.minimum(hit, gid[i]), np.maximum(hit, gid[i])
 
 
+def _with_signatures(columns: list[np.ndarray], sigs: list[bytes | None]) -> tuple[np.ndarray, ...]:
+    raw = b"".join(s or bytes(SIGNATURE // 8) for s in sigs)
+    known = np.array([s is not None for s in sigs], bool)
+    return (*columns, np.frombuffer(raw, np.uint64).reshape(len(sigs), -1), known)
+
+
 def _pairs(numerator: int, denominator: int):
-    """From postings sorted by shingle: pairs (a, b), and rows of overlong lists (token, row, gid, place, comp)."""
-    names = ["a", "b", "token", "row", "gid", "place", "comp"]
+    """From postings sorted by shingle: pairs (a, b), and rows of overlong lists (token, row, gid, place, comp, sig)."""
+    names = ["a", "b", "token", "row", "gid", "place", "comp", "sig"]
 
     def batch_of(pairs: list, hot: list) -> Iterator[pa.RecordBatch]:
         if pairs:
             a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
             ab = np.unique(np.stack([a, b], axis=1), axis=0)
-            columns = [pa.array(ab[:, 0]), pa.array(ab[:, 1]), *[pa.nulls(len(ab), pa.int64())] * 5]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            rest = [*[pa.nulls(len(ab), pa.int64())] * 5, pa.nulls(len(ab), pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1]), *rest], names=names)
         if hot:
-            columns = [np.concatenate(c) for c in zip(*hot)]
-            empty = [pa.nulls(len(columns[0]), pa.int64())] * 2
-            yield pa.RecordBatch.from_arrays([*empty, *[pa.array(c.astype(np.int64)) for c in columns]], names=names)
+            *columns, sig, known = (np.concatenate(c) for c in zip(*hot))
+            empty = [pa.nulls(len(known), pa.int64())] * 2
+            sigs = pa.array([s.tobytes() if k else None for s, k in zip(sig, known)], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [*empty, *[pa.array(c.astype(np.int64)) for c in columns], sigs], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []  # the open list
@@ -255,14 +272,15 @@ def _pairs(numerator: int, denominator: int):
                     yield from batch_of(list(list_pairs(columns, None, numerator, denominator)), [])
 
         for batch in batches:
-            token, gid, place, comp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            token, *own = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            own = _with_signatures(own, batch.column(4).to_pylist())
             cuts = np.flatnonzero(token[1:] != token[:-1]) + 1 if len(token) else []
             edges = [0, *cuts, len(token)] if len(token) else []
             for a, b in zip(edges[:-1], edges[1:]):
                 if token[a] != current:
                     yield from close()
                     held, size, written, current = [], 0, 0, token[a]
-                held.append((gid[a:b], place[a:b], comp[a:b]))
+                held.append(tuple(c[a:b] for c in own))
                 size += b - a
                 if size > LIST_ROWS:
                     rows = tuple(np.concatenate(c) for c in zip(*held))
@@ -282,16 +300,17 @@ def _block_pairs(numerator: int, denominator: int):
         def close() -> Iterator[pa.RecordBatch]:
             if not held:
                 return
-            block, gid, place, comp = (np.concatenate(c) for c in zip(*held))
+            block, *columns = (np.concatenate(c) for c in zip(*held))
             first = block == key[1]
-            left = (gid[first], place[first], comp[first])
-            right = None if key[1] == key[2] else (gid[~first], place[~first], comp[~first])
+            left = tuple(c[first] for c in columns)
+            right = None if key[1] == key[2] else tuple(c[~first] for c in columns)
             for a, b in list_pairs(left, right, numerator, denominator):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
             keys = np.stack(columns[:3], axis=1)
+            columns = _with_signatures(columns, batch.column(7).to_pylist())
             edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)] if len(keys) else []
             for a, b in zip(edges[:-1], edges[1:]):
                 if tuple(keys[a]) != key:
@@ -346,9 +365,9 @@ class Join:
         run = _prefixes(size, numerator, denominator, shared, common.arrow_schema(ROWS))
         hashed = self.docs.select("doc_id", F.xxhash64("body").alias("th"), "body")
         self.found = common.keep(common.map_arrow(hashed, run, ROWS), "ngrams")
-        self.rows = self.found.filter("n is not null").select("doc_id", "th", "n", "dig", "gid", "bits")
+        self.rows = self.found.filter("n is not null").select("doc_id", "th", "n", "dig", "gid", "bits", "sig")
         first = F.min(F.struct("doc_id", "th")).alias("first")
-        rest = [F.max(c).alias(c) for c in ("n", "gid", "bits")]
+        rest = [F.max(c).alias(c) for c in ("n", "gid", "bits", "sig")]
         classes = self.rows.filter("n > 0").groupBy("dig").agg(first, F.min("doc_id").alias("least"), *rest)
         self.classes = common.keep(classes.withColumn("cid", F.monotonically_increasing_id()), "ngrams")
         self.groups = self.classes.groupBy("gid").agg(F.min("cid").alias("cid"), F.count(F.lit(1)).alias("members"))
@@ -366,11 +385,23 @@ class Join:
         many = own.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
         return common.keep(own.join(many, "token"), "ngrams")
 
-    def star_pairs(self, postings: DataFrame, seed: int) -> DataFrame:
-        """Each group with the one it meets most often as the first of a list, as pairs of first classes."""
-        order = [F.xxhash64("gid", F.lit(seed)), F.col("gid")]
-        met = common.map_arrow(
-            self.dealt(postings, [F.col("token")], order), _stars(seed), "gid bigint, hub bigint, n bigint, m bigint")
+    def places(self, roots: DataFrame | None) -> DataFrame:
+        """Each group with its component (-1 for several) and, if it is one class, the signature."""
+        comp = F.col("cid")
+        rows = self.classes
+        if roots is not None:
+            rows, comp = rows.join(roots, F.col("cid") == F.col("node"), "left"), F.coalesce("root", "cid")
+        found = rows.groupBy("gid").agg(
+            F.min(comp).alias("low"), F.max(comp).alias("high"), F.max("sig").alias("sig"), F.count(F.lit(1)).alias("k"))
+        one = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.lit(-1))
+        return found.select("gid", one.alias("comp"), F.when(F.col("k") == 1, F.col("sig")).alias("sig"))
+
+    def star_pairs(self, postings: DataFrame, places: DataFrame, seed: int) -> DataFrame:
+        """Each group with the group of another component that it meets most often as the first of a list, as pairs
+        of first classes. Which is first changes with the seed."""
+        rows = postings.join(places.select("gid", "comp"), "gid").select("token", "gid", "place", "comp")
+        rows = self.dealt(rows, [F.col("token")], [F.xxhash64("gid", F.lit(seed)), F.col("gid")])
+        met = common.map_arrow(rows, _stars, "gid bigint, hub bigint, n bigint, m bigint")
         fits = F.least("n", "m") * self.denominator >= F.greatest("n", "m") * self.numerator
         best = met.filter(fits).groupBy("gid", "hub").agg(F.count(F.lit(1)).alias("k"))
         best = best.groupBy("gid").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
@@ -399,7 +430,9 @@ class Join:
         kept = common.map_arrow(rows, _possible(self.numerator, self.denominator), "a bigint, b bigint")
         return common.keep(kept, "ngrams")
 
-    def verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) that reach the threshold, by their texts."""
+        texts = common.keep(self.texts(pairs.select(F.explode(F.array("a", "b")).alias("cid"))), "ngrams")
         salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("salts"))
         hubs = texts.withColumnRenamed("cid", "a").join(salts, "a").select(
             "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
@@ -410,47 +443,50 @@ class Join:
         links = common.map_arrow(rows, _verify(self.size, self.numerator, self.denominator), "a bigint, b bigint")
         return common.keep(links, "ngrams")
 
-    def cross_pairs(self, postings: DataFrame, roots: DataFrame) -> DataFrame:
-        """All candidate pairs of classes that lie in different components."""
-        placed = self.classes.select("cid", "gid").join(roots, F.col("cid") == F.col("node"), "left")
-        placed = placed.select("cid", "gid", F.coalesce("root", "cid").alias("comp"))
-        places = placed.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        place = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.lit(-1)).alias("comp")
-        rows = postings.join(places.select("gid", place), "gid")
+    def cross_pairs(self, postings: DataFrame, places: DataFrame, roots: DataFrame) -> DataFrame:
+        """All candidate pairs of classes that lie in different components, with ``sure`` where the signatures have
+        been compared."""
+        rows = postings.join(places, "gid")
         spread = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         spread = spread.filter("low <> high or low < 0").select("token")
-        rows = rows.join(spread, "token", "left_semi").select("token", "gid", "place", "comp")
-        schema = "a bigint, b bigint, token bigint, row bigint, gid bigint, place bigint, comp bigint"
+        rows = rows.join(spread, "token", "left_semi").select("token", "gid", "place", "comp", "sig")
+        schema = "a bigint, b bigint, token bigint, row bigint, gid bigint, place bigint, comp bigint, sig binary"
         run = _pairs(self.numerator, self.denominator)
         found = common.keep(common.map_arrow(self.dealt(rows, [F.col("token")], []), run, schema), "ngrams")
         hot = found.filter("token is not null").withColumn("block", F.expr(f"row div {LIST_ROWS}"))
         blocks = hot.groupBy("token").agg(F.max("block").alias("most"))
         other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("most"))).alias("other")
-        hot = hot.join(blocks, "token").select("token", "block", "gid", "place", "comp", other)
+        hot = hot.join(blocks, "token").select("token", "block", "gid", "place", "comp", "sig", other)
         hot = hot.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                         "block", "gid", "place", "comp")
+                         "block", "gid", "place", "comp", "sig")
         run = _block_pairs(self.numerator, self.denominator)
         more = common.map_arrow(
             self.dealt(hot, [F.col("token"), F.col("x"), F.col("y")], []), run, "a bigint, b bigint")
-        mixed = places.filter("low <> high").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
+        mixed = places.filter("comp < 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
         groups = found.filter("token is null").select("a", "b").union(more).union(mixed).distinct()
-        x, y = (placed.select(F.col("gid").alias(g), F.col("cid").alias(g + "c"), F.col("comp").alias(g + "p"))
+        placed = self.classes.join(roots, F.col("cid") == F.col("node"), "left").join(
+            self.groups.select("gid", "members"), "gid")
+        x, y = (placed.select(F.col("gid").alias(g), F.col("cid").alias(g + "c"),
+                              F.coalesce("root", "cid").alias(g + "p"), (F.col("members") == 1).alias(g + "one"))
                 for g in "ab")
         pairs = groups.join(x, "a").join(y, "b").filter("ap <> bp and (a <> b or ac < bc)")
-        return pairs.select(F.col("ac").alias("a"), F.col("bc").alias("b"))
+        return pairs.select(F.least("ac", "bc").alias("a"), F.greatest("ac", "bc").alias("b"),
+                            (F.col("aone") & F.col("bone")).alias("sure"))
 
     def roots(self) -> DataFrame:
         """(node, root) of all classes that are linked with a class of a smaller number."""
         postings = self.postings()
-        first = self.possible(
-            self.inner_pairs().union(self.star_pairs(postings, 1)).union(self.star_pairs(postings, 2)))
-        texts = common.keep(self.texts(first.select(F.explode(F.array("a", "b")).alias("cid"))), "ngrams")
-        links = self.verified(first, texts)
-        second = self.possible(self.cross_pairs(postings, components(links)))
-        if second.isEmpty():
-            return components(links)
-        texts = common.keep(self.texts(second.select(F.explode(F.array("a", "b")).alias("cid"))), "ngrams")
-        return components(links.union(self.verified(second, texts)))
+        pairs, links, roots = self.inner_pairs(), None, None
+        for number in range(STARS):
+            places = self.places(roots)
+            near = self.possible(pairs.union(self.star_pairs(postings, places, number)))
+            found = self.verified(near)
+            links = found if links is None else links.union(found)
+            roots, pairs = components(links), pairs.limit(0)
+        pairs = common.keep(self.cross_pairs(postings, self.places(roots), roots), "ngrams")
+        last = common.keep(pairs.filter("sure").select("a", "b").union(
+            self.possible(pairs.filter("not sure").select("a", "b"))), "ngrams")
+        return roots if last.isEmpty() else components(links.union(self.verified(last)))
 
     def result(self) -> DataFrame:
         placed = self.classes.join(self.roots(), F.col("cid") == F.col("node"), "left")
