@@ -20,7 +20,7 @@ from ..functions import alerts as scoring
 from ..functions.times import event_time, plain
 from ..operators import changes, daily, fraud, quality, revenue, serving, sessions
 from ..schemas import (
-    CONTRACTS, ORDER, TOPIC_ALERTS, TOPIC_CDC_ORDERS, TOPIC_CDC_PRODUCTS, TOPIC_CLICKS, TOPIC_DLQ, TOPIC_ORDERS,
+    CONTRACTS, ORDER, PRODUCT_LOG, TOPIC_ALERTS, TOPIC_CDC_ORDERS, TOPIC_CDC_PRODUCTS, TOPIC_CLICKS, TOPIC_DLQ, TOPIC_ORDERS,
     TOPIC_REVENUE, TOPIC_SESSIONS,
 )
 from ..session import prepare, work_dir
@@ -44,11 +44,6 @@ AS_OF = "2001-08-01"
 ALERT_USER = "963"
 SESSION_USER = "7"
 
-PRODUCT_LOG = (
-    "product_id int, sku string, name string, price double, __op string, __table string, "
-    "__source_ts_ms bigint, __deleted boolean"
-)
-
 QUERIES: dict[str, Query] = {}
 
 
@@ -532,13 +527,15 @@ def cdc_current_state(spark, folder):
 
 @query
 def cdc_current_state_stream(spark, folder):
-    """The state table as a stream of change rows keeps it."""
-    log = _unwrapped(read_table_stream(spark, folder, "part"))
+    """The state table as a stream of change rows keeps it: four batches, one of which folds the table."""
     run = StreamRun.new(spark, "product-sync")
-    synced = SyncedTable(run.table, PRODUCT_LOG, ("product_id",), ("__source_ts_ms",), buckets=8)
-    run.drain_batches(log, synced.write_batch)
-    state = synced.read(spark)
-    return state.select("product_id", "sku", "name", "price", F.col("__op").alias("op"))
+    landing = f"{run.folder}/landing"
+    log = _unwrapped(table(spark, folder, "part"))
+    log.repartition(4, F.pmod(F.xxhash64("product_id", "__op", "__source_ts_ms"), F.lit(4))).write.parquet(landing)
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+    synced = SyncedTable(run.table, PRODUCT_LOG, ("product_id",), ("__source_ts_ms",), compact_every=3)
+    run.drain_batches(stream, synced.write_batch)
+    return synced.read(spark).select("product_id", "sku", "name", "price", F.col("__op").alias("op"))
 
 
 @query

@@ -26,6 +26,7 @@ from ..sources import messages, tables
 from ..sources.topics import publish_batch, read_topic, to_wire, write_topic
 from ..streaming import jobs as streams
 from ..streaming.runner import Counters, stream_settings
+from ..streaming.sync import SyncedTable
 
 CHECKPOINT_EVERY = "60s"
 CHECKPOINT_CONF = "spark.sql.streaming.stateStore.maintenanceInterval"
@@ -187,6 +188,18 @@ def run_fraud(spark: SparkSession, options: Options) -> None:
         _wait([_publish(options, alerts, schemas.TOPIC_ALERTS, "fraud_alerts", tables.write_alerts), split])
 
 
+def _sync(options: Options, products: DataFrame):
+    """Keep the table of current products."""
+    synced = SyncedTable(f"{options.output}/tables/products", schemas.PRODUCT_LOG, ("product_id",), ("__source_ts_ms",))
+    log = T.StructType.fromDDL(schemas.PRODUCT_LOG)
+    required = ["product_id", "__source_ts_ms", "__deleted"]
+    rows = messages.accepted(messages.parse_safe(products, log, required))
+    writer = rows.writeStream.queryName("products").option(
+        "checkpointLocation", f"{options.output}/checkpoints/products"
+    ).foreachBatch(synced.write_batch)
+    return _trigger(writer, options).start()
+
+
 def run_cdc(spark: SparkSession, options: Options) -> None:
     products = _topic(spark, options, schemas.TOPIC_CDC_PRODUCTS, "cdc-product-processor")
     orders = _topic(spark, options, schemas.TOPIC_CDC_ORDERS, "cdc-order-processor")
@@ -194,6 +207,7 @@ def run_cdc(spark: SparkSession, options: Options) -> None:
         _wait([
             _start(options, streams.price_feed_stream(products), "cdc.price-changes"),
             _start(options, streams.order_feed_stream(orders), "cdc.order-changes"),
+            _sync(options, products),
         ])
 
 

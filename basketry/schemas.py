@@ -149,6 +149,11 @@ INVENTORY_MOVEMENTS = _struct(
     "movement_id int not null, product_id int, movement_type string not null, "
     "quantity int not null, reason string, created_at timestamp"
 )
+# Change rows of products as the log and the synced table hold them.
+PRODUCT_LOG = (
+    "product_id int, sku string, name string, price double, __op string, __table string, "
+    "__source_ts_ms bigint, __deleted boolean"
+)
 
 
 @dataclass(frozen=True)

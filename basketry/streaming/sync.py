@@ -5,22 +5,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.changes import latest_versions
-from ..sources.tables import ensure_folder
 
-BUCKET, BATCH = "bucket", "batch"
+BASES, DELTAS = "bases", "deltas"
 
 
 @dataclass(frozen=True)
 class SyncedTable:
-    """Current rows by key, spread over hash buckets.
+    """Current rows by key: a base and the batches since.
 
-    Each micro-batch rewrites the buckets it touches, as a new version next to the old one, and
-    readers take the newest version of each bucket. Nothing that is read is ever overwritten, so a
-    batch cut off at any point, or run twice, leaves the same table. Rows of deleted keys stay as
-    markers, so that an older change arriving late does not bring them back.
+    Each micro-batch appends its latest row per key as a folder of its own, so a small batch writes little whatever
+    the size of the table. Every ``compact_every`` batches base and batches fold into a new base. Readers take the
+    newest finished base and the batches behind it, and scan nothing else; what the base before last covered is
+    removed, so a reader that began before a compaction still finds its files. A folder counts once it is finished
+    and is never written again, so a batch cut off at any point, or run twice, leaves the same table. Rows of deleted
+    keys stay as markers, so that an older change arriving late does not bring them back.
     """
 
     path: str
@@ -28,38 +28,57 @@ class SyncedTable:
     key: tuple[str, ...]
     order: tuple[str, ...]
     deleted: str = "__deleted"
-    buckets: int = 64
+    compact_every: int = 16
 
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
-        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
-        new = latest_versions(changes, list(self.key), list(self.order)).withColumn(BUCKET, bucket).persist()
-        try:
-            touched = new.select(BUCKET).distinct()
-            old = self._newest(changes.sparkSession, before=batch_id).join(touched, BUCKET, "left_semi")
-            merged = latest_versions(
-                new.unionByName(old.select(*new.columns)), [*self.key, BUCKET], list(self.order)
-            )
-            (
-                merged.withColumn(BATCH, F.lit(batch_id))
-                .hint("rebalance", F.col(BUCKET))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(BUCKET, BATCH)
-                .parquet(self.path)
-            )
-        finally:
-            new.unpersist()
+        spark = changes.sparkSession
+        bases, deltas = self._finished(spark, BASES), self._finished(spark, DELTAS)
+        if batch_id not in deltas and batch_id > max(bases, default=-1):
+            new = self._latest(changes.select(*self._columns(spark)))
+            new.write.mode("overwrite").parquet(self._folder(DELTAS, batch_id))
+        if (batch_id + 1) % self.compact_every == 0 and batch_id not in bases:
+            self._versions(spark).write.mode("overwrite").parquet(self._folder(BASES, batch_id))
+            self._clear(spark, bases, deltas)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return self._newest(spark).filter(~F.col(self.deleted)).drop(BUCKET)
-
-    def _newest(self, spark: SparkSession, before: int | None = None) -> DataFrame:
-        """Rows of the newest version of each bucket. The versions are found from the partition
-        columns alone, at most one row per bucket and batch."""
-        full = f"{self.schema}, {BUCKET} int, {BATCH} int"
-        ensure_folder(spark, self.path)
-        rows = spark.read.schema(full).parquet(self.path)
-        if before is not None:
-            rows = rows.filter(F.col(BATCH) < before)
-        newest = rows.groupBy(BUCKET).agg(F.max(BATCH).alias(BATCH))
-        return rows.join(newest, [BUCKET, BATCH], "left_semi").drop(BATCH)
+        return self._versions(spark).filter(f"not {self.deleted}")
+
+    def live(self, spark: SparkSession) -> list[str]:
+        """The folders that hold the table now."""
+        bases = self._finished(spark, BASES)
+        base = max(bases, default=-1)
+        folders = [self._folder(DELTAS, n) for n in self._finished(spark, DELTAS) if n > base]
+        return ([self._folder(BASES, base)] if bases else []) + folders
+
+    def _versions(self, spark: SparkSession) -> DataFrame:
+        folders = self.live(spark)
+        if not folders:
+            return spark.createDataFrame([], self.schema)
+        return self._latest(spark.read.schema(self.schema).parquet(*folders))
+
+    def _latest(self, rows: DataFrame) -> DataFrame:
+        return latest_versions(rows, list(self.key), list(self.order))
+
+    def _columns(self, spark: SparkSession) -> list[str]:
+        return spark.createDataFrame([], self.schema).columns
+
+    def _folder(self, kind: str, number: int) -> str:
+        return f"{self.path}/{kind}/{number}"
+
+    def _clear(self, spark: SparkSession, bases: list[int], deltas: list[int]) -> None:
+        """Remove what the newest base of ``bases`` (the one before the current) had already replaced."""
+        before = max(bases, default=-1)
+        old = [(BASES, n) for n in bases if n < before] + [(DELTAS, n) for n in deltas if n <= before]
+        for kind, number in old:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(self._folder(kind, number))
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+    def _finished(self, spark: SparkSession, kind: str) -> list[int]:
+        """Numbers of the folders that were written to the end; at most about twice ``compact_every`` of them."""
+        path = spark._jvm.org.apache.hadoop.fs.Path
+        top = path(f"{self.path}/{kind}")
+        files = top.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not files.exists(top):
+            return []
+        names = [s.getPath().getName() for s in files.listStatus(top)]
+        return sorted(int(n) for n in names if files.exists(path(f"{self.path}/{kind}/{n}/_SUCCESS")))

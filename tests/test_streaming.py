@@ -107,7 +107,7 @@ def test_synced_table_equals_replay_of_the_log(spark, rows):
     rng = random.Random(3)
     log = [(rng.randrange(12), f"v{ts}", ts, rng.random() < 0.25) for ts in range(120)]
     arrival = sorted(log, key=lambda r: r[2] + rng.randrange(0, 30))  # versions out of order
-    table = SyncedTable(work_dir(spark, "sync"), LOG, ("k",), ("ts",), buckets=3)
+    table = SyncedTable(work_dir(spark, "sync"), LOG, ("k",), ("ts",), compact_every=3)
     assert table.read(spark).count() == 0
     for batch_id in range(4):
         part = spark.createDataFrame(arrival[batch_id * 30:(batch_id + 1) * 30], LOG)
@@ -118,13 +118,16 @@ def test_synced_table_equals_replay_of_the_log(spark, rows):
     assert rows(table.read(spark), "k", "v") == rows(want, "k", "v")
 
 
-def test_synced_table_touches_only_its_buckets(spark):
-    table = SyncedTable(work_dir(spark, "sync"), LOG, ("k",), ("ts",), buckets=16)
-    table.write_batch(spark.range(200).selectExpr("cast(id as int) k", "'a' v", "1L ts", "false __deleted"), 0)
-    table.write_batch(spark.createDataFrame([(5, "b", 2, False)], LOG), 1)
-    files = spark.read.parquet(table.path)
-    assert files.filter(F.col("batch") == 1).select("bucket").distinct().count() == 1
-    assert table.read(spark).count() == 200 and table.read(spark).filter("v = 'b'").count() == 1
+def test_synced_table_does_not_grow_with_batches(spark):
+    table = SyncedTable(work_dir(spark, "sync"), LOG, ("k",), ("ts",), compact_every=3)
+    for batch_id in range(13):
+        table.write_batch(spark.createDataFrame([(batch_id % 2, str(batch_id), batch_id, False)], LOG), batch_id)
+        kinds = [f.split("/")[-2:] for f in table.live(spark)]
+        assert len(kinds) <= 3 and sum(k == "bases" for k, _ in kinds) <= 1
+        scanned = {f.rsplit("/", 1)[0].split("://")[-1] for f in table.read(spark).inputFiles()}
+        assert {"/".join(f.split("/")[-2:]) for f in scanned} == {"/".join(k) for k in kinds}
+    assert len(table._finished(spark, "bases")) <= 2 and len(table._finished(spark, "deltas")) <= 6
+    assert sorted(r["v"] for r in table.read(spark).collect()) == ["11", "12"]
 
 
 def test_work_dir_is_shared():
