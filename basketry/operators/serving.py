@@ -1,8 +1,8 @@
-"""Read-side queries over the result tables."""
+"""Read-side queries over the stored result tables: only the newest partitions, or the rows of one user."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LATEST_ALERTS = 100
@@ -10,12 +10,42 @@ LATEST_ALERTS_OF_USER = 50
 LATEST_WINDOWS = 2
 
 
+def stored(spark: SparkSession, path: str, schema: str, partition: str, key: str) -> DataFrame:
+    """Rows of a result table with its time partition; a file that cannot be read and a row without its key are
+    skipped."""
+    rows = spark.read.schema(f"{schema}, {partition} string").option("ignoreCorruptFiles", "true").parquet(path)
+    return rows.filter(F.col(key).isNotNull())
+
+
+def unreadable(spark: SparkSession, path: str, schema: str, key: str) -> int:
+    """How many rows ``stored`` skips for want of a key."""
+    rows = spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
+    return rows.filter(F.col(key).isNull()).count()
+
+
+def newest(rows: DataFrame, partition: str, limit: int, what: Column | None = None) -> DataFrame:
+    """The newest partitions that together hold ``limit`` rows, or as many different ``what``. One row per partition
+    goes through the driver, as many as the file listing has folders."""
+    count = F.count(F.lit(1)) if what is None else F.count_distinct(what)
+    held, first = 0, None
+    for row in rows.groupBy(partition).agg(count.alias("n")).orderBy(F.desc(partition)).collect():
+        held, first = held + row["n"], row[partition]
+        if held >= limit:
+            break
+    return rows.filter(F.col(partition) >= first) if first is not None else rows
+
+
 def latest_alerts(alerts: DataFrame, limit: int = LATEST_ALERTS) -> DataFrame:
-    return alerts.orderBy(F.desc("detected_at"), "alert_id").limit(limit)
+    """Of the stored alerts, by ``day``."""
+    return _latest(newest(alerts, "day", limit), limit)
 
 
 def alerts_by_user(alerts: DataFrame, user_id: str, limit: int = LATEST_ALERTS_OF_USER) -> DataFrame:
-    return latest_alerts(alerts.filter(F.col("user_id") == user_id), limit)
+    return _latest(alerts.filter(F.col("user_id") == user_id), limit)
+
+
+def _latest(alerts: DataFrame, limit: int) -> DataFrame:
+    return alerts.drop("day").orderBy(F.desc("detected_at"), "alert_id").limit(limit)
 
 
 def sessions_list(sessions: DataFrame) -> DataFrame:
@@ -33,17 +63,24 @@ def sessions_list(sessions: DataFrame) -> DataFrame:
 
 
 def sessions_by_user(sessions: DataFrame, user_id: str) -> DataFrame:
-    return sessions_list(sessions).filter(F.col("user_id") == user_id)
-
-
-def latest_revenue(windows: DataFrame, top: DataFrame, limit: int = LATEST_WINDOWS) -> DataFrame:
-    """The newest windows with their best category. The limit applies before the join."""
-    newest = windows.orderBy(F.desc("window_start")).limit(limit)
-    return newest.join(top, ["window_start", "window_end"], "left").select(
-        "window_start",
-        "window_end",
-        F.col("gmv").alias("total_gmv"),
-        "order_count",
-        F.col("average_order_value").alias("avg_order_value"),
-        "top_category",
+    return sessions_list(sessions.filter(F.col("user_id") == user_id))
+
+
+def latest_revenue(flat: DataFrame, limit: int = LATEST_WINDOWS) -> DataFrame:
+    """The newest windows of the stored revenue rows, by ``hour``, with their best category; the lowest name among
+    equals."""
+    rows = newest(flat, "hour", limit, F.col("window_start_timestamp"))
+    best = F.struct(-F.col("category_revenue"), F.col("category"))
+    return (
+        rows.groupBy(
+            F.col("window_start_timestamp").alias("window_start"), F.col("window_end_timestamp").alias("window_end")
+        )
+        .agg(
+            F.max("gmv").alias("total_gmv"),
+            F.max("order_count").alias("order_count"),
+            F.max("average_order_value").alias("avg_order_value"),
+            F.min_by("category", F.when(F.col("category").isNotNull(), best)).alias("top_category"),
+        )
+        .orderBy(F.desc("window_start"))
+        .limit(limit)
     )

@@ -105,6 +105,10 @@ def _delivered(spark: SparkSession, folder: str, columns: tuple[str, ...], day:
     return feeds.daily_orders(spark, folder, day=day, statuses=(daily.DELIVERED,), columns=columns)
 
 
+def _ddl(rows: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+
+
 def _alert_columns(alerts: DataFrame) -> DataFrame:
     return alerts.withColumn("related_events", F.array_join("related_events", ","))
 
@@ -215,14 +219,22 @@ def sessions_json(spark, folder):
     return to_wire(out)
 
 
+def _stored_sessions(spark, folder):
+    """The session table as its job writes it, read back."""
+    path = work_dir(spark, "user-sessions")
+    rows = sessions.session_metrics(_clicks(spark, folder), LONG_GAP)
+    tables.write_sessions(rows, path)
+    return serving.stored(spark, path, _ddl(rows), "day", "session_id")
+
+
 @query
 def sessions_list(spark, folder):
-    return serving.sessions_list(sessions.session_metrics(_clicks(spark, folder), LONG_GAP))
+    return serving.sessions_list(_stored_sessions(spark, folder))
 
 
 @query
 def sessions_by_user(spark, folder):
-    return serving.sessions_by_user(sessions.session_metrics(_clicks(spark, folder), LONG_GAP), SESSION_USER)
+    return serving.sessions_by_user(_stored_sessions(spark, folder), SESSION_USER)
 
 
 # --- revenue ----------------------------------------------------------------------------------
@@ -305,9 +317,10 @@ def revenue_summary(spark, folder):
 
 @query
 def revenue_realtime(spark, folder):
-    purchases = _purchases(spark, folder)
-    top = revenue.top_categories(revenue.revenue_by_category(purchases))
-    return serving.latest_revenue(revenue.revenue_windows(purchases), top)
+    path = work_dir(spark, "real-time-revenue")
+    rows = revenue.revenue_flat_rows(_purchases(spark, folder))
+    tables.write_revenue(rows, path)
+    return serving.latest_revenue(serving.stored(spark, path, _ddl(rows), "hour", "window_start_timestamp"))
 
 
 # --- fraud ------------------------------------------------------------------------------------
@@ -354,14 +367,21 @@ def fraud_alerts(spark, folder):
     return _alert_columns(_placed_alerts(spark, folder))
 
 
+def _stored_alerts(spark, folder):
+    path = work_dir(spark, "fraud-alerts")
+    rows = _placed_alerts(spark, folder)
+    tables.write_alerts(rows, path)
+    return serving.stored(spark, path, _ddl(rows), "day", "alert_id")
+
+
 @query
 def latest_alerts(spark, folder):
-    return _alert_columns(serving.latest_alerts(_placed_alerts(spark, folder)))
+    return _alert_columns(serving.latest_alerts(_stored_alerts(spark, folder)))
 
 
 @query
 def alerts_by_user(spark, folder):
-    return _alert_columns(serving.alerts_by_user(_placed_alerts(spark, folder), ALERT_USER))
+    return _alert_columns(serving.alerts_by_user(_stored_alerts(spark, folder), ALERT_USER))
 
 
 @query

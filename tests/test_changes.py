@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from basketry.operators import changes, quality, serving
 from basketry.schemas import CONTRACTS
-from basketry.sources import feeds, messages
+from basketry.session import work_dir
+from basketry.sources import feeds, messages, tables
 
 FLAT = "product_id int, sku string, price double, __op string, __table string, __source_ts_ms bigint, __deleted boolean"
 
@@ -102,10 +103,27 @@ def test_contract(spark, rows):
 
 
 def test_serving_limits(spark):
-    alerts = spark.range(130).selectExpr("concat('a', id) as alert_id", "if(id % 2 = 0, 'u', 'v') as user_id",
-                                         "timestamp_seconds(id) as detected_at")
+    alerts = spark.range(130).selectExpr(
+        "concat('a', id) as alert_id", "if(id % 2 = 0, 'u', 'v') as user_id", "timestamp_seconds(id) as detected_at",
+        "if(id < 60, '1', '2') as day")
     top = serving.latest_alerts(alerts).collect()
     assert len(top) == 100 and top[0]["alert_id"] == "a129"
     mine = serving.alerts_by_user(alerts, "u").collect()
     assert len(mine) == 50 and mine[0]["alert_id"] == "a128" and {r["user_id"] for r in mine} == {"u"}
     assert serving.alerts_by_user(alerts, "nobody").count() == 0
+    assert serving.newest(alerts, "day", 70).count() == 70 and serving.newest(alerts, "day", 71).count() == 130
+    assert serving.latest_alerts(alerts.limit(0)).count() == 0
+
+
+def test_serving_reads_little(spark):
+    path = work_dir(spark, "alerts")
+    rows = spark.range(40).selectExpr("if(id = 7, null, concat('a', id)) as alert_id", "concat('u', id % 4) as user_id",
+                                      "timestamp_seconds(id * 8000) as detected_at")
+    tables.write_alerts(rows, path)
+    schema = "alert_id string, user_id string, detected_at timestamp"
+    stored = serving.stored(spark, path, schema, "day", "alert_id")
+    assert stored.count() == 39 and serving.unreadable(spark, path, schema, "alert_id") == 1
+    plan = serving.latest_alerts(stored, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    plan = serving.alerts_by_user(stored, "u1")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(user_id,u1)" in plan
