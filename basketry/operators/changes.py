@@ -140,13 +140,24 @@ def running_stock(
     )
 
 
-def latest_inventory(events: DataFrame) -> DataFrame:
-    """Last known stock and price of each product; events without a value do not clear it."""
+def stock_levels(movements: DataFrame) -> DataFrame:
+    """Stock of each product after all its movements, and how many there were; for static and streaming input."""
+    return movements.groupBy("product_id").agg(
+        F.sum(signed_quantity()).alias("stock"), F.count(F.lit(1)).alias("movements")
+    )
+
+
+def latest_inventory(events: DataFrame, counted: bool = False) -> DataFrame:
+    """Last known stock and price of each product; events without a value do not clear it. ``counted`` adds how many
+    events there were, which orders the versions of a product in a stream."""
 
     def last_known(column: str) -> Column:
         at = F.when(F.col(column).isNotNull(), F.struct("timestamp", "event_id"))
         return F.max_by(column, at).alias(column.replace("new_", ""))
 
     return events.groupBy("product_id").agg(
-        last_known("new_stock"), last_known("new_price"), F.max("timestamp").alias("updated_ms")
+        last_known("new_stock"),
+        last_known("new_price"),
+        F.max("timestamp").alias("updated_ms"),
+        *([F.count(F.lit(1)).alias("events")] if counted else []),
     )

@@ -575,6 +575,22 @@ def inventory_latest(spark, folder):
     return changes.latest_inventory(feeds.stock_events(table(spark, folder, "events")))
 
 
+@query
+def stock_level_stream(spark, folder):
+    moves = feeds.stock_movements(read_table_stream(spark, folder, "lineitem"))
+    run = StreamRun.new(spark, "stock-levels")
+    kept = jobs.keep_products(run, changes.stock_levels(moves), "movements")
+    return kept.read(spark).drop("__deleted")
+
+
+@query
+def inventory_latest_stream(spark, folder):
+    events = feeds.stock_events(read_table_stream(spark, folder, "events"))
+    run = StreamRun.new(spark, "inventory")
+    kept = jobs.keep_products(run, changes.latest_inventory(events, counted=True), "events")
+    return kept.read(spark).drop("__deleted", "events")
+
+
 @query
 def order_events_nested(spark, folder):
     """Order events item by item: an order of any size fits."""

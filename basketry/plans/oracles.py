@@ -558,6 +558,11 @@ FROM newest LEFT JOIN t ON newest.window_start = t.window_start""",
     "price_changes": PRICE_CHANGES,
     "stock_running": STOCK,
     "inventory_latest": INVENTORY,
+    "inventory_latest_stream": INVENTORY,
+    "stock_level_stream": """
+SELECT l_partkey AS product_id, count(*) AS movements,
+       CAST(sum(CASE WHEN l_returnflag = 'A' THEN -l_quantity ELSE l_quantity END) AS BIGINT) AS stock
+FROM lineitem GROUP BY l_partkey""",
     "order_events_nested": NESTED,
     "daily_revenue_table": f"WITH {DAILY} {DAILY_REVENUE}",
     "daily_rerun_table": f"WITH {DAILY} SELECT * FROM ({DAILY_REVENUE}) WHERE order_date <> '1998-10-03'",

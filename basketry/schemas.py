@@ -173,6 +173,8 @@ CONTRACTS = {
     "order": Contract(ORDER, {"order_status": ORDER_STATUSES}),
     "inventory": Contract(INVENTORY, {"event_type": INVENTORY_EVENT_TYPES}),
     "fraud_alert": Contract(FRAUD_ALERT, {"alert_type": ALERT_TYPES}),
+    "order_items": Contract(ORDER_ITEMS),
+    "inventory_movements": Contract(INVENTORY_MOVEMENTS, {"movement_type": ("IN", "OUT", "ADJUSTMENT")}),
 }
 
 

@@ -12,6 +12,7 @@ from ..operators import changes, fraud, revenue, sessions
 from ..schemas import ORDER
 from ..sources import messages
 from .fraud import first_order_hits, rapid_hits
+from .sync import SyncedTable
 
 # --- fixed values: how far events may be out of order -----------------------------------------
 CLICK_DELAY = timedelta(seconds=30)
@@ -104,3 +105,13 @@ def price_feed_stream(product_messages: DataFrame) -> DataFrame:
 
 def order_feed_stream(order_messages: DataFrame) -> DataFrame:
     return changes.order_feed(messages.parse_order_changes(order_messages))
+
+
+def keep_products(run, stream: DataFrame, counted: str, compact_every: int = 16) -> SyncedTable:
+    """Follow a keyed aggregate by product: each batch hands on the products that changed, and the row with the
+    highest count of what it has seen is the current one."""
+    rows = stream.withColumn("__deleted", F.lit(False))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+    synced = SyncedTable(run.table, schema, ("product_id",), (counted,), compact_every=compact_every)
+    run.drain_batches(rows, synced.write_batch, mode="update")
+    return synced

@@ -45,8 +45,10 @@ class StreamRun:
         )
         return self._run(writer)
 
-    def drain_batches(self, stream: DataFrame, write: Callable[[DataFrame, int], None]) -> list[dict]:
-        return self._run(stream.writeStream.foreachBatch(write))
+    def drain_batches(
+        self, stream: DataFrame, write: Callable[[DataFrame, int], None], mode: str = "append"
+    ) -> list[dict]:
+        return self._run(stream.writeStream.outputMode(mode).foreachBatch(write))
 
     def _run(self, writer) -> list[dict]:
         with stream_settings(self.spark):

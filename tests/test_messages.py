@@ -151,3 +151,14 @@ def test_unreadable_envelopes_are_rejected(spark):
     assert messages.unwrap(lines, row).count() == 1
     bad = messages.rejected(messages.read_envelopes(lines, row)).collect()
     assert sorted(r["original"] for r in bad) == ["not json", '{"after":{}}']
+
+
+def test_table_rows_by_schema_name(spark):
+    from decimal import Decimal
+
+    line = '{"item_id":1,"order_id":2,"product_id":3,"quantity":2,"unit_price":"9.99","total_price":19.98}'
+    row = messages.parse_events(spark.createDataFrame([(line,)], "value string"), "order_items").first()
+    assert row["error"] is None and (row["row"]["quantity"], row["row"]["unit_price"]) == (2, Decimal("9.99"))
+    line = '{"movement_id":1,"product_id":3,"movement_type":"OUT"}'
+    row = messages.parse_events(spark.createDataFrame([(line,)], "value string"), "inventory_movements").first()
+    assert row["error"] is not None  # no quantity
