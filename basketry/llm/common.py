@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -35,12 +37,26 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def release() -> None:
+    """Give memory that a task has freed back to the system: workers live on, and one executor has several."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries do without
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def map_arrow(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
     """``mapInArrow`` over batches of at most BATCH_ROWS rows."""
     spark = df.sparkSession
     if int(spark.conf.get(BATCH_CONF)) > BATCH_ROWS:
         spark.conf.set(BATCH_CONF, str(BATCH_ROWS))
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return df.mapInArrow(task, schema)
 
 
 def arrow_schema(schema: str) -> pa.Schema:

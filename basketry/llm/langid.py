@@ -24,11 +24,11 @@ from pyspark.sql import functions as F
 
 from . import common, words
 
-ROWS_PER_LANGUAGE = 1500
+ROWS_PER_LANGUAGE = 1000
 MAX_LANGUAGES = 200
 BITS = 15
 ORDERS = (2, 4)
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 # Languages by family; any other code is a family of its own.
 FAMILIES = {
@@ -136,7 +136,7 @@ def fit_svm(rows: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, cost:
     """Weights (the last is the bias) of a linear machine with hinge loss, by dual coordinate descent."""
     weight = np.zeros((1 << BITS) + 1)
     alpha = np.zeros(len(rows))
-    norm = np.array([value @ value for _, value in rows])
+    norm = np.array([float(value @ value) for _, value in rows])
     order = np.random.default_rng(7)
     for _ in range(passes):
         moved = 0.0
@@ -184,10 +184,14 @@ def fit(labelled: DataFrame, *, per_language: int = ROWS_PER_LANGUAGE, cost: flo
     langs = np.array(found.column("lang").to_pylist(), object)
     rows = []
     for at, value in zip(found.column("at"), found.column("value")):
-        at, value = np.asarray(at.values, np.int64), np.asarray(value.values, np.float64)
-        scale = 1 / max(np.sqrt(value @ value), 1e-9)
-        rows.append((np.append(at, 1 << BITS), np.append(value * scale, 1.0), scale))
-    return _fit_machines(langs, rows, cost)
+        at, value = at.values.to_numpy(), value.values.to_numpy()
+        scale = 1 / max(float(np.sqrt(value @ value)), 1e-9)
+        rows.append((np.append(at, np.int32(1 << BITS)), np.append(value * np.float32(scale), np.float32(1)), scale))
+    del found
+    model = _fit_machines(langs, rows, cost)
+    del rows
+    common.release()
+    return model
 
 
 def _fit_machines(langs: np.ndarray, rows: list, cost: float) -> Model:

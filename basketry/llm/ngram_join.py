@@ -37,16 +37,16 @@ from .components import components
 SIZE = 5
 NUMERATOR, DENOMINATOR = 80, 100
 # Shingles counted at a time in a task; those seen LOCAL times in it are added up over all tasks.
-CHUNK_SHINGLES = 4 << 20
-LOCAL = 4
+CHUNK_SHINGLES = 2 << 20
+LOCAL = 3
 # Bound of the frequent shingles known to every task (8 bytes each).
 FREQUENT = 200_000
 LIST_ROWS = 2048
 SIGNATURE = 1024
 # Rounds in which every group meets one other, before all remaining pairs are looked at.
-STARS = 3
+STARS = 2
 HUB_ROWS = 512
-SLICE = 1 << 20
+SLICE = 1 << 18
 
 _KIND = np.ones(256, np.uint8)
 _KIND[[32, 9, 10, 11, 12, 13]] = 0
@@ -385,21 +385,22 @@ class Join:
         many = own.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
         return common.keep(own.join(many, "token"), "ngrams")
 
-    def places(self, roots: DataFrame | None) -> DataFrame:
+    def places(self, roots: DataFrame) -> DataFrame:
         """Each group with its component (-1 for several) and, if it is one class, the signature."""
-        comp = F.col("cid")
-        rows = self.classes
-        if roots is not None:
-            rows, comp = rows.join(roots, F.col("cid") == F.col("node"), "left"), F.coalesce("root", "cid")
+        rows = self.classes.join(roots, F.col("cid") == F.col("node"), "left")
+        comp = F.coalesce("root", "cid")
         found = rows.groupBy("gid").agg(
             F.min(comp).alias("low"), F.max(comp).alias("high"), F.max("sig").alias("sig"), F.count(F.lit(1)).alias("k"))
         one = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.lit(-1))
         return found.select("gid", one.alias("comp"), F.when(F.col("k") == 1, F.col("sig")).alias("sig"))
 
-    def star_pairs(self, postings: DataFrame, places: DataFrame, seed: int) -> DataFrame:
+    def star_pairs(self, postings: DataFrame, roots: DataFrame | None, seed: int) -> DataFrame:
         """Each group with the group of another component that it meets most often as the first of a list, as pairs
-        of first classes. Which is first changes with the seed."""
-        rows = postings.join(places.select("gid", "comp"), "gid").select("token", "gid", "place", "comp")
+        of first classes. Which is first changes with the seed. Without roots every group is a component."""
+        rows = postings.withColumn("comp", F.col("gid"))
+        if roots is not None:
+            rows = postings.join(self.places(roots).select("gid", "comp"), "gid")
+        rows = rows.select("token", "gid", "place", "comp")
         rows = self.dealt(rows, [F.col("token")], [F.xxhash64("gid", F.lit(seed)), F.col("gid")])
         met = common.map_arrow(rows, _stars, "gid bigint, hub bigint, n bigint, m bigint")
         fits = F.least("n", "m") * self.denominator >= F.greatest("n", "m") * self.numerator
@@ -478,8 +479,7 @@ class Join:
         postings = self.postings()
         pairs, links, roots = self.inner_pairs(), None, None
         for number in range(STARS):
-            places = self.places(roots)
-            near = self.possible(pairs.union(self.star_pairs(postings, places, number)))
+            near = self.possible(pairs.union(self.star_pairs(postings, roots, number)))
             found = self.verified(near)
             links = found if links is None else links.union(found)
             roots, pairs = components(links), pairs.limit(0)

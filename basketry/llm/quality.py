@@ -1,8 +1,8 @@
 """Quality classifier: logistic regression over hashed word n-grams, trained with follow-the-regularised-leader steps.
 
 Tokens are words (letters, digits, all bytes beyond ASCII) and runs of marks. Features are hashed: single tokens,
-pairs of neighbours, signs for a token that repeats the one before or the one before that, and a sign for words in capitals; values are
-shares of the text's tokens. A text's score is the sparse dot product of its features with the weights.
+pairs of neighbours, signs for a token that repeats the one before or the one before that, and a sign for words in
+capitals; values are shares of the text's tokens. A text's score is the sparse dot product of its features with the weights.
 
 The labels are learned from at most TRAIN_ROWS labelled documents, those with the smallest hash of their id among
 the rows that are not held out, in PASSES passes in a fixed order.
@@ -27,7 +27,7 @@ TRAIN_ROWS = 8000
 PASSES = 3
 BITS = 18
 SCALE = 20.0
-SLICE = 1 << 20
+SLICE = 1 << 18
 THRESHOLD = 0.3
 
 
@@ -136,13 +136,15 @@ def fit(docs: DataFrame, labels: DataFrame, *, column: str = "quality", most: in
     found = found.sort_by("doc_id")
     learner = Follower()
     rows = [
-        (np.append(np.asarray(at.values, np.int64), 1 << BITS), np.append(np.asarray(value.values, np.float64), 1.0), y)
+        (np.append(at.values.to_numpy(), np.int32(1 << BITS)), np.append(value.values.to_numpy(), np.float32(1)), y)
         for at, value, y in zip(found.column("at"), found.column("value"), found.column("label").to_pylist())
     ]
     order = np.random.default_rng(11)
     for _ in range(PASSES):
         for i in order.permutation(len(rows)):
             learner.step(*rows[i])
+    del rows, found
+    common.release()
     return learner.weights(np.arange((1 << BITS) + 1)).astype(np.float32)
 
 

@@ -14,7 +14,7 @@ from array import array
 import numpy as np
 
 # Chunks remembered by a worker; beyond it only those of the current texts stay.
-REMEMBERED = 1_200_000
+REMEMBERED = 300_000
 
 # A chunk of Latin letters and a run of ASCII marks without apostrophe: two pre-tokens that only need lower case.
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")

@@ -6,10 +6,10 @@ for either. Lexicon and text fold alike, so a match is a whole word or the begin
 
 The lexicon is learned from at most TRAIN_ROWS labelled documents that are not held out: words and word beginnings
 that occur in toxic documents far more often than chance allows, over all candidates. Documents that share one of
-their smallest shingle hashes count once, so copies of one toxic text do not turn all its words into the lexicon. A phrase
-of an entry and a neighbouring word that occurs mostly in clean documents becomes an exception: it takes the entry's
-weight back; EXCEPTIONS holds phrases that always count as such. A logistic curve over the weighted hits, as they
-are and per word, gives the score.
+their smallest shingle hashes count once, so copies of one toxic text do not turn all its words into the lexicon. A
+phrase of an entry and a neighbouring word that occurs mostly in clean documents becomes an exception: it takes the
+entry's weight back; EXCEPTIONS holds phrases that always count as such. A logistic curve over the weighted hits, as
+they are and per word, gives the score.
 
 Defined cases: null or empty text has no hits and the lowest score; of several labels of one id the smallest counts;
 without any label the lexicon is empty and every score is 0; repeated rows are scored one by one.

@@ -8,7 +8,7 @@ import numpy as np
 ROOT = 0x9E3779B97F4A7C15
 MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 # Bytes hashed at a time; the powers of ROOT are tabled up to here.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 _powers: list[np.ndarray] = []
 

@@ -140,7 +140,7 @@ def test_hot_lists_and_salted_hubs(spark, monkeypatch):
     """Blocks of long lists find the pairs that the first steps leave over."""
     monkeypatch.setattr(ngram_join, "HUB_ROWS", 2)
     monkeypatch.setattr(ngram_join, "STARS", 1)
-    monkeypatch.setattr(ngram_join.Join, "star_pairs", lambda self, postings, places, seed: self.inner_pairs())
+    monkeypatch.setattr(ngram_join.Join, "star_pairs", lambda self, postings, roots, seed: self.inner_pairs())
     texts = near_copies(11, 4, 30)
     left = (np.array([5, 6, 7, 8]), (np.full(4, 50) << 32) + 1, np.array([1, 1, 2, -1]),
             np.zeros((4, 2), np.uint64), np.array([True, False, True, True]))
