@@ -145,7 +145,8 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with each word and word beginning, by label, added up in the task."""
+    """Documents with each word and word beginning, by label, added up in the task. Which of them occur in toxic
+    documents is known only from the sums over all tasks."""
     counts: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
     for batch in batches:
         for label, norm in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -155,7 +156,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 found |= {(w[:size], "") for w in own if len(w) > size}
             for key in found:
                 counts[key][label != 0] += 1
-    keys = [k for k, (_, toxic) in counts.items() if toxic]
+    keys = list(counts)
     for at in range(0, len(keys), 20_000):
         part = keys[at:at + 20_000]
         yield pa.RecordBatch.from_arrays(
@@ -284,7 +285,7 @@ def fit(
         return Lexicon()
     counts = common.map_arrow(texts, _candidates, "entry string, whole boolean, clean bigint, toxic bigint")
     counts = counts.groupBy("entry", "whole").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    counts = common.keep(counts, "toxicity")
+    counts = common.keep(counts.filter("toxic > 0"), "toxicity")
     kind = F.when(F.col("whole"), 0).otherwise(F.length("entry")).alias("kind")
     candidates = {r.kind: r.n for r in counts.groupBy(kind).agg(F.count(F.lit(1)).alias("n")).collect()}
     share = toxic / (clean + toxic)
