@@ -206,7 +206,7 @@ def choose(
 
 def _neighbours(machine):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Phrases of an entry and the word before or behind it, with the label."""
+        """Phrases of an entry and the word before or behind it, by label, added up in the task."""
         own = machine()
         counts: dict[tuple[str, str], list[int]] = defaultdict(lambda: [0, 0])
         for batch in batches:
@@ -222,7 +222,7 @@ def _neighbours(machine):
                         found.add((norm[begin:right + 1], key))
                 for pair in found:
                     counts[pair][label != 0] += 1
-        rows = [(p, k, c, t) for (p, k), (c, t) in counts.items() if c]
+        rows = [(p, k, c, t) for (p, k), (c, t) in counts.items()]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, t in enumerate(
                 (pa.string(), pa.string(), pa.int64(), pa.int64()))], names=["phrase", "entry", "clean", "toxic"],

@@ -40,3 +40,11 @@ def test_lexicon_counts_clean_documents_of_all_tasks(spark, dealt):
         found.append(toxicity.fit(docs, labels))
     assert found[0].entries == found[1].entries and found[0].curve == pytest.approx(found[1].curve)
     assert " vuigar " in found[0].entries and " harbour " not in found[0].entries
+
+
+def test_exceptions_count_toxic_documents_of_all_tasks(spark, dealt):
+    docs, labels = marked(spark, ["vulgar"] * 50 + ["vulgar harbour"] * 15, ["vulgar harbour"] * 5 + [""] * 430)
+    dealt(200)
+    found = toxicity.fit(docs, labels)
+    assert " vuigar " in found.entries
+    assert not [p for p in found.exceptions if "harbour" in p]
