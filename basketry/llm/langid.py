@@ -6,7 +6,7 @@ machine votes between them, and the summed certainties decide. All machines are
 text is scored by summing rows of one weight table.
 
 The machines are fitted, by dual coordinate descent, on at most ROWS_PER_LANGUAGE texts of each language, taken by
-the hash of their ids from the rows that are not held out, for the MAX_LANGUAGES most frequent languages.
+the hash of their ids from the rows that are not held out; every language that occurs there is learned.
 
 Defined cases: null text or no letter gives ``und`` with score 0, and so does every text where no row can be learned
 from; a null id is held out; ties between languages go to the first by name; repeated rows are judged one by one.
@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from . import common, words
 
-ROWS_PER_LANGUAGE = 1000
-MAX_LANGUAGES = 200
+ROWS_PER_LANGUAGE = 1500
 BITS = 15
 ORDERS = (2, 4)
 SLICE = 1 << 18
@@ -173,9 +172,8 @@ def fit(labelled: DataFrame, *, per_language: int = ROWS_PER_LANGUAGE, cost: flo
     """A model from rows of ``id``, ``lang`` and ``text``; a bounded sample of them is brought together."""
     known = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    top = counts.orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    taken = known.join(F.broadcast(top), "lang").filter(draw < F.lit(1.1 * per_language) / F.col("n"))
+    taken = known.join(F.broadcast(counts), "lang").filter(draw < F.lit(1.1 * per_language) / F.col("n"))
     first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     sample = taken.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language)
     found = common.map_arrow(
