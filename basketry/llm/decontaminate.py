@@ -7,8 +7,9 @@ A match always begins and ends at a space, so it covers whole words; word number
 The items are a stated query set. They reach the tasks in blocks of about ``block_bytes`` bytes of item text, one
 automaton each; more blocks mean more passes over the rows, in a chain without a shuffle, and the hits add up.
 
-Defined cases: a null or empty text has no words and is never contaminated; an item without id, text or words is
-left out; items with one id count once; repeated rows and rows without id are judged one by one.
+Defined cases: a null or empty text has no words and is never contaminated; an item without text or
+words is left out; the words of an item without id count as hits, but it has no name in the items; items with one id
+count once; repeated rows and rows without id are judged one by one.
 """
 
 from __future__ import annotations
@@ -53,12 +54,14 @@ def windows(text: str | None, size: int = WINDOW) -> set[str]:
     }
 
 
-def automaton(items: list[tuple[str, str]], size: int = WINDOW) -> ahocorasick.Automaton:
-    """Key to (words in it, items that hold it)."""
+def automaton(items: list[tuple[str | None, str]], size: int = WINDOW) -> ahocorasick.Automaton:
+    """Key to (words in it, named items that hold it)."""
     holders: dict[str, set[str]] = {}
     for item, text in items:
         for key in windows(text, size):
-            holders.setdefault(key, set()).add(item)
+            own = holders.setdefault(key, set())
+            if item is not None:
+                own.add(item)
     found = ahocorasick.Automaton()
     for key, own in holders.items():
         found.add_word(key, (key.count(" ") - 1, tuple(sorted(own))))
@@ -164,7 +167,7 @@ def contamination(
     """One row per document: the ``keep`` columns (and the text, on demand), n_words, n_hit, items (sorted ids),
     spans (code points of the original text), items_sha256, contaminated."""
     spark = docs.sparkSession
-    tests = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("body")).dropna()
+    tests = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("body")).dropna(subset=["body"])
     size = tests.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0)).alias("n")).first().n
     blocks = max(1, -(-size // block_bytes))
     picked = [F.col(c) for c in keep] + [F.col(text).alias("body")]

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from basketry.llm import langid
+from basketry.llm import decontaminate, langid
 
 
 def test_every_language_is_learned(spark):
@@ -37,3 +37,12 @@ def test_texts_stay_where_no_language_can_be_learned(spark):
     rows = [(1, "some text"), (2, "日本語"), (3, "12 --"), (4, None), (5, "")]
     docs = spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id bigint, text string, lang string")
     assert sorted(r["doc_id"] for r in langid.recognised(docs, langid.learn(docs)).collect()) == [1, 2]
+
+
+def test_items_without_id_count_as_hits(spark):
+    tests = spark.createDataFrame([(None, "alpha beta"), (7, "gamma")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "an alpha beta gamma"), (2, "alpha beta")], "doc_id bigint, text string")
+    found = {r["doc_id"]: r for r in decontaminate.contamination(docs, tests).collect()}
+    assert [(found[i]["n_hit"], found[i]["items"], found[i]["contaminated"]) for i in (1, 2)] == [
+        (3, ["7"], True), (2, [], True)]
+    assert decontaminate.clean(docs, tests).count() == 0
