@@ -492,11 +492,11 @@ class Join:
         placed = self.classes.join(self.roots(), F.col("cid") == F.col("node"), "left")
         placed = placed.select("dig", "least", F.coalesce("root", "cid").alias("comp"))
         least = placed.groupBy("comp").agg(F.min("least").alias("component_id"))
-        names = placed.join(least, "comp").select("dig", "component_id")
+        names = placed.join(least, "comp").select("dig", "comp", "component_id")
         found = self.rows.select("doc_id", "n", "dig", "th").join(names, "dig", "left")
         return found.select(
             "doc_id", F.col("n").cast("bigint").alias("n_shingles"),
-            F.coalesce("component_id", "doc_id").alias("component_id"), "th")
+            F.coalesce("component_id", "doc_id").alias("component_id"), "th", "comp")
 
 
 def link(
@@ -505,16 +505,20 @@ def link(
 ) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id reachable by links between sets with
     denominator * shared >= numerator * all), th (xxhash64 of the text, null as empty)."""
-    return Join(docs, text, size, numerator, denominator).result()
-
-
-def first_of_each(docs: DataFrame, **options) -> DataFrame:
-    """One document of each component with all its columns: the smallest id; of rows with one id, one text each."""
-    found = link(docs, **options)
-    kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) | F.col("doc_id").isNull())
-    kept = kept.filter(F.col("doc_id").isNotNull() | F.col("component_id").isNull()).select("doc_id", "th").distinct()
+    return Join(docs, text, size, numerator, denominator).result().drop("comp")
+
+
+def first_of_each(docs: DataFrame, *, text: str = "text", **options) -> DataFrame:
+    """One document of each component with all its columns: the smallest id (a null one last), then the smallest hash
+    of the text. Documents without shingles are linked with nothing: each of their ids and texts stays once."""
+    sizes = {"size": SIZE, "numerator": NUMERATOR, "denominator": DENOMINATOR} | options
+    found = Join(docs, text, **sizes).result()
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "th")
+    first = found.filter("comp is not null").groupBy("comp").agg(F.min(order).alias("first"))
+    alone = found.filter("comp is null").select("doc_id", "th").distinct()
+    kept = first.select("first.doc_id", "first.th").union(alone)
     names = [F.col(f"`{c}`") for c in docs.columns]
-    body = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    body = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     rows = docs.select(F.struct(*names).alias("row"), F.col("doc_id").cast("bigint").alias("k"), body.alias("h"))
     same = rows.k.eqNullSafe(kept.doc_id) & (rows.h == kept.th)
     rows = rows.join(kept, same, "left_semi")

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from basketry.llm import decontaminate, langid
+from basketry.llm import decontaminate, langid, ngram_join
 
 
 def test_every_language_is_learned(spark):
@@ -46,3 +46,14 @@ def test_items_without_id_count_as_hits(spark):
     assert [(found[i]["n_hit"], found[i]["items"], found[i]["contaminated"]) for i in (1, 2)] == [
         (3, ["7"], True), (2, [], True)]
     assert decontaminate.clean(docs, tests).count() == 0
+
+
+def test_one_document_of_each_component(spark):
+    base = [f"w{i}" for i in range(100)]
+    texts = [" ".join([*base, f"end{i}"]) for i in range(4)]
+    rows = [(1, texts[0]), (1, texts[1]), (2, texts[2]), (None, "o " + texts[3]), (5, ""), (6, None),
+            *((None, " ".join([f"v{i}" for i in range(100)] + [f"end{k}"])) for k in range(3))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = ngram_join.first_of_each(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in kept) == ["1", "5", "6", "None"]
+    assert [r["text"][:2] for r in kept if r["doc_id"] is None] == ["v0"]
