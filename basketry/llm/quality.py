@@ -5,7 +5,8 @@ pairs of neighbours, signs for a token that repeats the one before or the one be
 capitals; values are shares of the text's tokens. A text's score is the sparse dot product of its features with the weights.
 
 The labels are learned from at most TRAIN_ROWS labelled documents, those with the smallest hash of their id among
-the rows that are not held out, in PASSES passes in a fixed order.
+the rows that are not held out, in PASSES passes in a fixed order; of several texts of one id the one with the smallest
+hash counts.
 
 Defined cases: a null or empty text has no features and scores by the bias alone; of several labels of one id the
 smallest counts; without any label every score is 0.5; repeated rows are scored one by one.
@@ -131,7 +132,9 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, *, column: str = "quality", most: int = TRAIN_ROWS) -> np.ndarray:
     """Weights, the last of them the bias. The sample has a proven bound, so it may be broadcast and gathered."""
     chosen = F.broadcast(sample(labels, column, most))
-    rows = docs.select("doc_id", F.col("text").alias("body")).join(chosen, "doc_id").select("doc_id", "label", "body")
+    rows = docs.select("doc_id", F.col("text").alias("body")).join(chosen, "doc_id")
+    first = F.min_by("body", F.struct(F.xxhash64("body"), "body")).alias("body")
+    rows = rows.groupBy("doc_id", "label").agg(first)
     found = common.map_arrow(rows, _sparse, "doc_id bigint, label int, at array<int>, value array<float>").toArrow()
     found = found.sort_by("doc_id")
     learner = Follower()

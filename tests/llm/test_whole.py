@@ -2,9 +2,10 @@
 
 import random
 
+import numpy as np
 import pytest
 
-from basketry.llm import decontaminate, langid, ngram_join
+from basketry.llm import decontaminate, langid, ngram_join, quality
 
 
 def test_every_language_is_learned(spark):
@@ -57,3 +58,16 @@ def test_one_document_of_each_component(spark):
     kept = ngram_join.first_of_each(docs).collect()
     assert sorted(str(r["doc_id"]) for r in kept) == ["1", "5", "6", "None"]
     assert [r["text"][:2] for r in kept if r["doc_id"] is None] == ["v0"]
+
+
+def test_repeated_ids_do_not_enlarge_the_sample(spark, monkeypatch):
+    learned = []
+    plain = quality.Follower.step
+    monkeypatch.setattr(quality.Follower, "step", lambda self, *row: (learned.append(1), plain(self, *row)))
+    rows = [(i, f"some text {i}") for i in range(1, 9)] + [(i, f"other text {k}") for k in range(30) for i in (1, 2, 3, 4)]
+    marks = [(i, i % 2) for i in range(1, 9)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    known = quality.sample(labels, "quality", 100).count()
+    weights = [quality.fit(spark.createDataFrame(r, "doc_id bigint, text string"), labels) for r in (rows, rows[::-1])]
+    assert known > 0 and len(learned) == 2 * quality.PASSES * known
+    assert np.array_equal(*weights)
