@@ -5,7 +5,7 @@ lengths turn both into code point positions. The patterns find the same leftmost
 them, but in linear time and without recursion: a run is entered only at its first character (or where the last
 match ended) and taken possessively. Card numbers are proposed only where the whole run has 12 to 19 digits.
 
-Checks: parts of at most 255 (ip), Luhn (card), 9 to 15 digits (phone), mod-97 (iban), a valid area, group and
+Checks: parts of at most 255 (ip), Luhn (card), 9 to 15 digits (phone), the country's length and mod-97 (iban), a valid area, group and
 serial (ssn). The base kinds (email, ip, card, phone) are reported whatever their score; iban and ssn need at least
 THRESHOLD, which ssn reaches only with a context word within NEAR code points.
 
@@ -27,12 +27,33 @@ BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
 
 _LOCAL, _HOST = r"[A-Za-z0-9._%+-]", r"[A-Za-z0-9-]"
+# Country codes by the length of their account numbers.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban() -> str:
+    """Numbers of the length of their country; of any length for codes without a known one."""
+    forms = []
+    for length, codes in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        tail = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        forms.append(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    known = "|".join(" ".join(IBAN_LENGTHS.values()).split())
+    forms.append(rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?")
+    return rf"(?<![A-Za-z0-9_])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(forms)})(?![A-Za-z0-9_])"
+
+
 PATTERNS = {
     "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@{_HOST}++(?:\.{_HOST}++)++",
     "ip": r"(?=[0-9])(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?=[0-9])(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9_])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9_])",
+    "iban": _iban(),
     "ssn": r"(?<![A-Za-z0-9_])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9_])",
 }
 # A cheap test that every text with a match passes.

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from basketry.llm import decontaminate, langid, ngram_join, quality
+from basketry.llm import decontaminate, langid, ngram_join, pii, quality
 
 
 def test_every_language_is_learned(spark):
@@ -71,3 +71,13 @@ def test_repeated_ids_do_not_enlarge_the_sample(spark, monkeypatch):
     weights = [quality.fit(spark.createDataFrame(r, "doc_id bigint, text string"), labels) for r in (rows, rows[::-1])]
     assert known > 0 and len(learned) == 2 * quality.PASSES * known
     assert np.array_equal(*weights)
+
+
+def test_accounts_before_words_in_capitals(spark):
+    accounts = ["BE68 5390 0754 7034", "BE68539007547034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332",
+                "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"]
+    texts = [f"to {a}{rest}" for a in accounts for rest in ("", " IS", " EUR", " NOTE", " 1234 it", ", x")]
+    texts += ["BE68 5390 0754 7035 IS", "BE68 5390 0754 7034X"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = {r["doc_id"]: [s["text"] for s in r["spans"] if s["kind"] == "iban"] for r in pii.detect(docs).collect()}
+    assert [found[i] for i in range(len(texts))] == [[a] for a in accounts for _ in range(6)] + [[], []]
