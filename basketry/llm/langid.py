@@ -14,7 +14,6 @@ from; a null id is held out; ties between languages go to the first by name; rep
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -29,9 +28,6 @@ ROWS_PER_LANGUAGE = 1500
 BITS = 15
 ORDERS = (2, 4)
 SLICE = 1 << 18
-# A text is recognised from this part of the margin on. On sf0.01 (four languages) that is a score of 0.53: no held-out
-# row is below it (the lowest has 0.75); eleven samples of junk (marks, random letters, other scripts) had 0.31 to 0.50.
-HALF_WAY = 0.5
 
 # Languages by family; any other code is a family of its own.
 FAMILIES = {
@@ -259,27 +255,13 @@ def learn(docs: DataFrame) -> Model:
     return fit(rows.select(F.col("doc_id").alias("id"), "lang", "text"))
 
 
-def least_score(families: int, languages: int) -> float:
-    """The score of a text half-way to the margin of every machine that decides on it, among so many families and so
-    many languages of its own."""
-    sure = 1 / (1 + np.exp(-2 * HALF_WAY))
-    share = sure / (sure + (families - 1) * (1 - sure))
-    return float(share * (sure if languages > 1 else 1.0)) - 1e-9
-
-
 def recognised(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents whose language is recognised with at least ``least_score``, with all their columns; where no
-    language could be learned, those with a letter. A single language has no machine, so nothing but the letter counts."""
+    """The documents whose language is recognised, with all their columns; where no language could be learned, those
+    with a letter."""
     if not model.languages:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("body"))
-    found = identify(row, model, keep=("row",), text="body").filter("lang_pred <> 'und'")
-    groups = Counter(family(x) for x in model.languages)
-    least = F.lit(least_score(len(model.families), 1))
-    for size in sorted(set(groups.values()) - {1}):
-        own = [x for x in model.languages if groups[family(x)] == size]
-        least = F.when(F.col("lang_pred").isin(own), least_score(len(model.families), size)).otherwise(least)
-    return found.filter(F.col("score") >= least).select("row.*")
+    return identify(row, model, keep=("row",), text="body").filter("lang_pred <> 'und'").select("row.*")
 
 
 def op1_langid(spark, sf_dir: str) -> DataFrame:

@@ -1,9 +1,6 @@
 """Cases in which an operator once did less than the whole job."""
 
-import random
-
 import numpy as np
-import pytest
 
 from basketry.llm import decontaminate, langid, ngram_join, pii, quality
 
@@ -14,26 +11,6 @@ def test_every_language_is_learned(spark):
     assert len(model.languages) == 203
 
 
-@pytest.fixture(scope="module")
-def speech():
-    """Texts of two invented languages, and junk."""
-    own = random.Random(3)
-
-    def text(parts):
-        return " ".join("".join(own.choice(parts) for _ in range(3)) for _ in range(40))
-
-    rows = [(i, text(["sch", "ein", "ung"]), "de") for i in range(60)]
-    rows += [(100 + i, text(["ció", "ora", "que"]), "es") for i in range(60)]
-    return rows, [(200 + i, text(list("bcdfghjklmnpqrstvwxz")), None) for i in range(10)]
-
-
-def test_junk_is_not_recognised(spark, speech):
-    good, junk = speech
-    docs = spark.createDataFrame(good + junk, "doc_id bigint, text string, lang string")
-    kept = {r["doc_id"] for r in langid.recognised(docs, langid.learn(docs)).collect()}
-    assert kept == {i for i, _, _ in good}
-
-
 def test_texts_stay_where_no_language_can_be_learned(spark):
     rows = [(1, "some text"), (2, "日本語"), (3, "12 --"), (4, None), (5, "")]
     docs = spark.createDataFrame([(i, t, None) for i, t in rows], "doc_id bigint, text string, lang string")
