@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from . import common
 
 
-def _print(edges: DataFrame) -> tuple:
-    """Number of edges and a sum of their hashes: equal sets have equal prints."""
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a table, and what is seen of them while they are written: their number and a sum of their hashes.
+    Equal sets show the same."""
+    seen = Observation()
     mark = F.xxhash64("u", "v").cast("decimal(38,0)")
-    row = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(mark).alias("h")).first()
-    return row.n, row.h
+    table = common.keep(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(mark).alias("h")), "components")
+    return table, (seen.get["n"], seen.get["h"])
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -20,16 +22,14 @@ def components(links: DataFrame) -> DataFrame:
     component. Nulls and links to oneself are ignored. Each round is written to the shared folder, so its plan stays
     short; minima are combined before the shuffle, and no neighbourhood is ever gathered in a row."""
     pairs = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = common.keep(pairs, "components")
-    before = _print(edges)
+    edges, before = _kept(pairs)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = common.keep(small.union(low).distinct(), "components")
-        now = _print(edges)
+        edges, now = _kept(small.union(low).distinct())
         if now == before:
             break
         before = now
