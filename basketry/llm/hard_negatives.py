@@ -163,11 +163,12 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def bounds(anchors: np.ndarray, lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Least and largest inner product of each anchor with any vector of each zone, widened by the rounding of the sums."""
+    """Least and largest inner product of each anchor with any vector of each zone, widened by the rounding of the sums
+    and held in the range of scores."""
     up, down = np.maximum(anchors, 0), np.minimum(anchors, 0)
     least, largest = up @ lows.T + down @ highs.T, up @ highs.T + down @ lows.T
     slack = np.abs(anchors) @ np.maximum(np.abs(lows), np.abs(highs)).T * (anchors.shape[1] * 2.0 ** -50)
-    return least - slack, largest + slack
+    return np.clip(least - slack, -LIMIT - 1, LIMIT), np.clip(largest + slack, -LIMIT - 1, LIMIT)
 
 
 def window(score: int, low: int, high: int) -> tuple[int, int]:
