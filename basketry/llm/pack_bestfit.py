@@ -90,6 +90,7 @@ def _run(path: str, capacity: int, end: int, pad: int, block: int, out: pa.Schem
         coder = tokens.tokenizer(path)
         task = TaskContext.get().partitionId() << 33
         position = np.dtype("<u2" if capacity <= 1 << 16 else "<u4")
+        every = np.arange(capacity)
         docs: dict[int, tuple] = {}
         pool: list[Piece] = []
         number = sequence = held = 0
@@ -99,13 +100,14 @@ def _run(path: str, capacity: int, end: int, pad: int, block: int, out: pa.Schem
             columns: list[list] = [[] for _ in range(7)]
             for pieces in rows:
                 ids = np.full(capacity, pad, coder.dtype)
-                places = np.zeros(capacity, position)
                 bounds = [0]
                 for doc, start, length in pieces:
                     at = bounds[-1]
                     ids[at:at + length] = docs[doc][1][start:start + length]
-                    places[at:at + length] = np.arange(length)
                     bounds.append(at + length)
+                # Places since the last bound, in one step for the row; zero behind the last segment.
+                places = np.zeros(capacity, position)
+                places[:bounds[-1]] = every[:bounds[-1]] - np.repeat(bounds[:-1], np.diff(bounds))
                 values = (
                     task + sequence, bounds[-1], [docs[d][0] for d, _, _ in pieces], [s for _, s, _ in pieces],
                     bounds, ids.tobytes(), places.tobytes(),

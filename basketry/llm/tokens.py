@@ -13,8 +13,9 @@ from array import array
 
 import numpy as np
 
-# Chunks remembered by a worker; beyond it only those of the current texts stay.
-REMEMBERED = 300_000
+# Chunks in a generation. A worker remembers two: when the young one is full it becomes the old one, whose chunks
+# move to the next young one as they are met again, and those not met for a generation are forgotten.
+REMEMBERED = 400_000
 
 # A chunk of Latin letters and a run of ASCII marks without apostrophe: two pre-tokens that only need lower case.
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
@@ -43,6 +44,7 @@ class ChunkTokenizer:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
 
     def _whole(self, chunk: str) -> bytes:
         return array(self.code, self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
@@ -85,8 +87,10 @@ class ChunkTokenizer:
         distinct = set().union(*chunks)
         new = distinct - self.known.keys()
         if len(self.known) + len(new) > REMEMBERED:
-            self.known = {c: self.known[c] for c in distinct - new} | {"": b""}
-        self._learn(list(new))
+            self.known, self.old, new = {"": b""}, self.known, distinct
+        again = new & self.old.keys()
+        self.known.update((c, self.old[c]) for c in again)
+        self._learn(list(new - again))
         tail = b"" if end is None else np.array([end], self.dtype).tobytes()
         of = self.known.__getitem__
         return [np.frombuffer(b"".join(map(of, own)) + tail, self.dtype) for own in chunks]
