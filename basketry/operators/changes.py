@@ -140,6 +140,21 @@ def running_stock(
     )
 
 
+def running_stock_from(
+    levels: DataFrame, movements: DataFrame, order: list[str], slice_width: timedelta = timedelta(days=1)
+) -> DataFrame:
+    """``running_stock`` of movements that go on from ``levels`` (product_id, stock), which lie before all of them. The
+    level of a product takes part as one more movement, so no row of a busy product has to meet it in a join."""
+    moved = movements.select(F.col("product_id").alias("moved")).distinct()
+    asked = levels.join(moved, F.col("product_id").eqNullSafe(F.col("moved")), "left_semi")
+    known = {"product_id": F.col("product_id"), "movement_type": F.lit("ADJUSTMENT"), "quantity": F.col("stock"),
+             "timestamp": F.lit(-1 << 62)}
+    opening = asked.select(*[
+        known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in movements.schema.fields])
+    rows = opening.withColumn("carried", F.lit(True)).unionByName(movements.withColumn("carried", F.lit(False)))
+    return running_stock(rows, order, slice_width).filter(~F.col("carried")).drop("carried")
+
+
 def stock_levels(movements: DataFrame) -> DataFrame:
     """Stock of each product after all its movements, and how many there were; for static and streaming input."""
     return movements.groupBy("product_id").agg(

@@ -15,15 +15,10 @@ SESSION_GAP = timedelta(minutes=30)
 
 def usable(clicks: DataFrame) -> DataFrame:
     """Events that can belong to a session."""
-    return clicks.filter(_complete())
+    return clicks.filter(complete())
 
 
-def unusable(clicks: DataFrame) -> DataFrame:
-    """The rest, for the reject table."""
-    return clicks.filter(~_complete())
-
-
-def _complete() -> Column:
+def complete() -> Column:
     return F.col("user_id").isNotNull() & F.col("event_type").isNotNull() & F.col("timestamp").isNotNull()
 
 

@@ -14,17 +14,17 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..operators import daily, fraud, quality, sessions
-from ..operators.revenue import revenue_flat
+from ..operators import changes, daily, fraud, quality, revenue, sessions
 from ..session import build_session, prepare
 from ..sources import messages, tables
 from ..sources.topics import publish_batch, read_topic, to_wire, write_topic
 from ..streaming import jobs as streams
+from ..streaming.handover import HandOver, split_by_time
 from ..streaming.runner import Counters, stream_settings
 from ..streaming.sync import SyncedTable
 
@@ -39,6 +39,8 @@ class Options:
     topics: str | None = None
     bootstrap: str | None = None
     date: str | None = None
+    snapshot: str | None = None  # a full copy of the products, taken at
+    fence: int = 0  # this position of their log, in its milliseconds
     drain: bool = False  # process what is there and stop, instead of running on
     every: str | None = None  # pause between batches; none: as fast as possible
     checkpoint_every: str = CHECKPOINT_EVERY  # full snapshots of state; changes are logged with every batch
@@ -126,12 +128,25 @@ def _trigger(writer, options: Options):
     return writer.trigger(processingTime=options.every or "0 seconds")
 
 
-def _reject(options: Options, rows: DataFrame, name: str):
-    """Rows that no operator can use go to a table of their own."""
-    writer = rows.writeStream.format("parquet").queryName(f"{name}-rejects").option(
-        "checkpointLocation", f"{options.output}/checkpoints/{name}-rejects"
-    ).option("path", f"{options.output}/tables/{name}_rejects")
-    return _trigger(writer, options).start()
+def _split(options: Options, lines: DataFrame, name: str, write: Callable):
+    """Run the query that reads a topic and hands its rows on; with ``drain`` to its end."""
+    writer = lines.writeStream.queryName(name).option("checkpointLocation", f"{options.output}/checkpoints/{name}")
+    query = _trigger(writer.foreachBatch(write), options).start()
+    if options.drain:
+        query.awaitTermination()
+    return query
+
+
+def _on_time(
+    spark: SparkSession, options: Options, lines: DataFrame, name: str, schema: T.StructType, delay: timedelta,
+    complete: Column,
+) -> tuple[DataFrame, object]:
+    """The rows of a topic that come in time, as a stream. Late rows and rows that no operator can use are kept in tables
+    of their own, ``late`` and ``rejects`` beside ``on_time``."""
+    handover = HandOver(f"{options.output}/tables/{name}")
+    write = split_by_time(handover, lambda batch: messages.parse_strict(batch, schema), delay, complete)
+    split = _split(options, lines, name, write)
+    return handover.follow(spark, "on_time", schema), split
 
 
 def _wait(queries: list) -> None:
@@ -141,33 +156,29 @@ def _wait(queries: list) -> None:
 
 def run_sessions(spark: SparkSession, options: Options) -> None:
     raw = _topic(spark, options, schemas.TOPIC_CLICKS, "session-aggregator")
-    clicks = messages.parse_strict(raw, schemas.CLICKSTREAM)
-    out = streams.session_stream(clicks)
     with stream_settings(spark):
-        _wait([
-            _publish(options, out, schemas.TOPIC_SESSIONS, "user_sessions", tables.write_sessions),
-            _reject(options, sessions.unusable(clicks), "clicks"),
-        ])
+        clicks, split = _on_time(
+            spark, options, raw, "clicks", schemas.CLICKSTREAM, streams.CLICK_DELAY, sessions.complete())
+        out = streams.session_stream(clicks)
+        _wait([_publish(options, out, schemas.TOPIC_SESSIONS, "user_sessions", tables.write_sessions), split])
 
 
 def run_revenue(spark: SparkSession, options: Options) -> None:
     raw = _topic(spark, options, schemas.TOPIC_ORDERS, "revenue-calculator")
-    orders = messages.parse_strict(raw, schemas.ORDER)
-    out = streams.revenue_stream(orders)
 
     def write(batch: DataFrame, path: str, batch_id: int) -> None:
-        tables.write_revenue(revenue_flat(batch), path, batch_id=batch_id)
+        tables.write_revenue(revenue.revenue_flat(batch), path, batch_id=batch_id)
 
     with stream_settings(spark):
-        _wait([
-            _publish(options, out, schemas.TOPIC_REVENUE, "real_time_revenue", write),
-            _reject(options, orders.filter(F.col("timestamp").isNull()), "orders"),
-        ])
+        orders, split = _on_time(
+            spark, options, raw, "orders", schemas.ORDER, streams.ORDER_DELAY, F.col("timestamp").isNotNull())
+        out = streams.revenue_stream(orders)
+        _wait([_publish(options, out, schemas.TOPIC_REVENUE, "real_time_revenue", write), split])
 
 
 def run_fraud(spark: SparkSession, options: Options) -> None:
     raw = _topic(spark, options, schemas.TOPIC_ORDERS, "fraud-detector")
-    valid = f"{options.output}/tables/valid"
+    handover = HandOver(f"{options.output}/tables")
 
     def publish(bad: DataFrame, batch_id: int) -> None:
         lines = messages.envelope(bad)
@@ -176,21 +187,28 @@ def run_fraud(spark: SparkSession, options: Options) -> None:
     with stream_settings(spark):
         # The topic is read and parsed once; both rules follow the table of good rows.
         write = streams.dead_letter_split(f"{options.output}/tables", publish)
-        split = _trigger(streams.stamped(raw).writeStream.queryName(schemas.TOPIC_ORDERS).option(
-            "checkpointLocation", f"{options.output}/checkpoints/{schemas.TOPIC_ORDERS}"
-        ).foreachBatch(write), options).start()
-        if options.drain:
-            split.awaitTermination()
-        tables.ensure_folder(spark, valid)
-        full = T.StructType(schemas.ORDER.fields + [T.StructField("batch_id", T.LongType())])
-        orders = spark.readStream.schema(full).parquet(valid).drop("batch_id")
+        split = _split(options, streams.stamped(raw), schemas.TOPIC_ORDERS, write)
+        orders = handover.follow(spark, "valid", schemas.ORDER)
         alerts = streams.alert_stream(orders, options.within, options.threshold)
         _wait([_publish(options, alerts, schemas.TOPIC_ALERTS, "fraud_alerts", tables.write_alerts), split])
 
 
+def product_table(folder: str, **options) -> SyncedTable:
+    return SyncedTable(f"{folder}/products", schemas.PRODUCT_LOG, ("product_id",), ("__source_ts_ms",), **options)
+
+
+def snapshot_rows(products: DataFrame) -> DataFrame:
+    """A full copy of the products as rows of the change log."""
+    empty = products.sparkSession.createDataFrame([], schemas.PRODUCT_LOG)
+    return changes.with_snapshot(products, empty)
+
+
 def _sync(options: Options, products: DataFrame):
-    """Keep the table of current products."""
-    synced = SyncedTable(f"{options.output}/tables/products", schemas.PRODUCT_LOG, ("product_id",), ("__source_ts_ms",))
+    """Keep the table of current products, from a snapshot on if there is one."""
+    synced = product_table(f"{options.output}/tables")
+    if options.snapshot:
+        spark = products.sparkSession
+        synced.load_snapshot(snapshot_rows(spark.read.parquet(options.snapshot)), options.fence)
     log = T.StructType.fromDDL(schemas.PRODUCT_LOG)
     required = ["product_id", "__source_ts_ms", "__deleted"]
     rows = messages.accepted(messages.parse_safe(products, log, required))
@@ -243,6 +261,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topics")
     parser.add_argument("--bootstrap")
     parser.add_argument("--date")
+    parser.add_argument("--snapshot")
+    parser.add_argument("--fence", type=int, default=0)
     parser.add_argument("--drain", action="store_true")
     parser.add_argument("--every")
     parser.add_argument("--checkpoint-every", default=CHECKPOINT_EVERY)

@@ -176,11 +176,11 @@ DQ_CONTRACT = " UNION ALL ".join([
 # --- sessions ---------------------------------------------------------------------------------
 
 
-def _sessions(gap_ms: int) -> str:
+def _sessions(gap_ms: int, more: str = "", source: str = "clicks") -> str:
     """CTEs that end in ``sessions``, with the times in milliseconds as well."""
-    return f"""{CLICKS},
+    return f"""{CLICKS},{more}
 marked AS (
-  SELECT *, lag(ms) OVER w AS prev FROM clicks WINDOW w AS (PARTITION BY user_id ORDER BY ms, event_id)),
+  SELECT *, lag(ms) OVER w AS prev FROM {source} WINDOW w AS (PARTITION BY user_id ORDER BY ms, event_id)),
 numbered AS (
   SELECT *, sum(CASE WHEN prev IS NULL OR ms - prev > {gap_ms} THEN 1 ELSE 0 END)
               OVER (PARTITION BY user_id ORDER BY ms, event_id) AS s FROM marked),
@@ -397,6 +397,33 @@ WHERE (event_type <> 'ERROR' OR (ms // {HOUR_MS} + 1) * {HOUR_MS} > before)
   AND (ms // {HOUR_MS} + 1) * {HOUR_MS} <= final
 GROUP BY ms // {HOUR_MS}"""
 
+# Clicks that come in two batches, errors last, against the watermark of the first.
+IN_TIME = """
+bound AS (SELECT max(ms) FILTER (WHERE event_type <> 'ERROR') - 30000 AS before FROM clicks),
+in_time AS (SELECT clicks.* FROM clicks, bound WHERE event_type <> 'ERROR' OR ms >= before),"""
+
+LATE_SESSIONS = f"""
+WITH {_sessions(HOUR_MS // 2, IN_TIME, 'in_time')}
+SELECT 'session' AS kind, user_id, session_id AS id, end_ms AS ms, duration_seconds AS amount
+FROM sessions WHERE end_ms + {HOUR_MS // 2} <= (SELECT max(ms) FROM in_time) - 30000
+UNION ALL
+SELECT 'late', user_id, event_id, ms, before - ms FROM clicks, bound WHERE event_type = 'ERROR' AND ms < before"""
+
+LATE_REVENUE = f"""
+WITH {PURCHASES},
+bound AS (SELECT max(ms) FILTER (WHERE NOT is_first) - 10000 AS before FROM purchases),
+in_time AS (SELECT purchases.* FROM purchases, bound WHERE NOT is_first OR ms >= before)
+SELECT 'window' AS kind, '' AS id, (ms // 60000) * 60000 AS ms, CAST(sum(amount) AS DOUBLE) AS amount, count(*) AS n
+FROM in_time GROUP BY ms // 60000
+HAVING (ms // 60000) * 60000 + 60000 <= (SELECT max(ms) FROM in_time) - 10000
+UNION ALL
+SELECT 'late', order_id, ms, total_amount, before - ms FROM purchases, bound WHERE is_first AND ms < before"""
+
+OPEN_SESSIONS = f"""
+WITH {_sessions(LONG_GAP)}
+SELECT user_id, session_start, session_end FROM sessions
+WHERE end_ms + {LONG_GAP} > (SELECT max(ms) FROM clicks) - 30000"""
+
 # --- change data ------------------------------------------------------------------------------
 
 CDC_ORDERS = f"""
@@ -471,6 +498,14 @@ SELECT order_id, user_id, order_status, line_number, product_id, product_name, c
        CAST(quantity AS INTEGER) AS quantity, CAST(price AS DOUBLE) AS total_price
 FROM placed LEFT JOIN lines USING (order_id)"""
 
+JOB_FRAUD = f"""
+WITH {PURCHASES},
+alerts AS ({_rapid('purchases', DAY_MS, CLOSED_THIRD)} UNION ALL {_first('purchases', 100.0)}),
+dead AS (SELECT '{{"order_id":"' || o_orderkey || '","user_id"' AS original FROM orders)
+SELECT kind, alert_id AS payload, description AS note
+FROM alerts, (VALUES ('alert'), ('alert told')) k(kind)
+UNION ALL SELECT kind, original, 'Malformed record' FROM dead, (VALUES ('dead'), ('dead told')) k(kind)"""
+
 ORACLES: dict[str, str] = {
     "daily_orders_scan": f"WITH {DAILY} SELECT order_id, customer_id, order_date, category, subcategory, "
                          "CAST(amount AS DOUBLE) AS amount, quantity, city, status, product_id "
@@ -543,6 +578,16 @@ FROM newest LEFT JOIN t ON newest.window_start = t.window_start""",
     "dlq_stream": f"SELECT 'valid' AS kind, order_id AS payload, '' AS error FROM ({VALID}) "
                   f"UNION ALL SELECT 'dead', original, error FROM ({REJECTED})",
     "late_rows_stream": LATE_ROWS,
+    "late_sessions_stream": LATE_SESSIONS,
+    "late_revenue_stream": LATE_REVENUE,
+    "restart_sessions_stream": f"WITH {_sessions(LONG_GAP)} SELECT {SESSION_COLUMNS} FROM sessions "
+                               f"WHERE end_ms + {LONG_GAP} <= (SELECT max(ms) FROM clicks) - 30000",
+    "restart_revenue_stream": f"WITH {PURCHASES} {_revenue('purchases', 60000, 'is_first', CLOSED_MINUTES)}",
+    "open_sessions_state": OPEN_SESSIONS,
+    "seen_users_state": f"WITH {PURCHASES} SELECT DISTINCT user_id FROM purchases WHERE user_id IS NOT NULL",
+    "first_order_bounded_stream": f"WITH {PURCHASES} {_first('purchases', 100.0)}",
+    "unreadable_files": f"WITH {PLACED} SELECT 'alert' AS kind, alert_id AS name FROM ({PLACED_ALERTS}) "
+                        "UNION ALL SELECT 'unreadable', 'damage.parquet'",
     "cdc_unwrap": f"WITH {CHANGES} SELECT product_id, sku, name, price, op, 'products' AS source_table, "
                   "ts_ms AS source_ts_ms, op = 'd' AS is_deleted FROM changes",
     "cdc_rejected": "SELECT 'Malformed record' AS error, '{\"before\":{\"product_id\":' || p_partkey AS original "
@@ -555,8 +600,10 @@ FROM newest LEFT JOIN t ON newest.window_start = t.window_start""",
     "cdc_order_feed_stream": ORDER_FEED,
     "cdc_current_state": CURRENT_STATE,
     "cdc_current_state_stream": CURRENT_STATE,
+    "cdc_snapshot_then_stream": f"SELECT product_id, sku, name, price FROM ({CURRENT_STATE})",
     "price_changes": PRICE_CHANGES,
     "stock_running": STOCK,
+    "stock_running_stream": STOCK,
     "inventory_latest": INVENTORY,
     "inventory_latest_stream": INVENTORY,
     "stock_level_stream": """
@@ -564,6 +611,20 @@ SELECT l_partkey AS product_id, count(*) AS movements,
        CAST(sum(CASE WHEN l_returnflag = 'A' THEN -l_quantity ELSE l_quantity END) AS BIGINT) AS stock
 FROM lineitem GROUP BY l_partkey""",
     "order_events_nested": NESTED,
+    "order_events_parts": f"""
+WITH {PLACED}, {LINES}
+SELECT order_id, user_id, order_status, total_amount, product_id, product_name, category,
+       CAST(quantity AS INTEGER) AS quantity, CAST(price AS DOUBLE) AS total_price
+FROM placed LEFT JOIN lines USING (order_id)""",
+    "order_items_parsed": """
+SELECT '' AS error, CAST(l_orderkey AS INTEGER) AS order_id, CAST(l_partkey AS INTEGER) AS product_id,
+       CAST(l_quantity AS INTEGER) AS quantity,
+       CAST(CAST(floor(l_extendedprice * 100 / l_quantity) / 100 AS DECIMAL(10,2)) AS DOUBLE) AS unit_price,
+       CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS DOUBLE) AS total_price
+FROM lineitem WHERE l_linenumber < 6
+UNION ALL
+SELECT CASE l_linenumber WHEN 6 THEN 'Malformed record' ELSE 'Missing required fields: userId or orderId' END,
+       CAST(count(*) AS INTEGER), NULL, NULL, NULL, NULL FROM lineitem WHERE l_linenumber > 5 GROUP BY l_linenumber""",
     "daily_revenue_table": f"WITH {DAILY} {DAILY_REVENUE}",
     "daily_rerun_table": f"WITH {DAILY} SELECT * FROM ({DAILY_REVENUE}) WHERE order_date <> '1998-10-03'",
     "user_sessions_table": f"WITH {_sessions(LONG_GAP)} SELECT {SESSION_COLUMNS} FROM sessions",
@@ -573,13 +634,14 @@ FROM lineitem GROUP BY l_partkey""",
     "job_sessions": f"WITH {_sessions(HOUR_MS // 2)} SELECT {SESSION_COLUMNS}, true AS published FROM sessions "
                     f"WHERE end_ms + {HOUR_MS // 2} <= (SELECT max(ms) FROM clicks) - 30000",
     "job_revenue": _flat(CLOSED_MINUTES, ", gmv AS published_gmv"),
-    "job_fraud": f"""
-WITH {PURCHASES},
-alerts AS ({_rapid('purchases', DAY_MS, CLOSED_THIRD)} UNION ALL {_first('purchases', 100.0)}),
-dead AS (SELECT '{{"order_id":"' || o_orderkey || '","user_id"' AS original FROM orders WHERE o_orderpriority = '5-LOW')
-SELECT kind, alert_id AS payload, description AS note
-FROM alerts, (VALUES ('alert'), ('alert told')) k(kind)
-UNION ALL SELECT kind, original, 'Malformed record' FROM dead, (VALUES ('dead'), ('dead told')) k(kind)""",
+    "job_fraud": JOB_FRAUD,
+    "job_fraud_retry": JOB_FRAUD,
+    "job_daily": f"""
+WITH {DAILY}, day AS (SELECT * FROM daily WHERE order_date = '1998-10-03')
+SELECT 'daily_revenue_by_category' AS report, order_date, category AS name, gmv, order_count AS n
+FROM ({DAILY_REVENUE.replace('FROM daily', 'FROM day')})
+UNION ALL SELECT 'daily_top_cities', order_date, city, gmv, order_count FROM ({TOP_CITIES.replace('FROM daily', 'FROM day')})
+UNION ALL SELECT 'daily_order_funnel', '1998-10-03', status, gmv, count FROM ({FUNNEL.replace('FROM daily', 'FROM day')})""",
     "job_cdc": f"SELECT 'cdc.price-changes' AS topic, value FROM ({PRICE_FEED}) "
                f"UNION ALL SELECT 'cdc.order-changes', value FROM ({ORDER_FEED})",
 }

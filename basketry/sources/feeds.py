@@ -288,6 +288,26 @@ def stock_movements(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def movement_messages(lineitem: DataFrame) -> DataFrame:
+    """The same movements as messages of the ``inventory_movements`` schema; the reason names the order line."""
+    moves = stock_movements(lineitem)
+    line = F.concat_ws("|", "l_orderkey", "l_linenumber", "l_suppkey")
+    fields = F.struct(
+        F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit((1 << 31) - 1)).alias("movement_id"), "product_id",
+        "movement_type", "quantity", line.alias("reason"), F.timestamp_millis("timestamp").alias("created_at"))
+    return moves.select(F.to_json(fields).alias("value"))
+
+
+def movements_of_messages(rows: DataFrame) -> DataFrame:
+    """Parsed ``inventory_movements`` rows with the order line that the reason names."""
+    line = F.split("reason", r"\|")
+    return rows.select(
+        F.col("product_id").cast("bigint").alias("product_id"), "movement_type",
+        F.col("quantity").cast("bigint").alias("quantity"), F.unix_millis("created_at").alias("timestamp"),
+        line[0].cast("bigint").alias("l_orderkey"), line[1].cast("int").alias("l_linenumber"),
+        line[2].cast("int").alias("l_suppkey"))
+
+
 def stock_events(events: DataFrame) -> DataFrame:
     k = F.col("k")
     stock = F.col("event_type").isin("view", "purchase")
@@ -304,6 +324,34 @@ def stock_events(events: DataFrame) -> DataFrame:
     )
 
 
+def order_event_parts(orders: DataFrame, lines: DataFrame, most: int = 500) -> DataFrame:
+    """Order events with their items nested, as order messages hold them: an order of more lines than ``most`` comes in
+    several events, so no event and no group is larger. ``part`` counts from 0; one without items is a single event."""
+    item = F.struct(
+        F.col("line_number").alias("line"), "product_id", "product_name", "category",
+        F.col("quantity").cast("int").alias("quantity"), F.col("total_price").cast("double").alias("total_price"))
+    part = F.floor((F.col("line_number") - 1) / most).cast("int").alias("part")
+    nested = lines.select("order_id", part, item.alias("item")).groupBy("order_id", "part").agg(
+        F.array_sort(F.collect_list("item")).alias("items"))
+    items = F.transform("items", lambda x: x.dropFields("line"))
+    none = F.array().cast("array<struct<product_id:string,product_name:string,category:string,quantity:int,total_price:double>>")
+    return orders.join(nested, "order_id", "left").withColumns(
+        {"part": F.coalesce("part", F.lit(0)), "items": F.coalesce(items, none)})
+
+
+def order_item_messages(lineitem: DataFrame) -> DataFrame:
+    """Order lines as messages of the ``order_items`` schema. The seventh line of an order comes without a quantity, the
+    sixth with one that is no number."""
+    line, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("int").cast("string")
+    told = F.when(line == 6, "many").when(line < 6, quantity)
+    unit = F.floor(F.col("l_extendedprice") * 100 / F.col("l_quantity")) / 100
+    fields = F.struct(
+        F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.lit((1 << 31) - 1)).alias("item_id"),
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"), told.alias("quantity"),
+        unit.alias("unit_price"), F.col("l_extendedprice").alias("total_price"))
+    return lineitem.select(F.to_json(fields).alias("value"))
+
+
 def order_events(orders: DataFrame, lines: DataFrame) -> DataFrame:
     """Order events with one ``item`` per row, so an order of any size fits; one without items has a null item."""
     item = F.struct("line_number", "product_id", "product_name", "category", "quantity", "total_price")

@@ -80,9 +80,8 @@ def parse_safe(messages: DataFrame, schema: T.StructType, required: list[str]) -
     malformed = raw.isNull() | raw[_CORRUPT].isNotNull() | _miscast(raw, schema)
     missing = reduce(lambda a, b: a | b, [raw[name].isNull() for name in required], F.lit(False))
     error = F.when(F.coalesce(malformed, F.lit(True)), ERROR_MALFORMED).when(missing, ERROR_MISSING)
-    return with_computed(messages, "raw", parsed).select(
-        *messages.columns, _typed(raw, schema).alias("row"), error.alias("error")
-    )
+    judged = with_computed(with_computed(messages, "raw", parsed), "error", error)
+    return judged.select(*messages.columns, _typed(raw, schema).alias("row"), "error")
 
 
 def parse_strict(messages: DataFrame, schema: T.StructType) -> DataFrame:

@@ -8,6 +8,12 @@ from operator import and_, or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import files
+
+# Rows that one file should hold at most.
+FILE_ROWS = 1_000_000
+
+
 def scan_day(spark: SparkSession, path: str, day: str, column: str = "order_date") -> DataFrame:
     """Rows of one day of a table partitioned by ``column``; other partitions are not read."""
     return spark.read.parquet(path).filter(F.col(column) == day)
@@ -21,7 +27,7 @@ def write_table(
     mode: str = "overwrite",
     keys: list[str] | None = None,
     cluster_by: list[str] | None = None,
-    small: bool = False,
+    find_by: str | None = None,
 ) -> None:
     """Write a result table.
 
@@ -29,33 +35,42 @@ def write_table(
     double it. ``append`` adds rows. ``merge`` replaces rows with equal ``keys`` inside the touched
     partitions and keeps the rest; the partition columns have to be part of the keys.
 
-    Rows of one partition value go to as many files as the data needs: Spark splits large shuffle
-    partitions and joins small ones when it rebalances. ``small`` is for reports of a few rows per
-    partition, where writing many partitions side by side matters more than the size of files.
+    The rows of a partition value go to as many files of FILE_ROWS as the largest needs, and partition values are written
+    side by side by all tasks. Files are sorted by ``cluster_by``; with ``find_by`` they are sorted by that column
+    first and hold a filter of its values, so that reading one value skips what does not hold it.
     """
     if mode == "merge":
         df = df.persist()
         try:
             merged = _merged(df, path, partition_by, keys or [])
-            write_table(merged, path, partition_by=partition_by, cluster_by=cluster_by, small=small)
+            write_table(merged, path, partition_by=partition_by, cluster_by=cluster_by, find_by=find_by)
         finally:
             df.unpersist()
         return
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unknown write mode: {mode}")
-    spread = partition_by + (cluster_by or [])
-    if small:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = df.repartition(tasks, *spread)
-    else:
-        out = df.hint("rebalance", *[F.col(c) for c in spread])
-    out = out.sortWithinPartitions(*spread)
-    (
-        out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    order = ([find_by] if find_by else []) + (cluster_by or [])
+    df = df.persist()
+    try:
+        out = _spread(df, partition_by, order).sortWithinPartitions(*partition_by, *order)
+        # A table without files has nothing to replace: its partitions need not be moved into place one by one.
+        fresh = not any("=" in name for name in files.names(df.sparkSession, path))
+        writer = out.write.mode("append" if fresh else mode).option("partitionOverwriteMode", "dynamic")
+        if find_by:
+            writer = writer.option(f"parquet.bloom.filter.enabled#{find_by}", "true")
+        writer.partitionBy(*partition_by).parquet(path)
+    finally:
+        df.unpersist()
+
+
+def _spread(df: DataFrame, partition_by: list[str], order: list[str]) -> DataFrame:
+    """Rows dealt out so that each task writes some partition values, and large values go to several tasks."""
+    found = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(
+        F.count(F.lit(1)).alias("values"), F.max("n").alias("most")).first()
+    slots = max(1, -(-(found.most or 0) // FILE_ROWS))
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slot = F.pmod(F.xxhash64(*(order or df.columns)), F.lit(slots)) if slots > 1 else F.lit(0)
+    return df.repartition(max(1, min(found["values"] * slots, max(tasks, slots))), *partition_by, slot)
 
 
 def _merged(df: DataFrame, path: str, partition_by: list[str], keys: list[str]) -> DataFrame:
@@ -86,21 +101,19 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]):
 
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Make the folder of a table that may not have been written yet, so it reads as empty."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+    files.make(spark, path)
 
 
 def clear_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     """Remove one partition of a table, as an overwrite without rows leaves the old ones."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    files.remove(spark, f"{path}/{column}={value}")
 
 
 # Layout of the analytics tables: partition column derived from a timestamp, clustering columns.
 
 
 def write_daily(df: DataFrame, path: str, mode: str = "overwrite", keys: list[str] | None = None) -> None:
-    write_table(df, path, partition_by=["order_date"], mode=mode, keys=keys, small=True)
+    write_table(df, path, partition_by=["order_date"], mode=mode, keys=keys)
 
 
 def replace_day(report: DataFrame, path: str, day: str) -> None:
@@ -124,16 +137,17 @@ def write_revenue(flat: DataFrame, path: str, mode: str = "overwrite", batch_id:
 
 def write_sessions(sessions: DataFrame, path: str, mode: str = "overwrite", batch_id: int | None = None) -> None:
     day = F.date_format("session_end", "yyyy-MM-dd")
-    _write_by_time(sessions.withColumn("day", day), path, "day", mode, batch_id, ["device_type", "geo_region"])
+    _write_by_time(sessions.withColumn("day", day), path, "day", mode, batch_id, ["device_type", "geo_region"], "user_id")
 
 
 def write_alerts(alerts: DataFrame, path: str, mode: str = "overwrite", batch_id: int | None = None) -> None:
     day = F.date_format("detected_at", "yyyy-MM-dd")
-    _write_by_time(alerts.withColumn("day", day), path, "day", mode, batch_id, [])
+    _write_by_time(alerts.withColumn("day", day), path, "day", mode, batch_id, [], "user_id")
 
 
 def _write_by_time(
-    df: DataFrame, path: str, time: str, mode: str, batch_id: int | None, cluster_by: list[str]
+    df: DataFrame, path: str, time: str, mode: str, batch_id: int | None, cluster_by: list[str],
+    find_by: str | None = None,
 ) -> None:
     """With ``batch_id`` (a micro-batch) the rows go below the time partition into one of their own,
     so batches add to a day and a repeated batch replaces itself."""
@@ -141,4 +155,4 @@ def _write_by_time(
     if batch_id is not None:
         df = df.withColumn("batch", F.lit(batch_id))
         partition_by.append("batch")
-    write_table(df, path, partition_by=partition_by, mode=mode, cluster_by=cluster_by)
+    write_table(df, path, partition_by=partition_by, mode=mode, cluster_by=cluster_by, find_by=find_by)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import files
+
 
 def read_topic(
     spark: SparkSession,
@@ -78,11 +80,14 @@ def write_topic(
 def publish_batch(
     lines: DataFrame, topic: str, batch_id: int, *, bootstrap: str | None = None, path: str | None = None
 ) -> None:
-    """Write one micro-batch of messages; files of a batch that runs again are replaced."""
+    """Write one micro-batch of messages. Files of a batch appear in one step and once, as streams may follow them."""
     lines = lines.select("value")
     if bootstrap:
         lines.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save()
     elif path:
-        lines.write.mode("overwrite").text(f"{path}/{topic}/batch={batch_id}")
+        place, aside = f"{path}/{topic}/batch={batch_id}", f"{path}/_aside/{topic}-{batch_id}"
+        if not files.exists(lines.sparkSession, place):
+            lines.write.mode("overwrite").text(aside)
+            files.move(lines.sparkSession, aside, place)
     else:
         raise ValueError("publish_batch needs bootstrap servers or a path")

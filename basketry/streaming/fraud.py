@@ -21,8 +21,8 @@ class RapidOrders(StatefulProcessor):
     """Three new orders of one user in less than ``within``, found as the watermark passes the third.
 
     Keyed by user and slice (see ``time_slices``). Orders wait until the watermark passes them
-    and are then taken in time order; of those, the last two stay to complete later hits. When the
-    watermark has passed the slice and its lookahead, the state is empty again.
+    and are then taken in time order; of those, the last two stay to complete later hits. An order that arrives
+    again counts once. When the watermark has passed the slice and its lookahead, the state is empty again.
     """
 
     def __init__(self, within_ms: int, width_ms: int):
@@ -47,7 +47,7 @@ class RapidOrders(StatefulProcessor):
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         user_id, slice_no = key
         watermark = timerValues.getCurrentWatermarkInMs()
-        line = sorted(tuple(r) for r in self.orders.get())
+        line = self._once(sorted((tuple(r) for r in self.orders.get()), key=lambda r: (r[0], r[1], not r[2])))
         due = [r for r in line if r[0] <= watermark]
         later = line[len(due):]
         hits = [
@@ -65,6 +65,12 @@ class RapidOrders(StatefulProcessor):
             yield pd.DataFrame(hits, columns=["user_id", "first", "second", "order_id", "event_time"])
 
 
+    @staticmethod
+    def _once(line: list[tuple]) -> list[tuple]:
+        """The first of the rows of each order."""
+        return list({r[1]: r for r in reversed(line)}.values())[::-1]
+
+
 class FirstOrder(StatefulProcessor):
     """The first order seen of a user; later ones, whatever their amount, are passed over."""
 

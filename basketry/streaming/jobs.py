@@ -12,6 +12,7 @@ from ..operators import changes, fraud, revenue, sessions
 from ..schemas import ORDER
 from ..sources import messages
 from .fraud import first_order_hits, rapid_hits
+from .handover import HandOver
 from .sync import SyncedTable
 
 # --- fixed values: how far events may be out of order -----------------------------------------
@@ -60,17 +61,17 @@ def dead_letter_split(folder: str, publish=None, schema=ORDER):
     """A batch writer that parses messages once and puts good rows and dead letters into the tables ``valid`` and
     ``dead_letters`` below the folder; ``publish`` gets the dead letters as well.
 
-    Each batch overwrites its own partitions, and the time it carries is the one logged with the
-    batch, so a batch that runs again after a failure replaces exactly what it wrote. Dead letters
-    are partitioned by day first, for expiry.
+    Streams follow ``valid``, so its batches are handed over once. Dead letters are partitioned by day first, for
+    expiry; the time they carry is the one logged with the batch, so a batch that runs again after a failure replaces
+    exactly what it wrote.
     """
+    handover = HandOver(folder)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parsed = messages.parse_safe(batch, schema, ["order_id", "user_id"])
         parsed = parsed.withColumn("batch_id", F.lit(batch_id)).persist()
         try:
-            good = parsed.filter(F.col("error").isNull()).select("row.*", "batch_id")
-            _overwrite(good, f"{folder}/valid", "batch_id")
+            handover.write(messages.accepted(parsed), "valid", batch_id)
             bad = messages.rejected(parsed, at=F.col("received_at"))
             day = F.date_format("timestamp", "yyyy-MM-dd")
             _overwrite(

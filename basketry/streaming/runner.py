@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
+from .. import files
 from ..session import STREAM_CONF, work_dir
 
 
@@ -83,6 +84,16 @@ class stream_settings:
                 self.spark.conf.set(key, value)
 
 
+def forget_last_batch(spark: SparkSession, checkpoints: str) -> None:
+    """Leave every query below a folder of checkpoints as one that was stopped after its last batch had written its
+    results and before the batch was noted as done; started again, it runs that batch again."""
+    for query in files.names(spark, checkpoints):
+        commits = f"{checkpoints}/{query}/commits"
+        done = [int(n) for n in files.names(spark, commits) if n.isdigit()]
+        if done:
+            files.remove(spark, f"{commits}/{max(done)}")
+
+
 def run_to_table(stream: DataFrame, label: str) -> DataFrame:
     run = StreamRun.new(stream.sparkSession, label)
     run.drain(stream)

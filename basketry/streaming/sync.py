@@ -5,10 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import files
 from ..operators.changes import latest_versions
 
-BASES, DELTAS = "bases", "deltas"
+BASES, DELTAS, FENCE = "bases", "deltas", "fence"
+# Number of the base that a snapshot makes: before any batch.
+SNAPSHOT = -1
 
 
 @dataclass(frozen=True)
@@ -21,6 +25,10 @@ class SyncedTable:
     removed, so a reader that began before a compaction still finds its files. A folder counts once it is finished
     and is never written again, so a batch cut off at any point, or run twice, leaves the same table. Rows of deleted
     keys stay as markers, so that an older change arriving late does not bring them back.
+
+    A snapshot of the source can be loaded as the first base. Changes up to its fence, the position of the source's log
+    at which it was taken, are in it already and are passed over, so none of them wins against it or brings back a key
+    that was deleted before.
     """
 
     path: str
@@ -30,31 +38,54 @@ class SyncedTable:
     deleted: str = "__deleted"
     compact_every: int = 16
 
+    def load_snapshot(self, snapshot: DataFrame, fence: int) -> None:
+        """Start from a full copy of the source, unless this table has started already. ``snapshot`` has the table's
+        columns; the first order column is set to the fence."""
+        spark = snapshot.sparkSession
+        if self._finished(spark, BASES) or self._finished(spark, DELTAS):
+            return
+        spark.createDataFrame([(fence,)], "fence bigint").coalesce(1).write.mode("overwrite").json(f"{self.path}/{FENCE}")
+        rows = snapshot.withColumn(self.order[0], F.lit(fence)).select(*self._columns(spark))
+        rows.write.mode("overwrite").parquet(self._folder(BASES, SNAPSHOT))
+
+    def fence(self, spark: SparkSession) -> int | None:
+        """Up to where the log is part of the snapshot."""
+        if not files.exists(spark, f"{self.path}/{FENCE}/_SUCCESS"):
+            return None
+        return spark.read.schema("fence bigint").json(f"{self.path}/{FENCE}").first().fence
+
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
         spark = changes.sparkSession
+        fence = self.fence(spark)
+        if fence is not None:
+            changes = changes.filter(F.col(self.order[0]) > fence)
         bases, deltas = self._finished(spark, BASES), self._finished(spark, DELTAS)
-        if batch_id not in deltas and batch_id > max(bases, default=-1):
+        if batch_id not in deltas and batch_id > max(bases, default=SNAPSHOT):
             new = self._latest(changes.select(*self._columns(spark)))
             new.write.mode("overwrite").parquet(self._folder(DELTAS, batch_id))
         if (batch_id + 1) % self.compact_every == 0 and batch_id not in bases:
             self._versions(spark).write.mode("overwrite").parquet(self._folder(BASES, batch_id))
             self._clear(spark, bases, deltas)
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self._versions(spark).filter(f"not {self.deleted}")
+    def read(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The table as it is, or as it was before a batch: a batch that runs again must not see itself."""
+        return self._versions(spark, before).filter(f"not {self.deleted}")
 
-    def live(self, spark: SparkSession) -> list[str]:
-        """The folders that hold the table now."""
-        bases = self._finished(spark, BASES)
-        base = max(bases, default=-1)
-        folders = [self._folder(DELTAS, n) for n in self._finished(spark, DELTAS) if n > base]
+    def live(self, spark: SparkSession, before: int | None = None) -> list[str]:
+        """The folders that hold the table."""
+        bases, deltas = (
+            [n for n in self._finished(spark, kind) if before is None or n < before] for kind in (BASES, DELTAS))
+        base = max(bases, default=SNAPSHOT)
+        folders = [self._folder(DELTAS, n) for n in deltas if n > base]
         return ([self._folder(BASES, base)] if bases else []) + folders
 
-    def _versions(self, spark: SparkSession) -> DataFrame:
-        folders = self.live(spark)
-        if not folders:
-            return spark.createDataFrame([], self.schema)
-        return self._latest(spark.read.schema(self.schema).parquet(*folders))
+    def rows(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """All versions in those folders."""
+        folders = self.live(spark, before)
+        return spark.read.schema(self.schema).parquet(*folders) if folders else spark.createDataFrame([], self.schema)
+
+    def _versions(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        return self._latest(self.rows(spark, before))
 
     def _latest(self, rows: DataFrame) -> DataFrame:
         return latest_versions(rows, list(self.key), list(self.order))
@@ -67,18 +98,12 @@ class SyncedTable:
 
     def _clear(self, spark: SparkSession, bases: list[int], deltas: list[int]) -> None:
         """Remove what the newest base of ``bases`` (the one before the current) had already replaced."""
-        before = max(bases, default=-1)
+        before = max(bases, default=SNAPSHOT)
         old = [(BASES, n) for n in bases if n < before] + [(DELTAS, n) for n in deltas if n <= before]
         for kind, number in old:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(self._folder(kind, number))
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            files.remove(spark, self._folder(kind, number))
 
     def _finished(self, spark: SparkSession, kind: str) -> list[int]:
         """Numbers of the folders that were written to the end; at most about twice ``compact_every`` of them."""
-        path = spark._jvm.org.apache.hadoop.fs.Path
-        top = path(f"{self.path}/{kind}")
-        files = top.getFileSystem(spark._jsc.hadoopConfiguration())
-        if not files.exists(top):
-            return []
-        names = [s.getPath().getName() for s in files.listStatus(top)]
-        return sorted(int(n) for n in names if files.exists(path(f"{self.path}/{kind}/{n}/_SUCCESS")))
+        top = f"{self.path}/{kind}"
+        return sorted(int(n) for n in files.names(spark, top) if files.exists(spark, f"{top}/{n}/_SUCCESS"))

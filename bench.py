@@ -19,7 +19,7 @@ from basketry.plans.catalog import QUERIES  # noqa: E402
 from basketry.session import build_session  # noqa: E402
 
 # A stream or a job runs in full when its query is built, so one measured run is enough; tables are written then, too.
-ONCE = ("_stream", "_table")
+ONCE = ("_stream", "_table", "_state")
 
 
 def once(name: str) -> bool:

@@ -1,9 +1,11 @@
+import os
 import random
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from basketry import files
 from basketry.operators import changes, quality, serving
 from basketry.schemas import CONTRACTS
 from basketry.session import work_dir
@@ -102,17 +104,24 @@ def test_contract(spark, rows):
     assert rows(short.filter("check_name = 'required:warehouse_id'"), "value") == [(3,)]
 
 
+ALERTS = "alert_id string, user_id string, detected_at timestamp"
+
+
 def test_serving_limits(spark):
-    alerts = spark.range(130).selectExpr(
+    rows = spark.range(130).selectExpr(
         "concat('a', id) as alert_id", "if(id % 2 = 0, 'u', 'v') as user_id", "timestamp_seconds(id) as detected_at",
         "if(id < 60, '1', '2') as day")
+    path = work_dir(spark, "alerts")
+    rows.write.partitionBy("day").parquet(path)
+    alerts = serving.Stored(spark, path, ALERTS, "day", "alert_id")
     top = serving.latest_alerts(alerts).collect()
     assert len(top) == 100 and top[0]["alert_id"] == "a129"
     mine = serving.alerts_by_user(alerts, "u").collect()
     assert len(mine) == 50 and mine[0]["alert_id"] == "a128" and {r["user_id"] for r in mine} == {"u"}
     assert serving.alerts_by_user(alerts, "nobody").count() == 0
-    assert serving.newest(alerts, "day", 70).count() == 70 and serving.newest(alerts, "day", 71).count() == 130
-    assert serving.latest_alerts(alerts.limit(0)).count() == 0
+    assert alerts.newest(70).count() == 70 and alerts.newest(71).count() == 130
+    empty = serving.Stored(spark, work_dir(spark, "none"), ALERTS, "day", "alert_id")
+    assert serving.latest_alerts(empty).count() == 0 and serving.alerts_by_user(empty, "u").count() == 0
 
 
 def test_serving_reads_little(spark):
@@ -120,10 +129,51 @@ def test_serving_reads_little(spark):
     rows = spark.range(40).selectExpr("if(id = 7, null, concat('a', id)) as alert_id", "concat('u', id % 4) as user_id",
                                       "timestamp_seconds(id * 8000) as detected_at")
     tables.write_alerts(rows, path)
-    schema = "alert_id string, user_id string, detected_at timestamp"
-    stored = serving.stored(spark, path, schema, "day", "alert_id")
-    assert stored.count() == 39 and serving.unreadable(spark, path, schema, "alert_id") == 1
-    plan = serving.latest_alerts(stored, 5)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan
+    stored = serving.Stored(spark, path, ALERTS, "day", "alert_id")
+    assert stored.rows().count() == 39 and stored.nameless() == 1
+    newest = serving.latest_alerts(stored, 5)
+    assert {f.split("/")[-2] for f in newest.inputFiles()} == {f"day={stored.folders()[0].split('=')[1]}"}
+    assert len(stored.folders()) == 4
     plan = serving.alerts_by_user(stored, "u1")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(user_id,u1)" in plan
+
+
+def test_a_damaged_file_is_noted_and_left_out(spark):
+    path = work_dir(spark, "alerts")
+    rows = spark.range(4000).selectExpr("concat('a', id) as alert_id", "concat('u', id % 50) as user_id",
+                                        "timestamp_seconds(id * 50) as detected_at")
+    tables.write_alerts(rows, path)
+    stored = serving.Stored(spark, path, ALERTS, "day", "alert_id")
+    whole = stored.rows().groupBy("day").count().collect()
+    [file] = [f for f in files.files(spark, path) if stored.folders()[-1] in f]
+    local = file.removeprefix("file:")
+    damaged = bytearray(open(local, "rb").read())
+    for i in range(50, 900):  # inside the data: the footer is sound
+        damaged[i] ^= 0x5A
+    os.remove(os.path.join(os.path.dirname(local), f".{os.path.basename(local)}.crc"))
+    open(local, "wb").write(bytes(damaged))
+    left = sum(r["count"] for r in whole if f"day={r['day']}" != stored.folders()[-1])
+    for _ in range(2):
+        assert stored.rows().count() == left
+    [noted] = stored.unreadable().collect()
+    assert noted["file"].endswith(os.path.basename(local)) and noted["reason"] and noted["found_at"]
+    assert serving.latest_alerts(stored, 10).count() == 10
+
+
+def test_reading_one_user_skips_other_rows(spark):
+    path = work_dir(spark, "alerts")
+    rows = spark.range(0, 300_000, 1, 1).selectExpr(
+        "concat('a', id) as alert_id", "sha1(cast(id % 3000 as string)) as user_id", "timestamp_seconds(id) as detected_at")
+    with_filter = [f"{path}/sorted", f"{path}/plain"]
+    tables.write_alerts(rows, with_filter[0])
+    rows.withColumn("day", F.lit("1")).write.partitionBy("day").parquet(with_filter[1])
+    user = rows.first()["user_id"]
+    scanned = []
+    for place in with_filter:
+        found = serving.Stored(spark, place, ALERTS, "day", "alert_id").rows(where=F.col("user_id") == user)
+        assert found.count() == 100
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan()
+        leaves = plan.collectLeaves()
+        scanned.append(leaves.apply(0).metrics().apply("numOutputRows").value())
+    assert scanned[0] < scanned[1] / 4
