@@ -34,7 +34,18 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     """Write rows once to the shared folder and read them back: a lost executor takes nothing with it."""
     path = shared_dir(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.kept_in = (path,)
+    return table
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove kept tables that nothing will read again: what was made of them has been kept itself."""
+    for table in tables:
+        spark = table.sparkSession
+        for path in getattr(table, "kept_in", ()):
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def release() -> None:

@@ -29,8 +29,12 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        old = edges
         edges, now = _kept(small.union(low).distinct())
+        common.drop(old)
         if now == before:
             break
         before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    roots.kept_in = edges.kept_in
+    return roots

@@ -7,9 +7,12 @@ group, groups that share a prefix shingle and fit in size and position become gr
 class pairs and verified on the texts.
 
 Only components are asked for, so pairs inside a component are not all compared:
-1. each class is verified against the first class of its group, and, in STARS rounds with different choices, each
-   group against a group of another component that it shares many prefix shingles with;
-2. every candidate pair whose two sides are then still in different components is verified.
+1. each class is verified against the first class of its group and, in rounds with different choices, each group against
+   a group of another component that it shares many prefix shingles with, as long as a round finds one in WORTH of the
+   links that the first one found: after that a round costs more than the pairs it spares;
+2. every candidate pair whose two sides are then still in different components is verified. A pair is written at the
+   first prefix shingle that its sides share: each entry of a list carries the BEFORE shingles in front of it, and a pair
+   with one of these in common has been met in an earlier list.
 No link between components is lost, and a group of thousands of near copies costs one comparison for most members.
 
 Lists of groups by shingle are read as sorted streams. A list of more than LIST_ROWS groups is cut into blocks, and
@@ -18,7 +21,8 @@ written and texts fetched, parity bitmaps rule pairs out: they never differ in m
 
 Defined cases: null, empty or wordless texts have no shingles and are linked with nothing; fewer words than a
 shingle are one shingle; repeated rows are equal sets; a null id takes the smallest id of its component if there is
-one; an empty table gives no rows.
+one; very long texts are read whole, in one piece; columns of other names are not read, and ``first_of_each`` keeps
+them; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -43,8 +47,10 @@ LOCAL = 3
 FREQUENT = 200_000
 LIST_ROWS = 2048
 SIGNATURE = 1024
-# Rounds in which every group meets one other, before all remaining pairs are looked at.
-STARS = 2
+# Rounds go on while they find more than one in so many of the links of the first round.
+WORTH = 5
+# Earlier prefix shingles carried along with an entry of a list, 8 bytes each.
+BEFORE = 4
 HUB_ROWS = 512
 SLICE = 1 << 18
 
@@ -132,9 +138,7 @@ def differing(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-ROWS = (
-    "doc_id bigint, th bigint, n int, dig binary, gid bigint, bits binary, sig binary, token bigint, place bigint"
-)
+ROWS = "doc_id bigint, th bigint, n int, dig binary, gid bigint, bits binary, sig binary, prefix array<bigint>"
 
 
 def _prefixes(size: int, numerator: int, denominator: int, shared, out: pa.Schema):
@@ -144,12 +148,12 @@ def _prefixes(size: int, numerator: int, denominator: int, shared, out: pa.Schem
         rank = np.argsort(common_last, kind="stable") + 1
         seen: set[int] = set()
         for batch in batches:
-            rows, lists = [], []
+            rows = []
             ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for doc_id, th, own in zip(ids, hashes, _texts_to_sets(batch.column(2), size)):
                 n = len(own)
                 if not n:
-                    rows.append((doc_id, th, 0, None, None, None, None))
+                    rows.append((doc_id, th, 0, None, None, None, None, None))
                     continue
                 order = np.zeros(n, np.int64)
                 if len(known):
@@ -158,24 +162,16 @@ def _prefixes(size: int, numerator: int, denominator: int, shared, out: pa.Schem
                 length = n - -(-numerator * n // denominator) + 1
                 prefix = own[np.argsort(order, kind="stable")[:length]]
                 gid = xxhash.xxh3_64_intdigest(prefix.tobytes() + n.to_bytes(8, "little")) - (1 << 63)
-                rows.append((doc_id, th, n, xxhash.xxh3_128_digest(own.tobytes()), gid, bitmap(own), signature(own)))
-                if gid not in seen:
+                first = gid not in seen  # a task writes the prefix of a group once
+                if first:
                     if len(seen) > 200_000:
                         seen.clear()
                     seen.add(gid)
-                    lists.append((prefix.view(np.int64), gid, n))
+                rows.append((
+                    doc_id, th, n, xxhash.xxh3_128_digest(own.tobytes()), gid, bitmap(own), signature(own),
+                    prefix.view(np.int64) if first else None))
             if rows:
-                columns = [list(c) for c in zip(*rows)]
-                yield common.batch(out, [*columns, pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())])
-            if lists:
-                lengths = [len(p) for p, _, _ in lists]
-                total = sum(lengths)
-                place = np.concatenate([np.arange(k) | (n << 32) for k, (_, _, n) in zip(lengths, lists)])
-                gids = np.repeat(np.array([g for _, g, _ in lists], np.int64), lengths)
-                empty = [pa.nulls(total, out.field(i).type) for i in range(7)]
-                empty[4] = pa.array(gids)
-                tokens = pa.array(np.concatenate([p for p, _, _ in lists]))
-                yield common.batch(out, [*empty, tokens, pa.array(place.astype(np.int64))])
+                yield common.batch(out, [list(c) for c in zip(*rows)])
     return run
 
 
@@ -208,16 +204,17 @@ def list_pairs(
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Group pairs of one list (or of two blocks of it) that lie in different components and can reach the
     threshold with this shingle as the first they share and with their signatures. Columns: gid, place, component
-    (-1: several), signature (a row of numbers) and whether there is one (a group of one class)."""
+    (-1: several), signature (a row of numbers), whether there is one (a group of one class), and the shingles in
+    front of this one (a row of numbers, 0 for none)."""
     same = right is None
     order = np.argsort(left[1], kind="stable")  # by size, then position
-    gid, place, comp, sig, known = (c[order] for c in left)
+    gid, place, comp, sig, known, before = (c[order] for c in left)
     n, at = place >> 32, place & 0xFFFFFFFF
     if same:
-        others, other_n, other_at, other_comp, other_sig, other_known = gid, n, at, comp, sig, known
+        others, other_n, other_at, other_comp, other_sig, other_known, other_before = gid, n, at, comp, sig, known, before
     else:
         order = np.argsort(right[1], kind="stable")
-        others, other_place, other_comp, other_sig, other_known = (c[order] for c in right)
+        others, other_place, other_comp, other_sig, other_known, other_before = (c[order] for c in right)
         other_n, other_at = other_place >> 32, other_place & 0xFFFFFFFF
     lows = np.searchsorted(other_n * denominator, n * numerator, "left")
     highs = np.searchsorted(other_n * numerator, n * denominator, "right")
@@ -230,6 +227,9 @@ def list_pairs(
         need = needed(n[i], other_n[a:b], numerator, denominator)
         fits &= (rest >= need) & (others[a:b] != gid[i])
         live = np.flatnonzero(fits)
+        earlier = before[i][before[i] != 0]
+        if len(live) and len(earlier):
+            live = live[~(other_before[a:b][live][:, :, None] == earlier).any(axis=(1, 2))]
         if len(live) and known[i]:
             apart = np.bitwise_count(other_sig[a:b][live] ^ sig[i]).sum(axis=1)
             live = live[(n[i] + other_n[a:b][live] - apart >= 2 * need[live]) | ~other_known[a:b][live]]
@@ -238,28 +238,35 @@ def list_pairs(
             yield np.minimum(hit, gid[i]), np.maximum(hit, gid[i])
 
 
-def _with_signatures(columns: list[np.ndarray], sigs: list[bytes | None]) -> tuple[np.ndarray, ...]:
+def _with_rows(columns: list[np.ndarray], sigs: list[bytes | None], before: pa.Array) -> tuple[np.ndarray, ...]:
+    """The plain columns, the signatures as rows of numbers, whether they are there, and the shingles in front."""
     raw = b"".join(s or bytes(SIGNATURE // 8) for s in sigs)
     known = np.array([s is not None for s in sigs], bool)
-    return (*columns, np.frombuffer(raw, np.uint64).reshape(len(sigs), -1), known)
+    lengths = before.value_lengths().to_numpy(zero_copy_only=False)
+    front = np.zeros((len(sigs), BEFORE), np.int64)
+    front[np.arange(BEFORE) < lengths[:, None]] = before.flatten().to_numpy(zero_copy_only=False)
+    return (*columns, np.frombuffer(raw, np.uint64).reshape(len(sigs), -1), known, front)
 
 
 def _pairs(numerator: int, denominator: int):
-    """From postings sorted by shingle: pairs (a, b), and rows of overlong lists (token, row, gid, place, comp, sig)."""
-    names = ["a", "b", "token", "row", "gid", "place", "comp", "sig"]
+    """From postings sorted by shingle: pairs (a, b), and rows of overlong lists (token, row, gid, place, comp, sig,
+    before)."""
+    names = ["a", "b", "token", "row", "gid", "place", "comp", "sig", "before"]
 
     def batch_of(pairs: list, hot: list) -> Iterator[pa.RecordBatch]:
         if pairs:
             a, b = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
             ab = np.unique(np.stack([a, b], axis=1), axis=0)
             rest = [*[pa.nulls(len(ab), pa.int64())] * 5, pa.nulls(len(ab), pa.binary())]
+            rest.append(pa.nulls(len(ab), pa.list_(pa.int64())))
             yield pa.RecordBatch.from_arrays([pa.array(ab[:, 0]), pa.array(ab[:, 1]), *rest], names=names)
         if hot:
-            *columns, sig, known = (np.concatenate(c) for c in zip(*hot))
+            *columns, sig, known, front = (np.concatenate(c) for c in zip(*hot))
             empty = [pa.nulls(len(known), pa.int64())] * 2
             sigs = pa.array([s.tobytes() if k else None for s, k in zip(sig, known)], pa.binary())
+            lists = pa.array([f[f != 0] for f in front], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*empty, *[pa.array(c.astype(np.int64)) for c in columns], sigs], names=names)
+                [*empty, *[pa.array(c.astype(np.int64)) for c in columns], sigs, lists], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []  # the open list
@@ -273,7 +280,7 @@ def _pairs(numerator: int, denominator: int):
 
         for batch in batches:
             token, *own = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            own = _with_signatures(own, batch.column(4).to_pylist())
+            own = _with_rows(own, batch.column(4).to_pylist(), batch.column(5))
             cuts = np.flatnonzero(token[1:] != token[:-1]) + 1 if len(token) else []
             edges = [0, *cuts, len(token)] if len(token) else []
             for a, b in zip(edges[:-1], edges[1:]):
@@ -310,7 +317,7 @@ def _block_pairs(numerator: int, denominator: int):
         for batch in batches:
             columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(7)]
             keys = np.stack(columns[:3], axis=1)
-            columns = _with_signatures(columns, batch.column(7).to_pylist())
+            columns = _with_rows(columns, batch.column(7).to_pylist(), batch.column(8))
             edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1), len(keys)] if len(keys) else []
             for a, b in zip(edges[:-1], edges[1:]):
                 if tuple(keys[a]) != key:
@@ -353,6 +360,21 @@ def _verify(size: int, numerator: int, denominator: int):
     return run
 
 
+def joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """Components (node, root) after more links: only the roots that these meet are looked at again. The tables given
+    are dropped."""
+    links = found
+    for side in ("a", "b"):
+        links = links.join(roots.withColumnRenamed("root", "r"), F.col(side) == F.col("node"), "left").withColumn(
+            side, F.coalesce("r", side)).drop("node", "r")
+    more = components(links)
+    moved = roots.join(more.select(F.col("node").alias("old"), F.col("root").alias("new")), F.col("root") == F.col("old"), "left")
+    moved = moved.select("node", F.coalesce("new", "root").alias("root"))
+    done = common.keep(moved.unionByName(more), "components")
+    common.drop(roots, found, more)
+    return done
+
+
 class Join:
     """One run of the join over documents: its tables and steps."""
 
@@ -365,7 +387,7 @@ class Join:
         run = _prefixes(size, numerator, denominator, shared, common.arrow_schema(ROWS))
         hashed = self.docs.select("doc_id", F.xxhash64("body").alias("th"), "body")
         self.found = common.keep(common.map_arrow(hashed, run, ROWS), "ngrams")
-        self.rows = self.found.filter("n is not null").select("doc_id", "th", "n", "dig", "gid", "bits", "sig")
+        self.rows = self.found.select("doc_id", "th", "n", "dig", "gid", "bits", "sig")
         first = F.min(F.struct("doc_id", "th")).alias("first")
         rest = [F.max(c).alias(c) for c in ("n", "gid", "bits", "sig")]
         classes = self.rows.filter("n > 0").groupBy("dig").agg(first, F.min("doc_id").alias("least"), *rest)
@@ -381,9 +403,15 @@ class Join:
 
     def postings(self) -> DataFrame:
         """Prefix shingles that occur in several groups."""
-        own = self.found.filter("token is not null").select("token", "gid", "place").distinct()
-        many = own.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("token")
-        return common.keep(own.join(many, "token"), "ngrams")
+        lists = self.found.filter("prefix is not null").select("gid", "n", "prefix").dropDuplicates(["gid"])
+        lists = common.keep(lists, "ngrams")
+        many = lists.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k"))
+        own = lists.select("gid", "n", "prefix", F.posexplode("prefix").alias("at", "token")).select(
+            "token", "gid", F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.col("at")).alias("place"),
+            F.slice("prefix", F.greatest(F.col("at") - BEFORE + 1, F.lit(1)), F.least("at", F.lit(BEFORE))).alias("before"))
+        done = common.keep(own.join(many.filter("k > 1").select("token"), "token"), "ngrams")
+        common.drop(lists)
+        return done
 
     def places(self, roots: DataFrame) -> DataFrame:
         """Each group with its component (-1 for several) and, if it is one class, the signature."""
@@ -432,7 +460,7 @@ class Join:
         return common.keep(kept, "ngrams")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) that reach the threshold, by their texts."""
+        """The pairs (a, b) that reach the threshold, by their texts. The table of pairs is dropped."""
         texts = common.keep(self.texts(pairs.select(F.explode(F.array("a", "b")).alias("cid"))), "ngrams")
         salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / HUB_ROWS).cast("int").alias("salts"))
         hubs = texts.withColumnRenamed("cid", "a").join(salts, "a").select(
@@ -442,7 +470,9 @@ class Join:
             "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b", "body")
         rows = self.dealt(hubs.union(members), [F.col("a"), F.col("salt")], [F.col("b")])
         links = common.map_arrow(rows, _verify(self.size, self.numerator, self.denominator), "a bigint, b bigint")
-        return common.keep(links, "ngrams")
+        done = common.keep(links, "ngrams")
+        common.drop(texts, pairs)
+        return done
 
     def cross_pairs(self, postings: DataFrame, places: DataFrame, roots: DataFrame) -> DataFrame:
         """All candidate pairs of classes that lie in different components, with ``sure`` where the signatures have
@@ -450,16 +480,18 @@ class Join:
         rows = postings.join(places, "gid")
         spread = rows.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
         spread = spread.filter("low <> high or low < 0").select("token")
-        rows = rows.join(spread, "token", "left_semi").select("token", "gid", "place", "comp", "sig")
-        schema = "a bigint, b bigint, token bigint, row bigint, gid bigint, place bigint, comp bigint, sig binary"
+        rows = rows.join(spread, "token", "left_semi").select("token", "gid", "place", "comp", "sig", "before")
+        schema = (
+            "a bigint, b bigint, token bigint, row bigint, gid bigint, place bigint, comp bigint, sig binary, "
+            "before array<bigint>")
         run = _pairs(self.numerator, self.denominator)
         found = common.keep(common.map_arrow(self.dealt(rows, [F.col("token")], []), run, schema), "ngrams")
         hot = found.filter("token is not null").withColumn("block", F.expr(f"row div {LIST_ROWS}"))
         blocks = hot.groupBy("token").agg(F.max("block").alias("most"))
         other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("most"))).alias("other")
-        hot = hot.join(blocks, "token").select("token", "block", "gid", "place", "comp", "sig", other)
+        hot = hot.join(blocks, "token").select("token", "block", "gid", "place", "comp", "sig", "before", other)
         hot = hot.select("token", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-                         "block", "gid", "place", "comp", "sig")
+                         "block", "gid", "place", "comp", "sig", "before")
         run = _block_pairs(self.numerator, self.denominator)
         more = common.map_arrow(
             self.dealt(hot, [F.col("token"), F.col("x"), F.col("y")], []), run, "a bigint, b bigint")
@@ -471,22 +503,30 @@ class Join:
                               F.coalesce("root", "cid").alias(g + "p"), (F.col("members") == 1).alias(g + "one"))
                 for g in "ab")
         pairs = groups.join(x, "a").join(y, "b").filter("ap <> bp and (a <> b or ac < bc)")
-        return pairs.select(F.least("ac", "bc").alias("a"), F.greatest("ac", "bc").alias("b"),
-                            (F.col("aone") & F.col("bone")).alias("sure"))
+        done = common.keep(pairs.select(F.least("ac", "bc").alias("a"), F.greatest("ac", "bc").alias("b"),
+                                        (F.col("aone") & F.col("bone")).alias("sure")), "ngrams")
+        common.drop(found)
+        return done
 
     def roots(self) -> DataFrame:
         """(node, root) of all classes that are linked with a class of a smaller number."""
         postings = self.postings()
-        pairs, links, roots = self.inner_pairs(), None, None
-        for number in range(STARS):
-            near = self.possible(pairs.union(self.star_pairs(postings, roots, number)))
-            found = self.verified(near)
-            links = found if links is None else links.union(found)
-            roots, pairs = components(links), pairs.limit(0)
-        pairs = common.keep(self.cross_pairs(postings, self.places(roots), roots), "ngrams")
-        last = common.keep(pairs.filter("sure").select("a", "b").union(
-            self.possible(pairs.filter("not sure").select("a", "b"))), "ngrams")
-        return roots if last.isEmpty() else components(links.union(self.verified(last)))
+        near = self.possible(self.inner_pairs().union(self.star_pairs(postings, None, 0)))
+        links, number = self.verified(near), 0
+        roots = components(links)
+        first = found = links.count()
+        common.drop(links)
+        while found * WORTH > first:
+            number += 1
+            links = self.verified(self.possible(self.star_pairs(postings, roots, number)))
+            found = links.count()
+            roots = joined(roots, links)
+        pairs = self.cross_pairs(postings, self.places(roots), roots)
+        common.drop(postings)
+        unsure = self.possible(pairs.filter("not sure").select("a", "b"))
+        last = common.keep(pairs.filter("sure").select("a", "b").union(unsure), "ngrams")
+        common.drop(pairs, unsure)
+        return roots if last.isEmpty() else joined(roots, self.verified(last))
 
     def result(self) -> DataFrame:
         placed = self.classes.join(self.roots(), F.col("cid") == F.col("node"), "left")
