@@ -5,11 +5,13 @@ all n-grams of the whole text. One-versus-rest machines choose the family; for e
 machine votes between them, and the summed certainties decide. All machines are linear over the same features, so a
 text is scored by summing rows of one weight table.
 
-The machines are fitted, by dual coordinate descent, on at most ROWS_PER_LANGUAGE texts of each language, taken by
-the hash of their ids from the rows that are not held out; every language that occurs there is learned.
+The machines are fitted, by dual coordinate descent, on at most ROWS_PER_LANGUAGE texts of each language and TRAIN_ROWS
+in all (though one of each language at least), taken by the hash of their ids from the rows that are not held out;
+every language that occurs there is learned. Of the texts of one id the one with the smallest hash is taken.
 
 Defined cases: null text or no letter gives ``und`` with score 0, and so does every text where no row can be learned
-from; a null id is held out; ties between languages go to the first by name; repeated rows are judged one by one.
+from, as in an empty table, which gives no rows; a null id is held out; ties between languages go to the first by name;
+repeated rows are judged one by one; very long texts are judged whole; columns of other names are not read.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 from . import common, words
 
 ROWS_PER_LANGUAGE = 1500
+TRAIN_ROWS = 30_000
 BITS = 15
 ORDERS = (2, 4)
 SLICE = 1 << 18
@@ -97,6 +100,13 @@ class Model:
     table: np.ndarray | None = None  # features x machines: families, then pairs
     bias: np.ndarray | None = None
 
+    @classmethod
+    def of(cls, languages: list[str]) -> Model:
+        """Without weights: the families and the pairs inside them follow from the languages."""
+        families = sorted({family(x) for x in languages})
+        pairs = [(a, b) for i, a in enumerate(languages) for b in languages[i + 1:] if family(a) == family(b)]
+        return cls(languages, families, pairs)
+
     def margins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         codes, at = features(data, offsets)
         out = np.tile(self.bias, (len(offsets) - 1, 1))
@@ -163,41 +173,61 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             where.append(own.astype(np.int32))
             value.append((count / max(1, b - a)).astype(np.float32))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(where, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))],
-            names=["lang", "at", "value"],
+            [batch.column(0), pa.array(where, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32())),
+             batch.column(2)], names=["lang", "at", "value", "rank"],
         )
 
 
-def fit(labelled: DataFrame, *, per_language: int = ROWS_PER_LANGUAGE, cost: float = 50.0) -> Model:
-    """A model from rows of ``id``, ``lang`` and ``text``; a bounded sample of them is brought together."""
+FITTED = "languages array<string>, weights binary, bias binary"
+
+
+def _fitted(cost: float, out: pa.Schema):
+    """From all sampled rows (lang, at, value): the machines, as one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs, rows = [], []
+        for batch in batches:
+            langs += batch.column(0).to_pylist()
+            for at, value in zip(batch.column(1), batch.column(2)):
+                at, value = at.values.to_numpy(), value.values.to_numpy()
+                scale = 1 / max(float(np.sqrt(value @ value)), 1e-9)
+                rows.append((
+                    np.append(at, np.int32(1 << BITS)), np.append(value * np.float32(scale), np.float32(1)), scale))
+        model = _fit_machines(np.array(langs, object), rows, cost)
+        yield common.batch(out, [[model.languages], [model.table.tobytes()], [model.bias.tobytes()]])
+    return run
+
+
+def fit(
+    labelled: DataFrame, *, per_language: int = ROWS_PER_LANGUAGE, most: int = TRAIN_ROWS, cost: float = 50.0,
+) -> Model:
+    """A model from rows of ``id``, ``lang`` and ``text``. The sample, one text of an id at most, meets in one task,
+    which fits all machines; only their weights reach the driver."""
     known = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    quota = max(1, min(per_language, most // max(1, counts.count())))
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    taken = known.join(F.broadcast(counts), "lang").filter(draw < F.lit(1.1 * per_language) / F.col("n"))
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    sample = taken.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= per_language)
-    found = common.map_arrow(
-        sample.select("lang", "text"), _sparse, "lang string, at array<int>, value array<float>"
-    ).toArrow()
-    langs = np.array(found.column("lang").to_pylist(), object)
-    rows = []
-    for at, value in zip(found.column("at"), found.column("value")):
-        at, value = at.values.to_numpy(), value.values.to_numpy()
-        scale = 1 / max(float(np.sqrt(value @ value)), 1e-9)
-        rows.append((np.append(at, np.int32(1 << BITS)), np.append(value * np.float32(scale), np.float32(1)), scale))
-    del found
-    model = _fit_machines(langs, rows, cost)
-    del rows
-    common.release()
+    # Some more than the quota are drawn, so that a language of few draws is not missed.
+    taken = known.join(counts, "lang").filter(draw < F.lit(1.1 * quota + 40) / F.col("n"))
+    text = F.struct(F.xxhash64("text").alias("h"), "text")
+    taken = taken.groupBy("lang", "id").agg(F.min(text).alias("text")).withColumn("place", F.xxhash64("id"))
+    first = Window.partitionBy("lang").orderBy("place", "id")
+    sample = taken.withColumn("rank", F.row_number().over(first)).filter(F.col("rank") <= quota)
+    sparse = common.map_arrow(
+        sample.select("lang", F.col("text.text").alias("text"), "rank"), _sparse,
+        "lang string, at array<int>, value array<float>, rank int")
+    together = sparse.repartition(1).sortWithinPartitions("lang", "rank").drop("rank")
+    row = common.map_arrow(together, _fitted(cost, common.arrow_schema(FITTED)), FITTED).first()
+    if row is None:  # no rows at all
+        return Model()
+    model = Model.of(row.languages)
+    machines = len(model.families) + len(model.pairs)
+    model.table = np.frombuffer(row.weights, np.float32).reshape(1 << BITS, machines)
+    model.bias = np.frombuffer(row.bias, np.float64)
     return model
 
 
 def _fit_machines(langs: np.ndarray, rows: list, cost: float) -> Model:
-    model = Model(sorted(set(langs)))
-    model.families = sorted({family(x) for x in model.languages})
-    model.pairs = [
-        (a, b) for i, a in enumerate(model.languages) for b in model.languages[i + 1:] if family(a) == family(b)
-    ]
+    model = Model.of(sorted(set(langs)))
     of = np.array([family(x) for x in langs], object)
     # Scoring uses shares of n-grams, so the scale of training rows goes into the weights by its mean.
     scale = float(np.mean([r[2] for r in rows])) if rows else 1.0
