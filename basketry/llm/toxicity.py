@@ -11,8 +11,10 @@ phrase of an entry and a neighbouring word that occurs mostly in clean documents
 entry's weight back; EXCEPTIONS holds phrases that always count as such. A logistic curve over the weighted hits, as
 they are and per word, gives the score.
 
-Defined cases: null or empty text has no hits and the lowest score; of several labels of one id the smallest counts;
-without any label the lexicon is empty and every score is 0; repeated rows are scored one by one.
+Defined cases: null or empty text has no hits and the lowest score; of several labels of one id the smallest counts, of
+several texts the one with the smallest hash is learned; without any label the lexicon is empty and every score is 0;
+entries of equal weight are all kept; repeated rows are scored one by one, very long texts whole; columns of other
+names are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,14 +30,13 @@ import ahocorasick
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 from .quality import judged, sample
 
 TRAIN_ROWS = 20_000
-MAX_ENTRIES = 5000
 PREFIXES = range(4, 8)
 MIN_WEIGHT = 2.0
 SHINGLE = 4
@@ -173,6 +174,15 @@ def _evidence(clean: int, toxic: int, share: float) -> float:
     return out + (clean * math.log(clean / total / (1 - share)) if clean else 0.0)
 
 
+def _stands_out(clean: int, toxic: int) -> Column:
+    """The entries that ``choose`` can take: of enough weight, and at least the evidence that a single candidate needs."""
+    share = toxic / (clean + toxic)
+    c, t = F.col("clean"), F.col("toxic")
+    weight = F.log((t + 0.5) / (toxic + 1)) - F.log((c + 0.5) / (clean + 1))
+    evidence = t * F.log(t / (c + t) / share) + F.when(c > 0, c * F.log(c / (c + t) / (1 - share))).otherwise(0)
+    return (weight >= MIN_WEIGHT - 1e-6) & (evidence >= math.log(2) + MARGIN - 1e-6)
+
+
 def choose(
     found: list[tuple[str, bool, int, int]], clean: int, toxic: int, candidates: dict[int, int],
 ) -> dict[str, float]:
@@ -201,7 +211,7 @@ def choose(
         elif largest[entry] < 0.5 * t:
             stems.add(entry)
             chosen[f" {entry}"] = weight
-    return dict(sorted(chosen.items(), key=lambda x: -x[1])[:MAX_ENTRIES])
+    return dict(sorted(chosen.items(), key=lambda x: (-x[1], x[0])))
 
 
 def _neighbours(machine):
@@ -271,9 +281,12 @@ def fit(
     docs: DataFrame, labels: DataFrame, *, column: str = "toxic", most: int = TRAIN_ROWS,
     exceptions: tuple[str, ...] = EXCEPTIONS,
 ) -> Lexicon:
-    """The lexicon and its curve. The sample has a proven bound, so its ids may be broadcast."""
+    """The lexicon and its curve. The sample has a proven bound, one text of each id in it, so its ids may be
+    broadcast, and what it holds for sure enough may reach the driver."""
     chosen = F.broadcast(sample(labels, column, most))
-    rows = docs.select("doc_id", F.col("text").alias("body")).join(chosen, "doc_id").select("doc_id", "label", "body")
+    rows = docs.select("doc_id", F.col("text").alias("body")).join(chosen, "doc_id")
+    body = F.min_by("body", F.struct(F.xxhash64("body"), "body")).alias("body")
+    rows = rows.groupBy("doc_id", "label").agg(body)
     single = common.map_arrow(rows, _keys, "doc_id bigint, label int, keys array<bigint>, norm string")
     for number in range(KEYS):
         first = F.min_by(F.struct("doc_id", "keys", "norm"), "doc_id").alias("row")
@@ -289,14 +302,13 @@ def fit(
     kind = F.when(F.col("whole"), 0).otherwise(F.length("entry")).alias("kind")
     candidates = {r.kind: r.n for r in counts.groupBy(kind).agg(F.count(F.lit(1)).alias("n")).collect()}
     share = toxic / (clean + toxic)
-    strong = counts.filter((F.col("toxic") >= 3) & (F.col("toxic") > 2 * share * (F.col("clean") + F.col("toxic"))))
-    strong = strong.orderBy(F.desc(F.col("toxic") - 5 * F.col("clean")), "entry", "whole").limit(20 * MAX_ENTRIES)
+    strong = counts.filter(_stands_out(clean, toxic)).orderBy("entry", "whole")
     entries = choose([tuple(r) for r in strong.collect()], clean, toxic, candidates)
     phrases = common.map_arrow(
         texts, _neighbours(_index(entries)), "phrase string, entry string, clean bigint, toxic bigint")
     phrases = phrases.groupBy("phrase", "entry").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     harmless = phrases.filter((F.col("clean") >= 3) & (F.col("clean") >= 9 * F.col("toxic")))
-    harmless = harmless.orderBy(F.desc("clean"), "phrase", "entry").limit(MAX_ENTRIES)
+    harmless = harmless.orderBy("phrase", "entry")
     lexicon = Lexicon(entries, {r.phrase: entries[r.entry] for r in harmless.collect()})
     for phrase in map(fold, exceptions):
         own = [w for key, w in entries.items() if key in phrase]
