@@ -314,7 +314,9 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, group_rows: int = GROU
     runs = common.keep(common.map_arrow(rows.select("doc", "th", "body"), _runs(length), RUNS), "suffixes")
     keys = runs.groupBy("key").agg(
         F.count(F.lit(1)).alias("k"), F.min("digest").alias("least"), F.max("digest").alias("most"))
-    keys = keys.filter("k > 1").select("key", (F.col("least") == F.col("most")).alias("alike"))
+    # As a table of its own: joined straight from its aggregate, a passage that many texts share would meet in one task.
+    keys = common.keep(
+        keys.filter("k > 1").select("key", (F.col("least") == F.col("most")).alias("alike")), "suffixes")
     shared = common.keep(runs.join(keys, "key"), "suffixes")
     end = (F.col("start") + F.col("wins") - 1 + length).alias("end")
     whole = ["doc", "th", F.col("start").alias("begin"), end]
