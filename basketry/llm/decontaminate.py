@@ -9,7 +9,8 @@ automaton each; more blocks mean more passes over the rows, in a chain without a
 
 Defined cases: a null or empty text has no words and is never contaminated; an item without text or
 words is left out; the words of an item without id count as hits, but it has no name in the items; items with one id
-count once; repeated rows and rows without id are judged one by one.
+count once; repeated rows and rows without id are judged one by one; very long texts are scanned whole; columns
+of other names are not read, and ``clean`` keeps them; an empty table gives no rows, and without items nothing is hit.
 """
 
 from __future__ import annotations
@@ -215,7 +216,7 @@ _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abc
 OP5_SQL = f"""
 WITH d AS (SELECT row_number() OVER () r, doc_id, coalesce({_WORDS}, []) w FROM documents),
 b AS (SELECT DISTINCT CAST(item_id AS VARCHAR) item, {_WORDS} w FROM benchmark
-      WHERE item_id IS NOT NULL AND text IS NOT NULL),
+      WHERE text IS NOT NULL),
 bw AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') win
        FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) i
              FROM (SELECT item, w, least(13, len(w)) n FROM b WHERE len(w) > 0))),
@@ -224,7 +225,7 @@ dw AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') win
        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) i FROM d, lens WHERE len(w) >= n)),
 m AS (SELECT r, i, n, item FROM dw JOIN bw USING (n, win)),
 hits AS (SELECT r, count(DISTINCT p) n_hit FROM (SELECT r, unnest(range(i, i + n)) p FROM (SELECT DISTINCT r, i, n FROM m)) GROUP BY r),
-its AS (SELECT r, count(*) n_items, string_agg(item, ',' ORDER BY item) names FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+its AS (SELECT r, count(item) n_items, string_agg(item, ',' ORDER BY item) names FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
        sha256(coalesce(names, '')) items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) contaminated

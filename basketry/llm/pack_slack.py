@@ -9,8 +9,9 @@ size, which need no padding.
 Every task packs its own rows in blocks of BLOCK_TOKENS ids, so memory is bounded, nothing is shuffled and a
 retried task writes the same rows; rests that fill no window move on to the next block.
 
-Defined cases: a null or empty text is the closing id alone; repeated rows are packed one by one; an empty table
-gives no rows. A sequence id is the task's number times 2^33 plus the window's number in the task.
+Defined cases: a null or empty text is the closing id alone; repeated rows are packed one by one; a text longer
+than a window fills whole windows first; of pieces of equal length the one that came last is taken; columns of other
+names are not read; an empty table gives no rows. A sequence id is the task's number times 2^33 plus the window's number in the task.
 """
 
 from __future__ import annotations

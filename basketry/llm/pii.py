@@ -9,7 +9,9 @@ Checks: parts of at most 255 (ip), Luhn (card), 9 to 15 digits (phone), the coun
 serial (ssn). The base kinds (email, ip, card, phone) are reported whatever their score; iban and ssn need at least
 THRESHOLD, which ssn reaches only with a context word within NEAR code points.
 
-Defined cases: a null or empty text has no spans; kinds may overlap each other; repeated rows are judged one by one.
+Defined cases: a null or empty text has no spans; kinds may overlap each other; repeated rows are judged one by one;
+very long texts are searched whole; of the other columns only one named like the result is replaced; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -36,15 +38,23 @@ IBAN_LENGTHS = {
 }
 
 
-def _iban() -> str:
-    """Numbers of the length of their country; of any length for codes without a known one."""
+_ANY_LENGTH = r"(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?"
+
+
+def _fixed_forms() -> list[str]:
+    """Numbers of the length of their country."""
     forms = []
     for length, codes in IBAN_LENGTHS.items():
         groups, rest = divmod(length - 4, 4)
         tail = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
         forms.append(rf"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{tail}")
+    return forms
+
+
+def _iban() -> str:
+    """Numbers of the length of their country; of any length for codes without a known one."""
     known = "|".join(" ".join(IBAN_LENGTHS.values()).split())
-    forms.append(rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{2,7}}(?:\x20?[A-Z0-9]{{1,3}})?")
+    forms = [*_fixed_forms(), rf"(?!{known})[A-Z]{{2}}[0-9]{{2}}{_ANY_LENGTH}"]
     return rf"(?<![A-Za-z0-9_])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(forms)})(?![A-Za-z0-9_])"
 
 
@@ -206,13 +216,21 @@ def op3_pii(spark, sf_dir: str) -> DataFrame:
     )
 
 
+def _plain_iban() -> str:
+    """The same numbers without looking around: codes without a known length are spelled out."""
+    letters, known = [chr(c) for c in range(65, 91)], set(" ".join(IBAN_LENGTHS.values()).split())
+    others = "|".join(f"{a}[{''.join(b for b in letters if a + b not in known)}]" for a in letters)
+    forms = [*_fixed_forms(), rf"(?:{others})[0-9]{{2}}{_ANY_LENGTH}"]
+    return rf"\b(?:{'|'.join(forms)})\b"
+
+
 # The plain patterns; DuckDB's engine is linear by itself.
 _PLAIN = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"[0-9]([\x20-]?[0-9])+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"\b[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?\b",
+    "iban": _plain_iban(),
     "ssn": r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
 }
 _ROWS = "\nUNION ALL ".join(

@@ -9,7 +9,9 @@ the rows that are not held out, in PASSES passes in a fixed order; of several te
 hash counts.
 
 Defined cases: a null or empty text has no features and scores by the bias alone; of several labels of one id the
-smallest counts; without any label every score is 0.5; repeated rows are scored one by one.
+smallest counts, of several texts the one with the smallest hash is learned; without any label every score is 0.5, and
+a score on the threshold counts as good; repeated rows are scored one by one, very long texts whole; columns of other
+names are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -3,8 +3,11 @@
 Each stage works on all rows that the one before it kept; rows travel through Parquet in the shared folder, so a lost
 executor or a stopped run costs one stage at most. All but the last return the columns of ``documents``.
 
-Defined cases are those of the operators: null and empty texts have no letter and go with the first stage; an empty
-table passes through as an empty table.
+Defined cases are those of the operators: null and empty texts have no letter and go with the first stage; of repeated
+rows, as of all copies, one stays; of the documents of a group the one with the smallest id stays, then the one with the
+smallest hash of its text, and one without id after all others; very long texts are read whole and cut by the packing
+alone; other columns, whatever their names, travel with their row up to the packing, which gives its own; an empty table
+passes through as an empty table.
 """
 
 from __future__ import annotations

@@ -42,6 +42,21 @@ def test_run(spark):
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
 
 
+def test_run_over_odd_rows(spark, edges):
+    """Nulls, empty and long texts, repeats, near copies, rows without id and clashing columns, through all stages."""
+    folder = common.shared_dir(spark, "odd")
+    edges.write.parquet(f"{folder}/documents.parquet")
+    items = [(1, "an item that occurs nowhere"), (None, None), (2, "")]
+    spark.createDataFrame(items, "item_id bigint, text string").write.parquet(f"{folder}/benchmark.parquet")
+    pieces = corpus_pipeline.run(spark, folder).collect()
+    whole = {p["doc_id"]: p["doc_tokens"] for p in pieces}
+    assert set(whole) == {5, 6, 8, 10, 11, 12, None}
+    for doc_id, tokens in whole.items():
+        assert sum(p["length"] for p in pieces if p["doc_id"] == doc_id) == tokens
+    again = corpus_pipeline.run(spark, folder).collect()
+    assert {p["doc_id"]: p["doc_tokens"] for p in again} == whole
+
+
 def test_no_rows(spark):
     rows = common.table(spark, FOLDER, "documents").filter("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
