@@ -176,4 +176,4 @@ def test_reading_one_user_skips_other_rows(spark):
         plan = found._jdf.queryExecution().executedPlan()
         leaves = plan.collectLeaves()
         scanned.append(leaves.apply(0).metrics().apply("numOutputRows").value())
-    assert scanned[0] < scanned[1] / 4
+    assert scanned[0] < scanned[1] / 3  # one page of each of four small files
