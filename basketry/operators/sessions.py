@@ -18,6 +18,11 @@ def usable(clicks: DataFrame) -> DataFrame:
     return clicks.filter(complete())
 
 
+def unusable(clicks: DataFrame) -> DataFrame:
+    """The rest, for the reject table."""
+    return clicks.filter(~complete())
+
+
 def complete() -> Column:
     return F.col("user_id").isNotNull() & F.col("event_type").isNotNull() & F.col("timestamp").isNotNull()
 
