@@ -139,14 +139,17 @@ def test_components_of_links(spark, monkeypatch, size, numerator, list_rows):
 def test_hot_lists_and_salted_hubs(spark, monkeypatch):
     """Blocks of long lists find the pairs that the first steps leave over."""
     monkeypatch.setattr(ngram_join, "HUB_ROWS", 2)
-    monkeypatch.setattr(ngram_join, "STARS", 1)
+    monkeypatch.setattr(ngram_join, "WORTH", 0)  # no more than one round
     monkeypatch.setattr(ngram_join.Join, "star_pairs", lambda self, postings, roots, seed: self.inner_pairs())
     texts = near_copies(11, 4, 30)
     left = (np.array([5, 6, 7, 8]), (np.full(4, 50) << 32) + 1, np.array([1, 1, 2, -1]),
-            np.zeros((4, 2), np.uint64), np.array([True, False, True, True]))
+            np.zeros((4, 2), np.uint64), np.array([True, False, True, True]), np.zeros((4, ngram_join.BEFORE), np.int64))
     left[3][2] = ~np.uint64(0)
     pairs = {(int(a), int(b)) for x, y in ngram_join.list_pairs(left, None, 80, 100) for a, b in zip(x, y)}
     assert pairs == {(6, 7), (5, 8), (6, 8)}
+    left[5][0, 0] = left[5][3, 1] = 99  # these two have met at a shingle before
+    pairs = {(int(a), int(b)) for x, y in ngram_join.list_pairs(left, None, 80, 100) for a, b in zip(x, y)}
+    assert pairs == {(6, 7), (6, 8)}
     rows = ngram_join.link(frame(spark, texts), size=4, numerator=85, denominator=100).collect()
     got = {r["doc_id"]: r["component_id"] for r in rows}
     assert [got[i] for i in range(len(texts))] == [c for _, c in linked(texts, 4, 85, 100)]
