@@ -28,6 +28,7 @@ from . import common, words
 
 ROWS_PER_LANGUAGE = 1500
 TRAIN_ROWS = 30_000
+BROADCAST_LANGUAGES = 100_000
 BITS = 15
 ORDERS = (2, 4)
 SLICE = 1 << 18
@@ -204,7 +205,10 @@ def fit(
     which fits all machines; only their weights reach the driver."""
     known = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    quota = max(1, min(per_language, most // max(1, counts.count())))
+    languages = counts.count()
+    quota = max(1, min(per_language, most // max(1, languages)))
+    # Texts must not move to meet a count, so a table of counts of checked size is sent to them.
+    counts = F.broadcast(counts) if languages <= BROADCAST_LANGUAGES else counts
     draw = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # Some more than the quota are drawn, so that a language of few draws is not missed.
     taken = known.join(counts, "lang").filter(draw < F.lit(1.1 * quota + 40) / F.col("n"))
