@@ -31,4 +31,4 @@ def open_sessions(spark: SparkSession, checkpoint: str, gap: timedelta) -> DataF
 
 def seen_users(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Users that the first-order rule has seen."""
-    return stored_state(spark, checkpoint, stateVarName="seen").select(F.col("key.user_id").alias("user_id"))
+    return stored_state(spark, checkpoint, stateVarName="seen").select(F.col("user_map_key.user_id").alias("user_id"))

@@ -9,7 +9,9 @@ from basketry.functions import alerts as scoring
 from basketry.functions.times import event_time
 from basketry.operators import fraud
 from basketry.streaming import jobs
+from basketry.streaming.fraud import USER_GROUPS
 from basketry.streaming.runner import StreamRun
+from basketry.streaming.state import seen_users, stored_state
 
 T0 = 1705572000000
 SCHEMA = ("order_id string, user_id string, order_status string, total_amount double, timestamp bigint, "
@@ -190,6 +192,24 @@ def test_alert_stream_is_the_union(spark):
     assert types == ["HIGH_VALUE_FIRST_ORDER", "RAPID_ORDERS"]
 
 
+@pytest.mark.parametrize("make,name", [(jobs.rapid_order_stream, "orders"), (jobs.first_order_stream, "seen")])
+def test_keys_of_the_state_do_not_grow_with_the_users(spark, make, name):
+    orders = [order(f"o{i}", i * 100, user=f"u{i % 2000}", amount=9000.0) for i in range(6000)]
+    run = StreamRun.new(spark, "keys-test")
+    got = feed(spark, run, [orders], make)
+    state = stored_state(spark, run.checkpoint, stateVarName=name)
+    assert state.select("key").distinct().count() <= USER_GROUPS
+    if name == "seen":
+        assert len(got) == 2000 and seen_users(spark, run.checkpoint).distinct().count() == 2000
+
+
+def test_users_of_a_group_do_not_mix(spark, monkeypatch):
+    monkeypatch.setattr("basketry.streaming.fraud.USER_GROUPS", 1)
+    orders = random_orders(11)
+    got = feed(spark, StreamRun.new(spark, "group-test"), [orders, [order("end", 4_000_000, user="z")]], jobs.rapid_order_stream)
+    assert got == brute_rapid(orders, 300_000)
+
+
 def test_users_can_be_forgotten(spark):
     """With a time to live the query never runs out of batches, so it is stopped by hand."""
     from basketry.streaming.fraud import first_order_hits
