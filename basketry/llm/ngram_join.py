@@ -11,8 +11,8 @@ Only components are asked for, so pairs inside a component are not all compared:
    a group of another component that it shares many prefix shingles with, as long as a round finds one in WORTH of the
    links that the first one found: after that a round costs more than the pairs it spares;
 2. every candidate pair whose two sides are then still in different components is verified. A pair is written at the
-   first prefix shingle that its sides share: each entry of a list carries the BEFORE shingles in front of it, and a pair
-   with one of these in common has been met in an earlier list.
+   first prefix shingle that its sides share: each entry of a list carries the BEFORE shared shingles in front of it, and
+   a pair with one of these in common has been met in an earlier list.
 No link between components is lost, and a group of thousands of near copies costs one comparison for most members.
 
 Lists of groups by shingle are read as sorted streams. A list of more than LIST_ROWS groups is cut into blocks, and
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common, words
@@ -398,18 +398,23 @@ class Join:
         return int(self.docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def dealt(self, df: DataFrame, keys: list, order: list) -> DataFrame:
-        """Rows of a key together and in order, as streams."""
-        return df.repartition(self.parts(), *keys).sortWithinPartitions(*keys, *order)
+        """Rows of a key together and in order, as streams. They are dealt by a hash of the keys: after a join on the keys
+        themselves Spark leaves the exchange out, and when the join turns into a broadcast it may read the rows of a key
+        in several tasks, which would cut a list into parts that never meet."""
+        return df.repartition(self.parts(), F.xxhash64(*keys)).sortWithinPartitions(*keys, *order)
 
     def postings(self) -> DataFrame:
-        """Prefix shingles that occur in several groups."""
+        """Prefix shingles that occur in several groups, each with the BEFORE last of them in front of it: a shingle of one
+        group alone can be no earlier one that two groups share, so it travels through one narrow shuffle only."""
         lists = self.found.filter("prefix is not null").select("gid", "n", "prefix").dropDuplicates(["gid"])
         lists = common.keep(lists, "ngrams")
         many = lists.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("k"))
-        own = lists.select("gid", "n", "prefix", F.posexplode("prefix").alias("at", "token")).select(
-            "token", "gid", F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.col("at")).alias("place"),
-            F.slice("prefix", F.greatest(F.col("at") - BEFORE + 1, F.lit(1)), F.least("at", F.lit(BEFORE))).alias("before"))
-        done = common.keep(own.join(many.filter("k > 1").select("token"), "token"), "ngrams")
+        own = lists.select("gid", "n", F.posexplode("prefix").alias("at", "token")).select(
+            "token", "gid", F.shiftleft(F.col("n").cast("bigint"), 32).bitwiseOR(F.col("at")).alias("place"))
+        shared = own.join(many.filter("k > 1").select("token"), "token")
+        in_front = Window.partitionBy("gid").orderBy("place")
+        before = F.array_compact(F.array(*[F.lag("token", k).over(in_front) for k in range(1, BEFORE + 1)]))
+        done = common.keep(shared.select("token", "gid", "place", before.alias("before")), "ngrams")
         common.drop(lists)
         return done
 

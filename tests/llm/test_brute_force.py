@@ -7,7 +7,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from basketry.llm import ann, decontaminate, ngram_join, pack_bestfit, pack_slack, pii, suffix_dedup, tokens
 from basketry.llm.components import components
@@ -155,6 +157,52 @@ def test_hot_lists_and_salted_hubs(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == [c for _, c in linked(texts, 4, 85, 100)]
 
 
+def test_lists_are_dealt_anew_after_a_join_on_their_key(spark):
+    """Without an exchange of its own a list is cut in parts where that join turns into a broadcast at run time."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
+            "spark.sql.adaptive.enabled": "true", "spark.sql.shuffle.partitions": "4"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 4000, 1, 8).selectExpr("id % 50 token", "id gid")
+        join = object.__new__(ngram_join.Join)
+        join.docs = rows
+        asked = rows.groupBy("token").agg(F.min("gid").alias("low")).filter("low >= 0").select("token")
+        dealt = join.dealt(rows.join(asked, "token", "left_semi"), [F.col("token")], [])
+
+        assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().executedPlan().toString()
+
+        def starts(batches):  # a row for each run of equal tokens in a task
+            last = None
+            for batch in batches:
+                for token in batch.column(0).to_pylist():
+                    if token != last:
+                        yield pa.RecordBatch.from_arrays([pa.array([token], pa.int64())], names=["token"])
+                    last = token
+
+        assert sorted(r.token for r in dealt.select("token").mapInArrow(starts, "token bigint").collect()) == list(range(50))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_earlier_shingles_are_shared_ones(spark):
+    """What a posting carries are the last shared shingles in front of it, the nearest first."""
+    own = random.Random(5)
+    base = [f"w{own.randrange(10_000)}" for _ in range(80)]
+    texts = [" ".join(base), " ".join([*base[:40], "new", *base[41:]]), " ".join(f"x{i}" for i in range(60))]
+    join = ngram_join.Join(frame(spark, texts), "text", 4, 50, 100)
+    lists, rows = {}, join.postings().collect()
+    for row in sorted(rows, key=lambda r: r.place):
+        lists.setdefault(row.gid, []).append(row)
+    assert len(lists) == 2
+    for own_rows in lists.values():
+        tokens = [r.token for r in own_rows]
+        assert len(tokens) > ngram_join.BEFORE
+        assert [r.before for r in own_rows] == [tokens[max(0, i - ngram_join.BEFORE):i][::-1] for i in range(len(tokens))]
+
+
 def test_bitmaps_never_rule_out_a_link():
     rng = np.random.default_rng(4)
     for _ in range(200):
