@@ -141,18 +141,38 @@ def running_stock(
 
 
 def running_stock_from(
-    levels: DataFrame, movements: DataFrame, order: list[str], slice_width: timedelta = timedelta(days=1)
+    levels: DataFrame, movements: DataFrame, order: list[str], slice_width: timedelta = timedelta(days=1),
+    busy: list[int | None] | None = None,
 ) -> DataFrame:
     """``running_stock`` of movements that go on from ``levels`` (product_id, stock), which lie before all of them. The
-    level of a product takes part as one more movement, so no row of a busy product has to meet it in a join."""
-    moved = movements.select(F.col("product_id").alias("moved")).distinct()
-    asked = levels.join(moved, F.col("product_id").eqNullSafe(F.col("moved")), "left_semi")
+    level of a product takes part as one more movement, so no row of a busy product has to meet it in a join.
+
+    With ``busy`` only these products spread over slices. The movements of any other fit in one group and are shuffled
+    and sorted once; so ``busy`` has to name each product with more movements than a task should sort.
+    """
     known = {"product_id": F.col("product_id"), "movement_type": F.lit("ADJUSTMENT"), "quantity": F.col("stock"),
              "timestamp": F.lit(-1 << 62)}
-    opening = asked.select(*[
+    opening = levels.select(*[
         known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in movements.schema.fields])
     rows = opening.withColumn("carried", F.lit(True)).unionByName(movements.withColumn("carried", F.lit(False)))
-    return running_stock(rows, order, slice_width).filter(~F.col("carried")).drop("carried")
+    if busy is None:
+        out = running_stock(rows, order, slice_width)
+    else:
+        sliced = F.coalesce(F.col("product_id").isin([p for p in busy if p is not None]), F.lit(None in busy))
+        out = _whole_stock(rows.filter(~sliced), order)
+        if busy:
+            out = out.unionByName(running_stock(rows.filter(sliced), order, slice_width))
+    return out.filter(~F.col("carried")).drop("carried")
+
+
+def _whole_stock(movements: DataFrame, order: list[str]) -> DataFrame:
+    """``running_stock`` in one group per product. Movements without a time have no place in either."""
+    so_far = (
+        Window.partitionBy("product_id").orderBy("timestamp", *order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    moves = movements.filter(F.col("timestamp").isNotNull()).withColumn("delta", signed_quantity())
+    return moves.withColumn("stock", F.sum("delta").over(so_far))
 
 
 def stock_levels(movements: DataFrame) -> DataFrame:

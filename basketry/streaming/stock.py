@@ -17,6 +17,9 @@ from .sync import SyncedTable
 
 LEVELS = "product_id bigint, stock bigint, batch bigint, __deleted boolean"
 STOCK = "stock"
+# Movements of a product that one group may hold, and products beyond that which a batch names.
+WHOLE_ROWS = 100_000
+MOST_BUSY = 1_000
 
 
 @dataclass(frozen=True)
@@ -26,8 +29,8 @@ class RunningStock:
     Each batch takes the movements that are due from those that waited and those that came, computes their levels from
     the level of each product so far, hands them on, and keeps the rest for the next batch. Levels are a synced table
     by product, so a batch reads and writes what it touches. Movements behind the watermark are kept in a table of
-    their own. A busy product spreads over time slices, as in the batch form. Batches may run again at any point: each
-    reads what the batch before it left.
+    their own. A product with more than ``WHOLE_ROWS`` movements in a batch spreads over time slices, as in the batch
+    form; the others are one group each. Batches may run again at any point: each reads what the batch before it left.
     """
 
     folder: str
@@ -69,12 +72,15 @@ class RunningStock:
         known = levels.read(spark, before=batch_id).select("product_id", "stock")
         waiting = self._waiting(spark, batch_id - 1).unionByName(new)
         due = F.coalesce(due, F.lit(False))
-        ready = waiting.filter(due).persist()
+        ready = waiting.filter(due)
+        moved = stock_levels(ready).select(F.col("product_id").alias("moved"), F.col("stock").alias("change"), "movements")
+        # One row per product that moves, with its level so far; null where it has none.
+        moved = moved.join(known, F.col("product_id").eqNullSafe(F.col("moved")), "left").persist()
         try:
-            self.out.write(running_stock_from(known, ready, list(self.order)), STOCK, batch_id)
-            moved = stock_levels(ready).select(F.col("product_id").alias("moved"), F.col("stock").alias("change"))
-            same = F.col("product_id").eqNullSafe(F.col("moved"))
-            levels.write_batch(moved.join(known, same, "left").select(
+            before = moved.filter(F.col("stock").isNotNull()).select("product_id", "stock")
+            running = running_stock_from(before, ready, list(self.order), busy=self._busy(moved))
+            self.out.write(running, STOCK, batch_id)
+            levels.write_batch(moved.select(
                 F.col("moved").alias("product_id"),
                 (F.coalesce("stock", F.lit(0)) + F.col("change")).alias("stock"),
                 F.lit(batch_id).cast("bigint").alias("batch"), F.lit(False).alias("__deleted")), batch_id)
@@ -83,7 +89,13 @@ class RunningStock:
                 waiting.filter(~due).write.mode("overwrite").parquet(place)
             files.remove(spark, f"{self.folder}/waiting/{batch_id - 2}")
         finally:
-            ready.unpersist()
+            moved.unpersist()
+
+    @staticmethod
+    def _busy(moved: DataFrame) -> list[int | None] | None:
+        """Products with too many movements for one group; none stands for all of them, where they are too many to name."""
+        rows = moved.filter(F.col("movements") > WHOLE_ROWS).select("moved").limit(MOST_BUSY + 1).collect()
+        return [r.moved for r in rows] if len(rows) <= MOST_BUSY else None
 
     def _waiting(self, spark: SparkSession, batch_id: int) -> DataFrame:
         place = f"{self.folder}/waiting/{batch_id}"

@@ -265,6 +265,31 @@ def test_running_stock_of_a_stream_equals_the_batch_form(spark, rows):
     assert [r["n"] for r in stock.out.read(spark, LATE, schema).collect()] == [999]
 
 
+@pytest.mark.parametrize("whole,most", [(0, 9), (15, 9), (15, 0), (1000, 9)])
+def test_busy_products_spread_over_slices_and_others_stay_whole(spark, rows, monkeypatch, whole, most):
+    rng = random.Random(7)
+    moves = [(rng.choice([1, 1, 1, 2, 3, None, None]), rng.choice(["IN", "OUT", "ADJUSTMENT"]), rng.randrange(50),
+              T0 + 40_000_000 * i, i) for i in range(60)]
+    schema = spark.createDataFrame([], MOVES).schema
+    monkeypatch.setattr("basketry.streaming.stock.WHOLE_ROWS", whole)
+    monkeypatch.setattr("basketry.streaming.stock.MOST_BUSY", most)
+    stock = RunningStock(work_dir(spark, "stock"), schema, ("n",), timedelta(seconds=10))
+    for number in range(2):
+        stock.write_batch(spark.createDataFrame(moves[number * 30:number * 30 + 30], MOVES), number)
+    stock.close(spark, 2)
+    want = changes.running_stock(spark.createDataFrame(moves, MOVES), ["n"])
+    assert rows(stock.read(spark), "n", "product_id", "delta", "stock") == rows(want, "n", "product_id", "delta", "stock")
+
+
+def test_movements_of_other_products_are_shuffled_once(spark):
+    moves = spark.createDataFrame([(1, "IN", 5, T0, 1), (None, "OUT", 2, T0, 2), (1, "IN", 1, None, 3)], MOVES)
+    levels = spark.createDataFrame([(1, 10)], "product_id bigint, stock bigint")
+    out = changes.running_stock_from(levels, moves, ["n"], busy=[])
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "Join" not in plan and plan.count("Window") == 1
+    assert sorted((r["n"], r["stock"]) for r in out.collect()) == [(1, 15), (2, -2)]
+
+
 def test_state_can_be_read(spark):
     clicks = [(f"e{i}", user, f"s{i}", "PAGE_VIEW", T0 + ms, "d", "r")
               for i, (user, ms) in enumerate([("a", 0), ("a", 60_000), ("b", 9_000_000), ("b", 9_050_000)])]
