@@ -162,3 +162,17 @@ def test_table_rows_by_schema_name(spark):
     line = '{"movement_id":1,"product_id":3,"movement_type":"OUT"}'
     row = messages.parse_events(spark.createDataFrame([(line,)], "value string"), "inventory_movements").first()
     assert row["error"] is not None  # no quantity
+
+
+def test_cut_off_messages_do_not_reach_the_parser(spark):
+    whole = '{"order_id":"1","user_id":"u","items":[{"quantity":2}]}'
+    texts = [whole[:n] for n in range(len(whole) + 1)] + [
+        " " + whole[:20], whole + " x", "[" + whole + "]", '{"order_id":"}', '{"order_id":"1","user_id":"}"', "}", "{}", None]
+    lines = spark.createDataFrame([(t,) for t in texts], "value string")
+    wire = T.StructType([T.StructField(n, T.StringType()) for n in ("order_id", "user_id", "_corrupt")])
+    read = F.from_json("value", wire, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    broken = {r.value for r in lines.select("value", read.alias("raw")).filter("raw is null or raw._corrupt is not null").collect()}
+    parsed = messages.parse_safe(lines, ORDER, ["order_id", "user_id"]).collect()
+    assert {r["value"] for r in parsed if r["error"] == messages.ERROR_MALFORMED} == broken
+    cut_off = [r for r in parsed if r["value"] and r["value"].startswith("{") and "}" not in r["value"]]
+    assert len(cut_off) > 50 and all(r["row"] is None and r["error"] == messages.ERROR_MALFORMED for r in cut_off)
