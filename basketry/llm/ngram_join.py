@@ -9,7 +9,9 @@ class pairs and verified on the texts.
 Only components are asked for, so pairs inside a component are not all compared:
 1. each class is verified against the first class of its group and, in rounds with different choices, each group against
    a group of another component that it shares many prefix shingles with, as long as a round finds one in WORTH of the
-   links that the first one found: after that a round costs more than the pairs it spares;
+   links that the first one found: after that a round costs more than the pairs it spares. Then each component is verified
+   against up to TRIES others that its groups stand near in lists of random order, as long as the square of the
+   components that a round joins is over the number of entries: those left could make more pairs than a round reads;
 2. every candidate pair whose two sides are then still in different components is verified. A pair is written at the
    first prefix shingle that its sides share: each entry of a list carries the BEFORE shared shingles in front of it, and
    a pair with one of these in common has been met in an earlier list.
@@ -49,6 +51,9 @@ LIST_ROWS = 2048
 SIGNATURE = 1024
 # Rounds go on while they find more than one in so many of the links of the first round.
 WORTH = 5
+# In a round of the second kind: entries of a list that meet the next one, and pairs verified of a component.
+REACH = 8
+TRIES = 8
 # Earlier prefix shingles carried along with an entry of a list, 8 bytes each.
 BEFORE = 4
 HUB_ROWS = 512
@@ -194,6 +199,32 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(c[other]) for c in (gid, hub[0], place >> 32, hub[1] >> 32)], names=["gid", "hub", "n", "m"])
 
 
+def _neighbours(numerator: int, denominator: int):
+    """From postings sorted by shingle: each group with the REACH ones before it in the list, where their components differ
+    and sizes, places and signatures allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch] if last is None else [last, batch]).combine_chunks()
+            begin, last = len(rows) - batch.num_rows, rows.slice(max(0, len(rows) - REACH)).to_batches()
+            last = last[0] if last else None
+            token, gid, place, comp = (rows.column(i).to_numpy() for i in range(4))
+            n, rest = place >> 32, (place >> 32) - (place & 0xFFFFFFFF)
+            sigs, known = _signatures(rows.column(4).to_pylist())
+            for far in range(1, min(REACH, len(rows) - 1) + 1):
+                x = np.arange(max(begin, far), len(rows))
+                x = x[(token[x] == token[x - far]) & (gid[x] != gid[x - far]) & (comp[x] != comp[x - far])]
+                need = needed(n[x], n[x - far], numerator, denominator)
+                apart = np.bitwise_count(sigs[x] ^ sigs[x - far]).sum(axis=1)
+                fits = (n[x] + n[x - far] - apart >= 2 * need) | ~known[x] | ~known[x - far]
+                x = x[fits & (np.minimum(rest[x], rest[x - far]) >= need)]
+                if len(x):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c) for c in (gid[x], gid[x - far], comp[x], comp[x - far])],
+                        names=["gid", "hub", "comp", "hub_comp"])
+    return run
+
+
 def needed(n, m, numerator: int, denominator: int):
     """Shared shingles that sets of these sizes need."""
     return -(-numerator * (n + m) // (numerator + denominator))
@@ -238,14 +269,19 @@ def list_pairs(
             yield np.minimum(hit, gid[i]), np.maximum(hit, gid[i])
 
 
+def _signatures(sigs: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures as rows of numbers, and whether they are there."""
+    raw = b"".join(s or bytes(SIGNATURE // 8) for s in sigs)
+    return np.frombuffer(raw, np.uint64).reshape(len(sigs), SIGNATURE // 64), np.array([s is not None for s in sigs], bool)
+
+
 def _with_rows(columns: list[np.ndarray], sigs: list[bytes | None], before: pa.Array) -> tuple[np.ndarray, ...]:
     """The plain columns, the signatures as rows of numbers, whether they are there, and the shingles in front."""
-    raw = b"".join(s or bytes(SIGNATURE // 8) for s in sigs)
-    known = np.array([s is not None for s in sigs], bool)
+    sig, known = _signatures(sigs)
     lengths = before.value_lengths().to_numpy(zero_copy_only=False)
     front = np.zeros((len(sigs), BEFORE), np.int64)
     front[np.arange(BEFORE) < lengths[:, None]] = before.flatten().to_numpy(zero_copy_only=False)
-    return (*columns, np.frombuffer(raw, np.uint64).reshape(len(sigs), -1), known, front)
+    return (*columns, sig, known, front)
 
 
 def _pairs(numerator: int, denominator: int):
@@ -439,6 +475,25 @@ class Join:
         fits = F.least("n", "m") * self.denominator >= F.greatest("n", "m") * self.numerator
         best = met.filter(fits).groupBy("gid", "hub").agg(F.count(F.lit(1)).alias("k"))
         best = best.groupBy("gid").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
+        return self.first_classes(best)
+
+    def near_pairs(self, postings: DataFrame, roots: DataFrame, seed: int) -> DataFrame:
+        """Up to TRIES pairs of each component with others, as pairs of first classes. The lists are in random order, each
+        in its own, and groups that stand near each other meet. Of a component and a share of its pairs, dealt by their hash, the pair
+        met most often is taken."""
+        rows = postings.join(self.places(roots), "gid").select("token", "gid", "place", "comp", "sig")
+        rows = self.dealt(rows, [F.col("token")], [F.xxhash64("gid", "token", F.lit(seed)), F.col("gid")])
+        run = _neighbours(self.numerator, self.denominator)
+        met = common.map_arrow(rows, run, "gid bigint, hub bigint, comp bigint, hub_comp bigint")
+        met = met.select(F.least("gid", "hub").alias("gid"), F.greatest("gid", "hub").alias("hub"),
+                         F.explode(F.array("comp", "hub_comp")).alias("comp"))
+        met = met.groupBy("comp", "gid", "hub").agg(F.count(F.lit(1)).alias("k"))
+        share = F.pmod(F.xxhash64("gid", "hub", F.lit(seed)), F.lit(TRIES)).alias("share")
+        best = met.groupBy("comp", share).agg(F.max_by(F.struct("gid", "hub"), F.struct("k", "gid", "hub")).alias("pair"))
+        return self.first_classes(best.select("pair.gid", "pair.hub").distinct())
+
+    def first_classes(self, best: DataFrame) -> DataFrame:
+        """Pairs of groups (gid, hub) as pairs of their first classes."""
         names = self.groups.select(F.col("gid").alias("hub"), F.col("cid").alias("a"))
         return best.join(names, "hub").join(self.groups, "gid").select("a", F.col("cid").alias("b"))
 
@@ -526,6 +581,10 @@ class Join:
             links = self.verified(self.possible(self.star_pairs(postings, roots, number)))
             found = links.count()
             roots = joined(roots, links)
+        entries, had = postings.count(), 0
+        while (now := roots.count()) > had and (not had or (now - had) ** 2 > entries):
+            number, had = number + 1, now
+            roots = joined(roots, self.verified(self.possible(self.near_pairs(postings, roots, number))))
         pairs = self.cross_pairs(postings, self.places(roots), roots)
         common.drop(postings)
         unsure = self.possible(pairs.filter("not sure").select("a", "b"))

@@ -203,6 +203,29 @@ def test_earlier_shingles_are_shared_ones(spark):
         assert [r.before for r in own_rows] == [tokens[max(0, i - ngram_join.BEFORE):i][::-1] for i in range(len(tokens))]
 
 
+def test_few_pairs_are_left_of_a_large_group(spark, monkeypatch):
+    own = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(400):
+        words = list(base)
+        for k in own.sample(range(150), own.choice([1, 2, 2, 3])):
+            words[k] = f"x{i}n{k}"
+        texts.append(" ".join(words))
+    left, cross = [], ngram_join.Join.cross_pairs
+
+    def counted(self, postings, places, roots):
+        pairs = cross(self, postings, places, roots)
+        left.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(ngram_join.Join, "cross_pairs", counted)
+    rows = ngram_join.link(frame(spark, texts), size=4, numerator=85, denominator=100).collect()
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows}
+    assert [got[i] for i in range(len(texts))] == linked(texts, 4, 85, 100)
+    assert left[0] < len(texts)  # 5,259 when only the rounds of stars came before
+
+
 def test_bitmaps_never_rule_out_a_link():
     rng = np.random.default_rng(4)
     for _ in range(200):
